@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, chat_format, exact_dedup, mixing, quality_rules
+from tessera.llm import bpe, chat_format, exact_dedup, mixing, pii, quality_rules, secret_scan
+from tessera.llm.spans import joined
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +23,10 @@ def sha(text: Column) -> Column:
     return F.sha2(text, 256)
 
 
+def count_of(kind: str) -> Column:
+    return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "\\### Assistant: </turn> ok"
@@ -88,13 +93,25 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+    counts = [count_of(k) for k in pii.KINDS[:4]]
+    return found.select("doc_id", *counts, sha(joined(F.col("base"))).alias("base_sha256"), joined(F.concat("base", "added")).alias("spans"))
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.secret_scan(table(spark, sf_dir, "documents"))
+    counts = [count_of(k) for k in secret_scan.KINDS[:3]]
+    return found.select("doc_id", *counts, sha(joined(F.col("base"))).alias("base_sha256"), joined(F.concat("base", "added")).alias("spans"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = quality_rules.quality_rules(table(spark, sf_dir, "documents"))
     return made.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_chat_formatting, op5_exact_dedup, op6_bpe, op7_mixing, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_pii, op2_chat_formatting, op5_exact_dedup, op6_bpe, op7_mixing, op9_secret_scan, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
