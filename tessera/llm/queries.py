@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, chat_format, exact_dedup, jaccard_join, mixing, pii, quality_rules, secret_scan
+from tessera.llm import bpe, chat_format, exact_dedup, jaccard_join, mixing, pii, quality_rules, repeats, secret_scan
 from tessera.llm.spans import joined
 
 
@@ -103,6 +103,10 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, sha(joined(F.col("base"))).alias("base_sha256"), joined(F.concat("base", "added")).alias("spans"))
 
 
+def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"), length=400)
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.secret_scan(table(spark, sf_dir, "documents"))
     counts = [count_of(k) for k in secret_scan.KINDS[:3]]
@@ -115,7 +119,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pii, op2_chat_formatting, op3_ngram_jaccard, op5_exact_dedup, op6_bpe, op7_mixing, op9_secret_scan, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_pii, op2_chat_formatting, op3_ngram_jaccard, op5_exact_dedup, op6_bpe, op7_mixing, op8_suffix_array, op9_secret_scan, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:

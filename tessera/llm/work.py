@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -53,14 +54,21 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the odd multiplier and of its inverse, modulo 2**64."""
+@functools.lru_cache(maxsize=4)
+def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
     up = np.full(n + 1, _MULT, _U)
     down = np.full(n + 1, _U(pow(int(_MULT), -1, 1 << 64)), _U)
     up[0] = down[0] = 1
     return np.multiply.accumulate(up), np.multiply.accumulate(down)
 
 
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers 0 to n of the odd multiplier and of its inverse, modulo 2**64."""
+    kept = 1 << max(16, n.bit_length())
+    up, down = _power_table(kept) if kept <= 1 << 20 else _power_table.__wrapped__(n)
+    return up[: n + 1], down[: n + 1]
+
+
 _BYTE = mix64(np.arange(1, 257, dtype=_U) * _U(_SALT))
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[list(SPACE.encode())] = True
@@ -82,6 +90,16 @@ def hash_words(text: bytes) -> np.ndarray:
     return mix64((sums[end] - sums[start]) * down[start] + (end - start).astype(_U))
 
 
+def hash_runs(raw: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of all runs of ``k`` bytes."""
+    if raw.size < k:
+        return np.empty(0, _U)
+    up, down = _powers(raw.size)
+    sums = np.zeros(raw.size + 1, _U)
+    np.cumsum(_BYTE[raw] * up[:-1], out=sums[1:])
+    return mix64((sums[k:] - sums[:-k]) * down[: raw.size - k + 1])
+
+
 def hash_shingles(words: np.ndarray, k: int) -> np.ndarray:
     """Hashes of the runs of ``k`` words; of the whole sequence where there are fewer."""
     if not words.size:
