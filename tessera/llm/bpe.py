@@ -21,14 +21,16 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 #: Splits text before the merges. Fixed value: the pattern of the public vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Encoded pieces that a worker remembers, and their greatest length in characters.
-CACHE, CACHED_CHARS = 1 << 19, 40
+CACHE, CACHED_CHARS = 1 << 17, 40
+#: Documents that a worker holds as lists of ids at a time.
+SLICE = 128
 
 
 def byte_chars() -> dict[int, str]:
@@ -171,36 +173,42 @@ def vocabulary(path: str) -> BytePairs:
     return BytePairs(path)
 
 
-def encoder(path: str):
-    @F.pandas_udf("array<int>")
-    def encode(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        pairs = vocabulary(path)
-        for part in parts:
-            yield pd.Series([np.array(pairs.encode(t or ""), np.int32) for t in part], dtype=object)
-
-    return encode
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", decode_too: bool = False) -> DataFrame:
+    """Rows (id, ids[, decoded]); ``path`` is the vocabulary file, present on every executor.
 
+    Ids and the text decoded from them come from one pass in one worker. A batch is taken in
+    slices, so that a worker holds the lists of few documents at a time.
+    """
+    kind = docs.schema[id_col].dataType.simpleString()
+    schema = pa.schema([("ids", pa.list_(pa.int32())), *([("decoded", pa.string())] if decode_too else [])])
 
-def decoder(path: str):
-    @F.pandas_udf("string")
-    def decode(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = vocabulary(path)
         for part in parts:
-            yield pd.Series(["" if x is None else pairs.decode(x) for x in part], dtype=object)
+            for at in range(0, part.num_rows, SLICE):
+                rows = part.slice(at, SLICE)
+                ids = [np.array(pairs.encode(t or ""), np.int32) for t in rows.column("text").to_pylist()]
+                ends = np.concatenate(([0], np.cumsum([x.size for x in ids]))).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
+                texts = [pa.array([pairs.decode(x) for x in ids], pa.string())] if decode_too else []
+                yield pa.RecordBatch.from_arrays([rows.column("id"), lists, *texts], names=["id", *schema.names])
 
-    return decode
+    out = f"id {kind}, ids array<int>" + ", decoded string" * decode_too
+    return docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).mapInArrow(batches, out).withColumnRenamed("id", id_col)
 
 
-def encode(text: Column, path: str) -> Column:
-    """Ids of a text column; ``path`` is the vocabulary file, present on every executor."""
-    return encoder(path)(text)
+def decode(coded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
+    """Rows (id, decoded); bytes that are not UTF-8 become U+FFFD, null ids the empty text."""
+    kind = coded.schema[id_col].dataType.simpleString()
 
+    def batches(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pairs = vocabulary(path)
+        for part in parts:
+            yield part[["id"]].assign(decoded=["" if x is None else pairs.decode(x) for x in part["ids"]])
 
-def decode(ids: Column, path: str) -> Column:
-    """Text of a column of ids; bytes that are not UTF-8 become U+FFFD, null ids the empty text."""
-    return decoder(path)(ids)
+    return coded.select(coded[id_col].alias("id"), coded[ids_col].alias("ids")).mapInPandas(batches, f"id {kind}, decoded string").withColumnRenamed("id", id_col)
 
 
 def bpe_round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (id, ids, decoded)."""
-    return docs.select(docs[id_col], encode(docs[text_col], path).alias("ids")).select(id_col, "ids", decode(F.col("ids"), path).alias("decoded"))
+    return encode(docs, path, id_col, text_col, decode_too=True)
