@@ -123,3 +123,15 @@ def mixing(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
     return met.groupBy("row", "id", "source", "size", "source_size", "target", "offset").agg(words.alias("taken")).select(
         F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", "taken", "offset"
     )
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it, with all their columns.
+
+    Of a document that the end of a source's quota cuts, the share taken is rounded.
+    """
+    times = F.round(F.col("taken") / F.col("size")).cast("int")
+    plan = mixing(docs, id_col, text_col, source_col).where("size > 0").select(F.col(id_col).alias("_mixed"), times.alias("_times")).where("_times > 0")
+    plan = plan.groupBy("_mixed").agg((F.sum("_times") / F.count(F.lit(1))).cast("int").alias("_times"))
+    both = docs.join(plan, docs[id_col].eqNullSafe(plan["_mixed"]))
+    return both.select(*[both[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("_time")).drop("_time")

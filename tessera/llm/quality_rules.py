@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
@@ -90,3 +91,16 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     kind = docs.schema[id_col].dataType.simpleString()
     ids = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
     return ids.mapInPandas(_batches, SCHEMA.format(id=kind)).withColumnRenamed("id", id_col)
+
+
+def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns."""
+
+    def good(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=LEVEL)
+        for part in parts:
+            for at in range(0, part.num_rows, 512):
+                rows = part.slice(at, 512)
+                yield rows.filter(pa.array([judge(t, packer)[6] for t in rows.column(text_col).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(good, docs.schema)

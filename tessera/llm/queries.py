@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, chat_format, exact_dedup, jaccard_join, mixing, pii, quality_rules, repeats, secret_scan
+from tessera.llm import bpe, chat_format, exact_dedup, jaccard_join, mixing, pii, quality_rules, repeats, secret_scan, site_quality
 from tessera.llm.spans import joined
 
 
@@ -69,6 +69,11 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = site_quality.site_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", F.round("evidence", 9).alias("evidence"), F.round("host_rate", 9).alias("host_rate"), F.round("path_rate", 9).alias("path_rate"), F.round("quality", 9).alias("quality"), "kept")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
@@ -119,7 +124,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pii, op2_chat_formatting, op3_ngram_jaccard, op5_exact_dedup, op6_bpe, op7_mixing, op8_suffix_array, op9_secret_scan, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_pii, op2_chat_formatting, op3_ngram_jaccard, op4_quality_classifier, op5_exact_dedup, op6_bpe, op7_mixing, op8_suffix_array, op9_secret_scan, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
