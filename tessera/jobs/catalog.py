@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.jobs import cohort_queries, model_queries
+
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return queries()["cellular_features"](spark, sf_dir)
+    return cohort_queries.cellular_features(spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return cohort_queries.QUERIES | model_queries.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return cohort_queries.SQL | model_queries.SQL
