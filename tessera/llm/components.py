@@ -19,10 +19,14 @@ def components(links: DataFrame) -> DataFrame:
     first = both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("key"), F.least("a", "low").alias("comp"))
     labels = staged(first, "labels")
     while True:
-        near = both.join(labels.withColumnRenamed("key", "b"), "b").groupBy("a").agg(F.min("comp").alias("near")).withColumnRenamed("a", "key")
-        nearer = labels.join(near, "key").select("key", F.col("comp").alias("old"), F.least("comp", "near").alias("comp"))
-        jump = labels.select(F.col("key").alias("comp"), F.col("comp").alias("further"))
-        moved = staged(nearer.join(jump, "comp", "left").select("key", "old", F.least("comp", F.coalesce("further", "comp")).alias("comp")), "labels")
+        moved = labels.select("key", F.col("comp").alias("old"), "comp")
+        for _ in range(2):  # two steps for each table written
+            now = moved.select("key", "comp")
+            near = both.join(now.withColumnRenamed("key", "b"), "b").groupBy("a").agg(F.min("comp").alias("near")).withColumnRenamed("a", "key")
+            nearer = moved.join(near, "key").select("key", "old", F.least("comp", "near").alias("comp"))
+            jump = now.select(F.col("key").alias("comp"), F.col("comp").alias("further"))
+            moved = nearer.join(jump, "comp", "left").select("key", "old", F.least("comp", F.coalesce("further", "comp")).alias("comp"))
+        moved = staged(moved, "labels")
         labels = moved.select("key", "comp")
         if moved.where("comp <> old").isEmpty():
             return labels

@@ -18,9 +18,13 @@ very many documents are left out of the first blocking (the bound holds for what
 a passage everybody quotes joins nobody; rows with hardly anything else are blocked whole.
 
 Rows with equal sets are one class from the start. Of the rows that share a block each is compared
-with one of them, the pivot, and linked rows merge; only then are rows of the same block that are
-still apart compared with each other. No link is lost by that, since a skipped pair is already in
-one component. Blocks with many rows still apart get further pivots first.
+with one of them, the pivot, and linked rows merge. In a block of few rows those that are still
+apart are then compared with each other. In a block of many rows the pivot is the smallest, and
+this holds: if x does not link with the pivot, but with y, then x and y share an n-gram that the
+pivot lacks. (Counting what each adds to and drops from the pivot, they would otherwise differ in
+more than their sizes allow.) So rows that are still apart meet again only in blocks of one pivot
+and one n-gram outside it, and so on. No pair that links is lost, and a group of thousands of
+near copies is not compared pair by pair.
 
 A-Z are lower-cased; words are runs of anything but ASCII white space. A text with fewer words than
 a shingle has its whole sequence as the only one; without words or text the set is empty and the
@@ -54,8 +58,9 @@ TRIES = 4
 BROADCAST_IDS = 1_000_000
 #: Rows that are compared with a pivot in one task, about.
 PIVOT_ROWS = 256
-#: Rounds of further pivots, and pairs for each row in shared blocks that are compared outright.
-PIVOT_ROUNDS, OUTRIGHT = 6, 4
+#: Rows of a block that are compared with each other: at first, and how often that doubles from
+#: level to level before all rows are.
+FEW, LEVELS = 16, 7
 
 
 @dataclass(frozen=True)
@@ -184,15 +189,17 @@ def _key(grams: np.ndarray) -> int:
 
 
 def _verified(texts: DataFrame, reps: DataFrame, pairs: DataFrame, k: int, sizes: Sizes) -> DataFrame:
-    """The pairs (a, b) of keys whose overlap reaches the bound.
+    """Rows (a, b, linked, rest) for pairs (a, b, wanted) of keys.
 
-    Rows are dealt by pivot ``a`` and a block number, the pivot's own row to each of its blocks, and
-    stream past it in sorted order: a task holds one pivot and one batch, however many rows follow.
+    ``linked`` tells whether the overlap reaches the bound; ``rest`` are the n-grams of b that a
+    lacks, for wanted pairs. Pairs that neither link nor are wanted are left out. Rows are dealt by
+    pivot ``a`` and a block number, the pivot's own row to each of its blocks, and stream past it in
+    sorted order: a task holds one pivot and one batch, however many rows follow.
     """
     chunks = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PIVOT_ROWS).cast("int").alias("chunks"))
-    spread = pairs.join(chunks, "a").select(F.col("b").alias("key"), F.col("a").alias("pivot"), F.pmod(F.xxhash64("b"), F.col("chunks")).cast("int").alias("chunk"), F.lit(1).alias("member"))
-    heads = chunks.select(F.col("a").alias("key"), F.col("a").alias("pivot"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(0).alias("member"))
-    roles = staged(spread.unionByName(heads).join(reps, "key").select("rep", "key", "pivot", "chunk", "member"), "roles")
+    spread = pairs.join(chunks, "a").select(F.col("b").alias("key"), F.col("a").alias("pivot"), F.pmod(F.xxhash64("b"), F.col("chunks")).cast("int").alias("chunk"), F.when(F.col("wanted"), 2).otherwise(1).alias("part"))
+    heads = chunks.select(F.col("a").alias("key"), F.col("a").alias("pivot"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(0).alias("part"))
+    roles = staged(spread.unionByName(heads).join(reps.select("key", "rep"), "key"), "roles")
     wanted = roles.select("rep").distinct()
     if wanted.count() <= BROADCAST_IDS:
         picked = texts.join(F.broadcast(wanted), F.col("id").eqNullSafe(F.col("rep")), "left_semi")
@@ -205,27 +212,29 @@ def _verified(texts: DataFrame, reps: DataFrame, pairs: DataFrame, k: int, sizes
             yield pd.DataFrame({"key": np.array([_key(x) for x in found], np.int64), "grams": [x.view(np.int64) for x in found]})
 
     rows = picked.select("text").mapInPandas(sets, "key long, grams array<long>").dropDuplicates(["key"])
-    dealt = roles.select("key", "pivot", "chunk", "member").join(rows, "key").repartition("pivot", "chunk").sortWithinPartitions("pivot", "chunk", "member")
+    dealt = roles.select("key", "pivot", "chunk", "part").join(rows, "key").repartition("pivot", "chunk").sortWithinPartitions("pivot", "chunk", "part")
 
     def compare(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pivot, head = None, np.empty(0, np.int64)
         for part in parts:
             hits = []
-            for key, of, member, grams in zip(part["key"], part["pivot"], part["member"], part["grams"], strict=True):
-                if not member:
+            for key, of, role, grams in zip(part["key"], part["pivot"], part["part"], part["grams"], strict=True):
+                if not role:
                     pivot, head = of, grams
                     continue
                 if of != pivot:
                     raise RuntimeError("a row came without its pivot")
                 a, b = head.size, grams.size
-                if sizes.den * min(a, b) < sizes.num * max(a, b):
+                near = sizes.den * min(a, b) >= sizes.num * max(a, b)
+                if role == 1 and not near:
                     continue
-                both = np.intersect1d(head, grams, assume_unique=True).size
-                if sizes.linked(a, b, both):
-                    hits.append((of, key))
-            yield pd.DataFrame(hits, columns=["a", "b"], dtype=np.int64)
+                inside = np.isin(grams, head, assume_unique=True)
+                linked = near and sizes.linked(a, b, int(inside.sum()))
+                if linked or role == 2:
+                    hits.append((of, key, linked, grams[~inside] if role == 2 else []))
+            yield pd.DataFrame(hits, columns=["a", "b", "linked", "rest"]).astype({"a": "int64", "b": "int64", "linked": "bool"})
 
-    return dealt.mapInPandas(compare, "a long, b long")
+    return dealt.mapInPandas(compare, "a long, b long, linked boolean, rest array<long>")
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -236,47 +245,52 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     sizes = Sizes(num, den)
     texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
     rows = staged(_described(texts, k, sizes, common_grams(texts, k)), "sets")
-    reps = staged(rows.where("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("rep")), "reps")
+    reps = staged(rows.where("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("rep"), F.min("n").alias("n")), "reps")
 
     cells = rows.where("key IS NOT NULL").select(F.explode("signatures").alias("sig"), "key")
     shared = staged(cells.groupBy("sig").agg(F.min("key").alias("a"), F.max("key").alias("z")).where("a <> z").select("sig"), "shared")
-    members = staged(cells.join(shared, "sig").distinct(), "members")
-    n_members = members.count()
-
-    def picks(of: DataFrame, turn: int) -> DataFrame:
-        """One pivot for each block, and the pairs that it makes with the other components."""
-        pivot = of.groupBy("sig").agg(F.min(F.struct(F.xxhash64("key", F.lit(turn)).alias("o"), F.col("key").alias("a"), F.col("comp").alias("c"))).alias("p"))
-        return of.join(pivot.select("sig", "p.a", "p.c"), "sig").where("comp <> c")
-
-    ordered = lambda pairs: pairs.select(F.least("a", "key").alias("a"), F.greatest("a", "key").alias("b")).distinct()
-    links = labels = tested = None
-    apart = members.withColumn("comp", F.col("key"))
-    for turn in range(PIVOT_ROUNDS + 1):
-        counts = apart.groupBy("sig", "comp").agg(F.count(F.lit(1)).alias("n")).groupBy("sig").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.col("n")).alias("own"))
-        open_sigs = staged(counts.where("m * m > own").select("sig", ((F.col("m") * F.col("m") - F.col("own")) / 2).alias("cross")), "open")
-        cross = open_sigs.agg(F.coalesce(F.sum("cross"), F.lit(0.0))).first()[0]
-        if not cross:
+    groups = cells.join(shared, "sig").distinct()
+    links = labels = tested = few = None
+
+    def apart(of: DataFrame) -> DataFrame:
+        """Rows (sig, key, n, comp, m, pivot) of the blocks whose rows are not all in one component."""
+        known = of.join(reps.select("key", "n"), "key")
+        known = known.withColumn("comp", F.col("key")) if labels is None else known.join(labels, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
+        known = staged(known.select("sig", "key", "n", "comp"), "known")
+        state = known.groupBy("sig").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("low"), F.max("comp").alias("high"), F.min(F.struct("n", "key")).alias("p"))
+        return staged(known.join(state.where("low <> high").select("sig", "m", F.col("p.key").alias("pivot")), "sig"), "apart")
+
+    for level in range(LEVELS + 2):
+        pairs = []
+        if groups is not None:
+            here = apart(groups)
+            most = FEW << level if level < LEVELS else 1 << 62
+            star = here.where("key <> pivot").select(F.col("pivot").alias("a"), F.col("key").alias("b"), (F.col("m") > most).alias("wanted"))
+            pairs.append(star.groupBy("a", "b").agg(F.max("wanted").alias("wanted")))
+        if few is not None:
+            left = apart(few)
+            other = left.select("sig", F.col("key").alias("a"), F.col("comp").alias("c"), F.col("n").alias("size"))
+            bound = sizes.den * F.least("n", "size") >= sizes.num * F.greatest("n", "size")
+            direct = left.join(other, "sig").where((F.col("a") < F.col("key")) & (F.col("comp") != F.col("c")) & bound).select("a", F.col("key").alias("b")).distinct()
+            pairs.append(direct.join(tested, ["a", "b"], "left_anti").withColumn("wanted", F.lit(False)))
+        asked = staged(pairs[0] if len(pairs) == 1 else pairs[0].unionByName(pairs[1]), "pairs")
+        if asked.isEmpty():
             break
-        left = staged(apart.join(open_sigs.select("sig"), "sig"), "apart")
-        last = turn == PIVOT_ROUNDS or (turn > 0 and cross <= OUTRIGHT * n_members)
-        if last:
-            other = left.select("sig", F.col("key").alias("a"), F.col("comp").alias("c"))
-            pairs = ordered(left.join(other, "sig").where("a < key AND comp <> c"))
-        else:
-            pairs = ordered(picks(left, turn))
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = staged(pairs, "pairs")
-        if not pairs.isEmpty():
-            found = staged(_verified(texts, reps, pairs, k, sizes), "links")
-            links = found if links is None else links.unionByName(found)
-            tested = pairs if tested is None else tested.unionByName(pairs)
+        found = staged(_verified(texts, reps, asked, k, sizes), "compared")
+        fresh = found.where("linked").select("a", "b")
+        links = fresh if links is None else links.unionByName(fresh)
+        either = asked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        tested = either if tested is None else tested.unionByName(either)
+        if not fresh.isEmpty():
             labels = components(links)
-        if last:
-            break
-        if labels is not None:
-            apart = members.join(labels, "key", "left").select("sig", "key", F.coalesce("comp", "key").alias("comp"))
-
+        few = here.where(F.col("m") <= most).select("sig", "key") if groups is not None else None
+        groups = None
+        if level < LEVELS:
+            outside = found.where(F.size("rest") > 0).select(F.explode("rest").alias("gram"), "a", F.col("b").alias("key"), "linked").select(F.xxhash64("a", "gram").alias("sig"), "key", "linked")
+            several = outside.groupBy("sig").agg(F.min("key").alias("low"), F.max("key").alias("high"), F.min("linked").alias("all")).where("low <> high AND NOT all").select("sig")
+            groups = outside.join(staged(several, "several"), "sig").select("sig", "key").distinct()
+
+    reps = reps.select("key", "rep")
     classes = reps if labels is None else reps.join(labels, "key", "left").select("key", "rep", F.coalesce("comp", "key").alias("comp"))
     if labels is None:
         classes = classes.withColumn("comp", F.col("key"))

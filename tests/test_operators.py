@@ -242,3 +242,14 @@ def test_stream_of_cells(spark, tmp_path):
     stream = streams.event_stream(spark, source, "image_id long, x double, y double")
     got = streams.drained(streams.tile_totals(stream, 100), str(tmp_path / "s"), "complete", "tile_totals")
     assert rows(got, "tile_x", "n_cells") == [(0, 2), (100, 1)]
+
+
+def test_tile_background(spark):
+    from tessera.operators import images
+
+    rgb = np.zeros((30, 90, 3), np.uint8)
+    rgb[:, :30], rgb[:, 30:60], rgb[:, 60:] = (120, 30, 90), (30, 60, 200), (255, 255, 255)
+    thumbs = spark.createDataFrame([(1, 30, 90, bytearray(rgb.tobytes()))], "image_id long, height int, width int, rgb binary")
+    grid = spark.createDataFrame([(1, i, 300 * i, 0, 300, 300) for i in range(3)], "image_id long, tile_id long, tile_x long, tile_y long, tile_width long, tile_height long")
+    assert rows(images.tile_background(thumbs, grid), "tile_id", "tile_background") == [(0, False), (1, True), (2, True)]
+    assert images.tile_background(thumbs, grid.limit(0)).count() == 0
