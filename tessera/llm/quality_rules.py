@@ -28,10 +28,10 @@ BANDS = ((200, 0.0, 3.2), (500, 1.10, 3.6), (1_000, 1.15, 4.2), (2_000, 1.20, 4.
 CHUNK_BAND, CHUNK, CHUNK_SHARE = (1.15, 6.0), 4_096, 0.5
 LEVEL = 3
 
-SCHEMA = (
-    "id {id}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long,"
-    " base_failed boolean, kept boolean, ratio double, n_chunks long, n_odd_chunks long"
-)
+COLUMNS = {
+    "n_words": "long", "word_chars": "long", "n_symbols": "long", "n_dup_lines": "long", "n_repeat_words": "long",
+    "base_failed": "boolean", "kept": "boolean", "ratio": "double", "n_chunks": "long", "n_odd_chunks": "long",
+}
 _SYMBOLS = "#*$%&|<>"
 _NO_SPACE = str.maketrans("", "", SPACE)
 
@@ -79,10 +79,8 @@ def judge(text: str | None, packer: zstandard.ZstdCompressor) -> tuple:
 
 def _batches(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     packer = zstandard.ZstdCompressor(level=LEVEL)
-    names = SCHEMA.replace("id {id}, ", "").split(", ")
-    names = [x.split()[0] for x in ",".join(names).split(",")]
     for part in parts:
-        rows = pd.DataFrame([judge(t, packer) for t in part["text"]], columns=names)
+        rows = pd.DataFrame([judge(t, packer) for t in part["text"]], columns=[*COLUMNS])
         yield pd.concat([part["id"].reset_index(drop=True), rows], axis=1)
 
 
@@ -90,7 +88,8 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """One row for each document: its id, the base counts, both verdicts and the ratios."""
     kind = docs.schema[id_col].dataType.simpleString()
     ids = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
-    return ids.mapInPandas(_batches, SCHEMA.format(id=kind)).withColumnRenamed("id", id_col)
+    schema = ", ".join([f"id {kind}", *[f"{name} {of}" for name, of in COLUMNS.items()]])
+    return ids.mapInPandas(_batches, schema).withColumnRenamed("id", id_col)
 
 
 def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:

@@ -103,6 +103,15 @@ def test_jaccard_common_shingles_change_nothing(spark, monkeypatch):
     assert got == brute_components(docs, 3, 90, 100)
 
 
+def test_jaccard_large_blocks(spark, monkeypatch):
+    """With hardly any rows compared outright, the levels of pivots find the same links."""
+    monkeypatch.setattr(jaccard_join, "FEW", 3)
+    monkeypatch.setattr(jaccard_join, "OUTRIGHT", 0)
+    docs = near_docs()
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.jaccard_components(table(spark, docs), 3, 90, 100).collect()}
+    assert got == brute_components(docs, 3, 90, 100)
+
+
 def test_jaccard_edges(spark):
     assert jaccard_join.jaccard_components(table(spark, [])).count() == 0
     rows = [(None, "a b c d e f"), (4, "a b c d e f"), (4, "a b c d e f"), (7, None)]
