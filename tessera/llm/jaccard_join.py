@@ -19,12 +19,13 @@ a passage everybody quotes joins nobody; rows with hardly anything else are bloc
 
 Rows with equal sets are one class from the start. Of the rows that share a block each is compared
 with one of them, the pivot, and linked rows merge. In a block of few rows those that are still
-apart are then compared with each other. In a block of many rows the pivot is the smallest, and
-this holds: if x does not link with the pivot, but with y, then x and y share an n-gram that the
-pivot lacks. (Counting what each adds to and drops from the pivot, they would otherwise differ in
-more than their sizes allow.) So rows that are still apart meet again only in blocks of one pivot
-and one n-gram outside it, and so on. No pair that links is lost, and a group of thousands of
-near copies is not compared pair by pair.
+apart are then compared with each other. In a block of many rows each row x is described by what
+it adds to the pivot, A(x), and how much it drops, r(x). If x and y add nothing in common they
+differ in at least |A(x)| + |A(y)| + |r(x) - r(y)| n-grams. So rows that are still apart meet again
+only where they add the same n-gram to the same pivot, in blocks treated like the first, or where
+this sum is within what their sizes allow. No pair that links is lost, and a group of thousands of
+near copies is not compared pair by pair. The pivot is the row that shares most blocks, which in
+such a group is what the copies were made from.
 
 A-Z are lower-cased; words are runs of anything but ASCII white space. A text with fewer words than
 a shingle has its whole sequence as the only one; without words or text the set is empty and the
@@ -35,6 +36,7 @@ hashes of their content. Columns beyond those named are ignored; an empty table
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -58,9 +60,9 @@ TRIES = 4
 BROADCAST_IDS = 1_000_000
 #: Rows that are compared with a pivot in one task, about.
 PIVOT_ROWS = 256
-#: Rows of a block that are compared with each other: at first, and how often that doubles from
-#: level to level before all rows are.
-FEW, LEVELS = 16, 7
+#: Rows of a block that are compared with each other: at first, and how often that grows fourfold from
+#: level to level before all rows are; and pairs that are compared outright at any level.
+FEW, LEVELS, OUTRIGHT = 16, 4, 100_000
 
 
 @dataclass(frozen=True)
@@ -231,10 +233,30 @@ def _verified(texts: DataFrame, reps: DataFrame, pairs: DataFrame, k: int, sizes
                 inside = np.isin(grams, head, assume_unique=True)
                 linked = near and sizes.linked(a, b, int(inside.sum()))
                 if linked or role == 2:
-                    hits.append((of, key, linked, grams[~inside] if role == 2 else []))
-            yield pd.DataFrame(hits, columns=["a", "b", "linked", "rest"]).astype({"a": "int64", "b": "int64", "linked": "bool"})
+                    hits.append((of, key, linked, grams[~inside] if role == 2 else None, a, b))
+            yield pd.DataFrame(hits, columns=["a", "b", "linked", "rest", "na", "nb"]).astype({"a": "int64", "b": "int64", "linked": "bool", "na": "int64", "nb": "int64"})
 
-    return dealt.mapInPandas(compare, "a long, b long, linked boolean, rest array<long>")
+    return dealt.mapInPandas(compare, "a long, b long, linked boolean, rest array<long>, na long, nb long")
+
+
+def _loose(found: DataFrame, sizes: Sizes) -> DataFrame:
+    """Pairs (a, b) of rows that may link although they add no n-gram in common to their pivot.
+
+    Rows of like numbers form classes; classes meet by pivot, and only rows of classes that allow a
+    link meet.
+    """
+    gap, whole = sizes.den - sizes.num, sizes.den + sizes.num
+    rows = found.where("rest IS NOT NULL").select(F.col("a").alias("c"), F.col("b").alias("key"), "linked", "nb", F.size("rest").cast("long").alias("adds"), (F.col("na") - F.col("nb") + F.size("rest")).alias("drops"))
+    rows = rows.where(F.col("adds") * whole * sizes.num <= gap * whole * F.col("nb"))
+    marks = ["linked", "nb", "adds", "drops"]
+    kinds = staged(rows.select("c", *marks).distinct(), "kinds")
+    other = kinds.select("c", *[F.col(m).alias(f"{m}_") for m in marks])
+    differ = F.col("adds") + F.col("adds_") + F.abs(F.col("drops") - F.col("drops_"))
+    ordered = F.struct(*marks) <= F.struct(*[F.col(f"{m}_") for m in marks])
+    open_kinds = staged(kinds.join(other, "c").where((differ * whole <= gap * (F.col("nb") + F.col("nb_"))) & ~(F.col("linked") & F.col("linked_")) & ordered), "kinds")
+    left = open_kinds.join(rows, ["c", *marks]).select("c", F.col("key").alias("a"), *[F.col(f"{m}_").alias(m) for m in marks])
+    met = left.join(rows.select("c", *marks, F.col("key").alias("b")), ["c", *marks]).where("a <> b")
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -250,21 +272,24 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     cells = rows.where("key IS NOT NULL").select(F.explode("signatures").alias("sig"), "key")
     shared = staged(cells.groupBy("sig").agg(F.min("key").alias("a"), F.max("key").alias("z")).where("a <> z").select("sig"), "shared")
     groups = cells.join(shared, "sig").distinct()
-    links = labels = tested = few = None
+    links = labels = tested = few = loose = None
+    most = 0
 
     def apart(of: DataFrame) -> DataFrame:
         """Rows (sig, key, n, comp, m, pivot) of the blocks whose rows are not all in one component."""
         known = of.join(reps.select("key", "n"), "key")
         known = known.withColumn("comp", F.col("key")) if labels is None else known.join(labels, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
         known = staged(known.select("sig", "key", "n", "comp"), "known")
-        state = known.groupBy("sig").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("low"), F.max("comp").alias("high"), F.min(F.struct("n", "key")).alias("p"))
+        central = known.join(known.groupBy("key").agg(F.count(F.lit(1)).alias("blocks")), "key")
+        state = central.groupBy("sig").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("low"), F.max("comp").alias("high"), F.max(F.struct("blocks", "key")).alias("p"))
         return staged(known.join(state.where("low <> high").select("sig", "m", F.col("p.key").alias("pivot")), "sig"), "apart")
 
     for level in range(LEVELS + 2):
         pairs = []
         if groups is not None:
             here = apart(groups)
-            most = FEW << level if level < LEVELS else 1 << 62
+            load = here.agg(F.coalesce(F.sum((F.col("m") - 1) / 2), F.lit(0.0))).first()[0]
+            most = FEW << 2 * level if level < LEVELS and load > OUTRIGHT else 1 << 62
             star = here.where("key <> pivot").select(F.col("pivot").alias("a"), F.col("key").alias("b"), (F.col("m") > most).alias("wanted"))
             pairs.append(star.groupBy("a", "b").agg(F.max("wanted").alias("wanted")))
         if few is not None:
@@ -273,7 +298,12 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
             bound = sizes.den * F.least("n", "size") >= sizes.num * F.greatest("n", "size")
             direct = left.join(other, "sig").where((F.col("a") < F.col("key")) & (F.col("comp") != F.col("c")) & bound).select("a", F.col("key").alias("b")).distinct()
             pairs.append(direct.join(tested, ["a", "b"], "left_anti").withColumn("wanted", F.lit(False)))
-        asked = staged(pairs[0] if len(pairs) == 1 else pairs[0].unionByName(pairs[1]), "pairs")
+        if loose is not None:
+            pairs.append(loose.join(tested, ["a", "b"], "left_anti").withColumn("wanted", F.lit(False)))
+        if not pairs:
+            break
+        both = functools.reduce(DataFrame.unionByName, pairs)
+        asked = staged(both.groupBy("a", "b").agg(F.max("wanted").alias("wanted")), "pairs")
         if asked.isEmpty():
             break
         found = staged(_verified(texts, reps, asked, k, sizes), "compared")
@@ -284,9 +314,10 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
         if not fresh.isEmpty():
             labels = components(links)
         few = here.where(F.col("m") <= most).select("sig", "key") if groups is not None else None
-        groups = None
-        if level < LEVELS:
-            outside = found.where(F.size("rest") > 0).select(F.explode("rest").alias("gram"), "a", F.col("b").alias("key"), "linked").select(F.xxhash64("a", "gram").alias("sig"), "key", "linked")
+        more, groups, loose = groups is not None and most < 1 << 62, None, None
+        if more:
+            loose = _loose(found, sizes)
+            outside = found.where("size(rest) > 0").select(F.explode("rest").alias("gram"), "a", F.col("b").alias("key"), "linked").select(F.xxhash64("a", "gram").alias("sig"), "key", "linked")
             several = outside.groupBy("sig").agg(F.min("key").alias("low"), F.max("key").alias("high"), F.min("linked").alias("all")).where("low <> high AND NOT all").select("sig")
             groups = outside.join(staged(several, "several"), "sig").select("sig", "key").distinct()
 
