@@ -72,21 +72,37 @@ def joined_ranges(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np
     return starts[new], stops[np.append(new[1:], starts.size) - 1]
 
 
-def suffix_ranks(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ranks of all suffixes by their first ``STEP`` symbols and by at least ``length`` symbols."""
-    n = text.size
+def _ranks(keys: np.ndarray) -> np.ndarray:
+    """Dense ranks, equal for equal keys."""
+    order = np.argsort(keys)
+    rank = np.empty(keys.size, np.int64)
+    rank[order] = np.cumsum(np.diff(keys[order], prepend=keys[order[:1]]) != 0)
+    return rank
+
+
+def _ahead(values: np.ndarray, by: int) -> np.ndarray:
+    """Values ``by`` places on; 0 past the end."""
+    return np.concatenate((values[by:], np.zeros(min(by, values.size), values.dtype)))
 
-    def pair(rank: np.ndarray, by: int) -> np.ndarray:
-        after = np.zeros(n, np.int64)
-        after[: n - by] = rank[by:] + 1
-        return np.unique(rank * (n + 2) + after, return_inverse=True)[1].astype(np.int64)
 
-    rank, size, step = text.astype(np.int64), 1, None
+def suffix_ranks(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ranks of all suffixes by their first ``STEP`` symbols and by ``length`` symbols.
+
+    Symbols are under 512, so the first seven fit in one key; after that each sort doubles the
+    depth, by way of ``STEP``.
+    """
+    keys = np.zeros(text.size, np.int64)
+    for i in range(7):
+        keys = keys * 512 + _ahead(text, i)
+    rank, size, step = _ranks(keys), 7, None
     while size < length:
-        if 2 * size > STEP and step is None:
-            step = rank if size == STEP else pair(rank, STEP - size)
-        rank = pair(rank, size)
-        size *= 2
+        end = STEP if step is None else length
+        half = (end + 1) // 2
+        size_next = end if 2 * size >= end else min(2 * size, half) if half > size else 2 * size
+        rank = _ranks(rank * (text.size + 2) + _ahead(rank + 1, size_next - size))
+        size = size_next
+        if size == STEP:
+            step = rank
     return step, rank
 
 
@@ -99,13 +115,12 @@ def repeated_starts(parts: list[np.ndarray], length: int) -> np.ndarray:
     for x, at in zip(parts, np.cumsum(sizes) - sizes, strict=True):
         text[at : at + x.size] = x.astype(np.int64) + 1
     step, rank = suffix_ranks(text, length)
-    order = np.argsort(rank, kind="stable")
+    order = np.argsort(rank)
     place = np.empty_like(order)
     place[order] = np.arange(order.size)
     # the transform: the step before each sorted suffix, or none where its part begins
-    before = order - STEP
-    has = before >= begin[order]
-    bwt = np.where(has, step[np.maximum(before, 0)], -1)
+    has = order - STEP >= begin[order]
+    bwt = np.where(has, step[np.maximum(order - STEP, 0)], -1)
     low, high = np.array([0]), np.array([order.size])
     for _ in range(length // STEP):
         width = high - low
@@ -113,14 +128,14 @@ def repeated_starts(parts: list[np.ndarray], length: int) -> np.ndarray:
         of = np.repeat(np.arange(low.size), width)
         real = bwt[slot] >= 0
         slot, of = slot[real], of[real]
-        if not slot.size:
-            return slot
-        _, group, count = np.unique(of * (order.size + 1) + bwt[slot], return_inverse=True, return_counts=True)
-        to = place[order[slot] - STEP]
-        low = np.full(count.size, order.size)
-        np.minimum.at(low, group, to)
-        high = low + count
-        low, high = low[count > 1], high[count > 1]
+        # where the extended suffixes stand; those of one interval and step are neighbours there
+        whose = np.full(order.size, -1)
+        whose[place[order[slot] - STEP]] = of * (order.size + 1) + bwt[slot]
+        there = np.flatnonzero(whose >= 0)
+        first = np.flatnonzero(np.diff(whose[there], prepend=-2) != 0)
+        count = np.diff(np.append(first, there.size))
+        low = there[first[count > 1]]
+        high = low + count[count > 1]
     width = high - low
     return order[np.repeat(low - (np.cumsum(width) - width), width) + np.arange(int(width.sum()))]
 
