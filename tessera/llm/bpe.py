@@ -15,6 +15,7 @@ one; columns other than those named are ignored.
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 from collections.abc import Iterator
 
@@ -27,8 +28,10 @@ from pyspark.sql import DataFrame
 
 #: Splits text before the merges. Fixed value: the pattern of the public vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Encoded pieces that a worker remembers, and their greatest length in characters.
+#: Encoded pieces in each of two generations that a worker remembers, and their greatest length in characters.
 CACHE, CACHED_CHARS = 1 << 17, 40
+#: Compatible and other pairs that a worker remembers.
+PAIRS = 1 << 19
 #: Documents that a worker holds as lists of ids at a time.
 SLICE = 128
 
@@ -50,12 +53,12 @@ class BytePairs:
         ids: dict[str, int] = spec["model"]["vocab"]
         merges = [tuple(m if isinstance(m, list) else m.split(" ")) for m in spec["model"]["merges"]]
         self.chars = byte_chars()
-        self.table = {b: c for b, c in self.chars.items()}
+        self.table = self.chars
         #: merge order of a joined pair; of a token, -1 for single bytes
         self.joined = {(ids[a], ids[b]): rank for rank, (a, b) in enumerate(merges)}
         self.parts = {ids[a + b]: (ids[a], ids[b]) for a, b in reversed(merges)}
         self.rank = {ids[a + b]: rank for rank, (a, b) in reversed([*enumerate(merges)])}
-        self.text = {i: t for t, i in ids.items()}
+        self.length_of = {i: len(t) for t, i in ids.items()}
         self.ids = ids
         self.automaton = ahocorasick.Automaton()
         for t, i in ids.items():
@@ -66,7 +69,9 @@ class BytePairs:
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.split = regex.compile(PATTERN)
         self.known: dict[str, tuple[int, ...]] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
+        self.pairs: dict[int, bool] = {}
+        self.stand_in = {b: c for b, c in self.chars.items() if b < 128}
         back = {c: b for b, c in self.chars.items()}
         size = 1 + max([*ids.values(), *self.special.values()])
         raw = [b""] * size
@@ -83,9 +88,7 @@ class BytePairs:
         Undo the merges at the border, the latest first: the border falls if a pair that meets at
         it on some level would have been joined before the merges that built its sides further.
         """
-        key = (left, right)
-        if (known := self.pairs.get(key)) is not None:
-            return known
+        key = left << 32 | right
         rank, parts, joined = self.rank, self.parts, self.joined
         a, b, bound, ok = left, right, 1 << 60, True
         while True:
@@ -100,17 +103,24 @@ class BytePairs:
                 bound, a = ra, parts[a][1]
             else:  # of equal order the left one merges first, so a join of that order crosses
                 bound, b = rb + 1, parts[b][0]
-        if len(self.pairs) >= CACHE:
+        if len(self.pairs) >= PAIRS:
             self.pairs.clear()
         self.pairs[key] = ok
         return ok
 
     def encode_piece(self, piece: str) -> tuple[int, ...]:
         """Ids of one piece of the split text."""
-        text = "".join(map(self.table.__getitem__, piece.encode("utf-8")))
-        whole = self.ids.get(text)
-        if whole is not None:
-            return (whole,)
+        text = piece.translate(self.stand_in) if piece.isascii() else "".join(map(self.table.__getitem__, piece.encode("utf-8")))
+        walk = [i for _, (_, i) in self.automaton.iter_long(text)]  # the longest match at each place in turn
+        pairs, left = self.pairs, -1
+        for right in walk:
+            if left >= 0 and not (pairs[key] if (key := left << 32 | right) in pairs else self.fits(left, right)):
+                return self.backtrack(text)
+            left = right
+        return tuple(walk)
+
+    def backtrack(self, text: str) -> tuple[int, ...]:
+        """The walk where a longest match has to give way."""
         n = len(text)
         longest = [0] * n
         size = [0] * n
@@ -119,41 +129,48 @@ class BytePairs:
             if length > size[at]:
                 size[at], longest[at] = length, i
         dead = bytearray(n + 1)
+        pairs, fits, length_of, shorter = self.pairs, self.fits, self.length_of, self.shorter
         out: list[int] = []
         at, token = 0, longest[0]
         while at < n:
             tried: int | None = token
+            left = out[-1] if out else -1
             while tried is not None:
-                end = at + len(self.text[tried])
-                if not dead[end] and (not out or self.fits(out[-1], tried)):
+                if not dead[at + length_of[tried]] and (left < 0 or (pairs[key] if (key := left << 32 | tried) in pairs else fits(left, tried))):
                     break
-                tried = self.shorter[tried]
+                tried = shorter[tried]
             if tried is None:
                 dead[at] = 1
                 token = out.pop()
-                at -= len(self.text[token])
+                at -= length_of[token]
             else:
                 out.append(tried)
-                at += len(self.text[tried])
+                at += length_of[tried]
                 token = longest[at] if at < n else 0
         return tuple(out)
 
+    def encode_span(self, span: str) -> Iterator[int]:
+        """Ids of a text without special strings; each distinct piece is encoded once."""
+        pieces = self.split.findall(span)
+        fresh = set(pieces).difference(self.known)
+        if len(self.known) + len(fresh) > CACHE:  # what is still in use moves on from the generation before
+            self.older, self.known, fresh = self.known, {}, set(pieces)
+        known, older = self.known, self.older
+        for piece in fresh:
+            known[piece] = older[piece] if piece in older else self.encode_piece(piece)
+        out = itertools.chain.from_iterable([*map(known.__getitem__, pieces)])
+        for piece in fresh:
+            if len(piece) > CACHED_CHARS:
+                del known[piece]
+        return out
+
     def encode(self, text: str) -> list[int]:
         out: list[int] = []
-        known = self.known
         for k, span in enumerate(self.cut.split(text) if self.cut else [text]):
             if k % 2:
                 out.append(self.special[span])
-                continue
-            for piece in self.split.findall(span):
-                ids = known.get(piece)
-                if ids is None:
-                    ids = self.encode_piece(piece)
-                    if len(piece) <= CACHED_CHARS:
-                        if len(known) >= CACHE:
-                            known.clear()
-                        known[piece] = ids
-                out += ids
+            else:
+                out += self.encode_span(span)
         return out
 
     def decode(self, ids: np.ndarray) -> str:
