@@ -1,9 +1,14 @@
-"""Quality rules: base counts, and bands for zstandard compression ratios.
+"""Quality rules: base counts, and limits for zstandard compression ratios.
 
-A document compresses within a band that depends on its length: clean prose of a given length
-gives much the same ratio in any language, text that repeats itself compresses far better, and
-noise hardly at all. The whole text is held against the band of its length class, and so is each
-fixed chunk of a longer text, which finds a repetitive or random passage that the rest dilutes.
+A document compresses within limits that depend on its length: text that repeats itself compresses
+far better than prose of its length, and noise hardly at all. The whole text is held against the
+limits for its length, and so are its chunks of two sizes, which find a random or repetitive passage
+that the rest dilutes: 1 KB ones short passages, 4 KB ones repeats of a longer period. The last chunk
+ends with the text. A text goes if more than a small share of the chunks of either size are odd, or
+odd ones follow each other for 3 KB.
+
+What ratios can't tell stays: noise over few characters (hexadecimal digits, letters of one case)
+compresses as dense prose does, and texts under 200 bytes have no stable ratio.
 
 Null or empty text: no words, all counts 0, rejected by the base rule. Rows are judged one by
 one, so repeated rows and ties give repeated results, a null id is kept, and columns beyond the
@@ -13,6 +18,7 @@ two that are named are ignored. An empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -22,10 +28,16 @@ from pyspark.sql import DataFrame
 
 from tessera.llm.work import SPACE, hash_shingles, hash_words
 
-#: (at least so many bytes, least ratio, greatest ratio). Short texts have no stable ratio.
-BANDS = ((200, 0.0, 3.2), (500, 1.10, 3.6), (1_000, 1.15, 4.2), (2_000, 1.20, 4.8), (8_000, 1.25, 5.4), (32_000, 1.25, 6.0))
-#: The band for one chunk, its bytes, and the share of chunks outside that rejects a text.
-CHUNK_BAND, CHUNK, CHUNK_SHARE = (1.15, 6.0), 4_096, 0.5
+#: (bytes, least ratio, greatest ratio); in between by the logarithm of the bytes. Random base64 words
+#: reach 1.07, 1.13, 1.21, 1.29 and 1.36 at 200, 300, 500, 1,000 and 64,000 bytes; real prose, lists and
+#: code start at 1.12, 1.18, 1.37, 1.55 and 2.0 and, but for tables and rulers of up to 700 bytes, end at
+#: 3.1 at 1,000 bytes and 3.8 at 8,000.
+LIMITS = (
+    (200, 1.09, 2.4), (250, 1.15, 2.5), (300, 1.16, 2.6), (400, 1.22, 2.7), (500, 1.28, 2.8), (700, 1.34, 3.0), (1_000, 1.40, 3.3),
+    (2_000, 1.45, 3.6), (4_096, 1.50, 3.9), (8_000, 1.55, 4.2), (16_000, 1.55, 4.4), (64_000, 1.55, 4.8),
+)
+#: Bytes of a chunk, the share of odd ones that a text may have, and the odd bytes in a row that reject it.
+CHUNKS, CHUNK_SHARE, RUN = (1_024, 4_096), 0.1, 3_072
 LEVEL = 3
 
 COLUMNS = {
@@ -54,16 +66,39 @@ def dup_lines(text: str) -> int:
     return len(lines) - len(set(lines))
 
 
+def limits(n: int) -> tuple[float, float]:
+    """Least and greatest ratio of a text of ``n`` bytes."""
+    at, low, high = zip(*LIMITS, strict=True)
+    return float(np.interp(np.log(n), np.log(at), low)), float(np.interp(np.log(n), np.log(at), high))
+
+
+_OF_CHUNK = {size: limits(size) for size in CHUNKS}
+
+
+def odd_chunks(raw: bytes, size: int, packer: zstandard.ZstdCompressor) -> list[bool]:
+    """For each chunk of a text of more than ``size`` bytes, the tail included, whether it is odd."""
+    low, high = _OF_CHUNK[size]
+    starts = [*range(0, len(raw) - size, size), len(raw) - size]
+    return [not low <= size / len(packer.compress(raw[i : i + size])) <= high for i in starts]
+
+
 def bands(raw: bytes, packer: zstandard.ZstdCompressor) -> tuple[float | None, int, int, bool]:
-    """Ratio, chunks, chunks outside their band, and whether the text is inside all bands."""
-    if len(raw) < BANDS[0][0]:
+    """Ratio, chunks, chunks outside their limits, and whether the text is inside all limits."""
+    if len(raw) < LIMITS[0][0]:
         return None, 0, 0, True
     ratio = len(raw) / len(packer.compress(raw))
-    low, high = next((lo, hi) for n, lo, hi in reversed(BANDS) if len(raw) >= n)
-    whole = low <= ratio <= high
-    chunks = [raw[i : i + CHUNK] for i in range(0, len(raw) - CHUNK + 1, CHUNK)] if len(raw) >= 2 * CHUNK else []
-    odd = sum(not CHUNK_BAND[0] <= CHUNK / len(packer.compress(x)) <= CHUNK_BAND[1] for x in chunks)
-    return ratio, len(chunks), odd, whole and odd <= CHUNK_SHARE * len(chunks)
+    low, high = limits(len(raw))
+    inside = low <= ratio <= high
+    chunks, odd = 0, 0
+    for size in CHUNKS:
+        if len(raw) > size:
+            found = odd_chunks(raw, size, packer)
+            run = max((len([*group]) for is_odd, group in groupby(found) if is_odd), default=0)
+            chunks, odd = chunks + len(found), odd + sum(found)
+            inside = inside and sum(found) <= CHUNK_SHARE * len(found) and run * size < RUN
+    if not chunks:  # the text itself is the one chunk
+        chunks, odd = 1, int(not inside)
+    return ratio, chunks, odd, inside
 
 
 def judge(text: str | None, packer: zstandard.ZstdCompressor) -> tuple:

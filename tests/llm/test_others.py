@@ -60,6 +60,29 @@ def test_compression_bands():
     assert not quality_rules.bands(half, packer)[3]
 
 
+def test_noise_and_repeats_are_found_at_any_length_and_place():
+    import zstandard
+
+    packer = zstandard.ZstdCompressor(level=3)
+    rnd = random.Random(8)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+
+    def noise(n):
+        return " ".join("".join(rnd.choice(letters) for _ in range(rnd.randint(3, 12))) for _ in range(n // 8 + 2)).encode()[:n]
+
+    prose = clean(rnd, 20_000).encode()
+    inside = lambda *parts: quality_rules.bands(b" ".join(parts), packer)[3]
+    for n in (200, 250, 300, 400, 500, 900, 1_024, 3_000, 4_096, 5_000, 10_000, 60_000):
+        assert inside(prose[:n]), n
+        assert not inside(noise(n)), n
+        assert not inside((prose[:60] * (n // 60 + 1))[:n]), n
+    assert not inside(prose[:30_000], noise(20_000))
+    assert not inside(prose[:30_000], noise(4_095)) and not inside(prose[:3_000], noise(2_500))
+    assert not inside(prose[:20_000], noise(5_000), prose[20_000:80_000])
+    assert not inside(prose[:30_000], prose[:700] * 12, prose[30_000:80_000])
+    assert inside(prose[:30_000], noise(900), prose[30_000:60_000])
+
+
 TURNS = "conv_id long, turn long, role string, text string, formatted string, t long"
 
 
