@@ -213,6 +213,27 @@ def test_sparse_sites_shrink(spark):
     assert by[1000] < by[2000] < by[0]
 
 
+def test_bad_documents_inside_clean_sites_go(spark):
+    rnd = random.Random(6)
+    dirty = lambda: " ".join(w + "***" for w in clean(rnd, 60).split())
+    rows = [(i, clean(rnd, 60), "large") for i in range(3000)] + [(5000 + i, dirty(), "large") for i in range(3)]
+    rows += [(6000 + i, clean(rnd, 60) if i % 2 else dirty(), "mixed") for i in range(400)]
+    rows += [(7000 + i, dirty(), "junk") for i in range(600)] + [(8000 + i, clean(rnd, 60), "junk") for i in range(3)]
+    known = spark.createDataFrame([(6000 + i, i % 2) for i in range(400)], "doc_id long, quality int")
+    by = {r["doc_id"]: r for r in site_quality.site_quality(table(spark, rows), known).collect()}
+    assert by[5000]["path_rate"] > 0.98
+    assert not any(by[5000 + i]["kept"] for i in range(3)) and all(by[8000 + i]["kept"] for i in range(3))
+    assert all(by[i]["kept"] for i in range(3000)) and not any(by[7000 + i]["kept"] for i in range(600))
+
+
+def test_threshold_follows_the_costs(monkeypatch):
+    odds, y = np.array([-5.0, -1.0, 1.0, 2.0, 3.0]), np.array([0, 1, 0, 1, 1])
+    monkeypatch.setattr(site_quality, "COSTS", (1.0, 0.1))
+    assert -5 < site_quality.threshold(odds, y) <= -1
+    monkeypatch.setattr(site_quality, "COSTS", (0.1, 1.0))
+    assert 1 < site_quality.threshold(odds, y) <= 2
+
+
 def test_pipeline(spark, sf_dir):
     """Each stage keeps documents' columns; the end has the ids of what mixing kept."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
