@@ -37,7 +37,7 @@ ROUNDS = 3
 DISCOUNT, SEED_SCORE, PATTERN_SCORE, REPORT_SCORE = 4.0, 0.8, 0.6, 0.8
 #: Distinct seeds of the kind that a pattern must have had.
 LEAST_SEEDS = 5
-#: Characters of an instance or of a context word that identify it.
+#: Characters of the longest word that stands for itself; longer ones are known by a hash of all of it.
 WORD_CHARS = 48
 
 
@@ -68,12 +68,16 @@ def with_bases(docs: DataFrame, text: str) -> DataFrame:
     return df.withColumn("phone", F.filter("phone", lambda s: F.length(only(s)).between(9, 15))).drop("_digit", "_at", "_mail", "_nums")
 
 
+def key(word: Column) -> Column:
+    """What identifies a word, in lower case."""
+    low = F.lower(word)
+    return F.when(F.length(low) <= WORD_CHARS, low).otherwise(F.concat(F.lit("# "), F.sha2(low, 256)))
+
+
 def contexts(before: Column, after: Column) -> Column:
     """The lexical patterns around an instance: the word before it and the word after it."""
-    tidy = lambda w: F.left(F.lower(F.regexp_replace(w, r"[^\p{L}\p{N}]+$|^[^\p{L}\p{N}]+", "")), F.lit(WORD_CHARS))
-    left = F.regexp_extract(before, r"([^\x20\x09-\x0D]++)[\x20\x09-\x0D]*+$", 1)
-    right = F.regexp_extract(after, r"^[\x20\x09-\x0D]*+([^\x20\x09-\x0D]++)", 1)
-    return F.filter(F.array(F.concat(F.lit("before "), tidy(left)), F.concat(F.lit("after "), tidy(right))), lambda p: ~p.isin("before ", "after "))
+    tidy = lambda w: key(F.regexp_replace(w, r"(?<![^\p{L}\p{N}])[^\p{L}\p{N}]++\z|^[^\p{L}\p{N}]++", ""))
+    return F.filter(F.array(F.concat(F.lit("before "), tidy(before)), F.concat(F.lit("after "), tidy(after))), lambda p: ~p.isin("before ", "after "))
 
 
 def score(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -104,7 +108,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     df = with_bases(df, "text")
     df = df.withColumn("base", F.array_sort(F.concat(*[labelled(F.col(k), k, i) for i, k in enumerate(KINDS[:4])])))
     df = without_overlaps(df, "tokens", "base")
-    seen = lambda s, kind: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), F.left(F.lower(s["value"]), F.lit(WORD_CHARS)).alias("instance"), kind.cast("string").alias("kind"), contexts(s["before"], s["after"]).alias("patterns"))
+    seen = lambda s, kind: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), key(s["value"]).alias("instance"), kind.cast("string").alias("kind"), contexts(s["before"], s["after"]).alias("patterns"))
     of_kind = lambda spans, kind: F.transform(spans, lambda s: seen(s, F.lit(kind)))
     places = F.concat(*[of_kind(F.col(k), k) for k in KINDS[:4]], of_kind(F.col("tokens"), None))
     rows = staged(df.select("id", F.monotonically_increasing_id().alias("row"), "base", places.alias("places")), "pii")

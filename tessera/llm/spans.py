@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 #: Elements that one running sum takes at a time, so that long arrays cost no quadratic copying.
 BLOCK = 256
-#: Code points of text kept on either side of a match.
-NEAR = 64
+#: The last and the first word of the text between two matches; a run is entered only at its start.
+LAST_WORD, FIRST_WORD = r"(?<![^\x20\x09-\x0D])([^\x20\x09-\x0D]++)[\x20\x09-\x0D]*+\z", r"^[\x20\x09-\x0D]*+([^\x20\x09-\x0D]++)"
 
 
 def running(df: DataFrame, name: str, values: Column, start: int, op: Callable[[Column, Column], Column]) -> DataFrame:
@@ -44,7 +44,7 @@ def with_spans(df: DataFrame, name: str, text: Column, pattern: str, when: Colum
     none = F.array().cast("array<string>")
     df = df.withColumn(m, F.when(when, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(none))
     df = df.withColumn(g, F.when(F.size(m) > 0, F.split(text, pattern, -1)).otherwise(none))
-    edges = lambda x: [F.right(x, F.lit(NEAR)).alias("before"), F.left(x, F.lit(NEAR)).alias("after")] if context else []
+    edges = lambda x: [F.regexp_extract(x, LAST_WORD, 1).alias("before"), F.regexp_extract(x, FIRST_WORD, 1).alias("after")] if context else []
     df = df.withColumn(g, F.transform(g, lambda x: F.struct(F.length(x).alias("g"), *edges(x))))
     n = F.size(m)
     df = df.withColumn(p, F.zip_with(F.slice(g, 1, n), m, lambda x, y: F.struct(x["g"].alias("g"), F.length(y).alias("n"), y.alias("value"), *([x["before"].alias("before")] if context else []))))

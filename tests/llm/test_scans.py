@@ -69,6 +69,16 @@ def test_contexts_find_identifiers_that_no_pattern_matches(spark):
     assert not any(v for k, v in got.items() if k < 100 or k >= 200)
 
 
+def test_long_words_are_told_apart_by_all_their_characters(spark):
+    long = "a-name-of-which-the-first-forty-eight-characters-are-the-same-"
+    rows = [(i, f"please write to {long}{i}@mail.example.com {' ' * 80}whenever", "", "") for i in range(60)]
+    rows += [(100 + i, f"please write to user{i}#corp7 whenever", "", "") for i in range(3)]
+    rows += [(200 + i, f"say {long}x or {long}{i} to {'.' * 50_000}", "", "") for i in range(3)]
+    got = {r["doc_id"]: [s["kind"] for s in r["added"]] for r in pii.find_pii(spark.createDataFrame(rows, DOCS)).collect()}
+    assert all(got[100 + i] == ["learned"] for i in range(3))
+    assert not any(v for k, v in got.items() if k < 100 or k >= 200)
+
+
 def test_markov_models_tell_random_strings_from_identifiers(spark):
     rnd = random.Random(9)
     rand = lambda n: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(n))
