@@ -1,53 +1,49 @@
 """N-gram Jaccard join: which documents share nearly all their word shingles.
 
-The document by n-gram incidence matrix A is cut into column blocks by a hash of the n-gram, and
-the product of A with its transpose is taken blockwise:
-
-1. Two sets of sizes a and b that link differ in at most d = (a + b)(1 - t)/(1 + t) n-grams. With
-   more than d blocks at least one block of both rows is equal, so equal non-empty blocks (joined
-   by a hash of block number and content) are the only places where the product needs to be
-   formed. The number of blocks follows from the size: sizes fall into classes whose ends are in
-   the ratio t, and a row is blocked once for its own class and once for the next, which covers
-   every pair whose sizes let it link.
-2. For the row pairs found, overlap counts are accumulated over the whole rows, and pairs below the
-   bound that their sizes give are discarded.
-
-A pair whose equal blocks are all empty can't be found by them. A row with so many empty blocks
-that this could happen is blocked again by another hash, and at last by none. n-grams that stand in
-very many documents are left out of the first blocking (the bound holds for what is left), so that
-a passage everybody quotes joins nobody; rows with hardly anything else are blocked whole.
-
-Rows with equal sets are one class from the start. Of the rows that share a block each is compared
-with one of them, the pivot, and linked rows merge. In a block of few rows those that are still
-apart are then compared with each other. In a block of many rows each row x is described by what
-it adds to the pivot, A(x), and how much it drops, r(x). If x and y add nothing in common they
-differ in at least |A(x)| + |A(y)| + |r(x) - r(y)| n-grams. So rows that are still apart meet again
-only where they add the same n-gram to the same pivot, in blocks treated like the first, or where
-this sum is within what their sizes allow. No pair that links is lost, and a group of thousands of
-near copies is not compared pair by pair. The pivot is the row that shares most blocks, which in
-such a group is what the copies were made from.
-
-A-Z are lower-cased; words are runs of anything but ASCII white space. A text with fewer words than
-a shingle has its whole sequence as the only one; without words or text the set is empty and the
-document a component of its own, whose id is its own id, null for a null id. Repeated rows have
-equal sets and so one component. Components with ids take the smallest id. Sets are known by 64-bit
-hashes of their content. Columns beyond those named are ignored; an empty table gives no rows.
+Links are found by a blocked product of the sparse document by n-gram incidence matrix A with its
+transpose:
+
+1. Column blocks tell which rows can link. Two sets of sizes a and b that link differ in at most
+   d = (a + b)(1 - t)/(1 + t) n-grams, so of more than d column blocks, dealt by a hash of the
+   n-gram, one at least is equal in both rows. The number of blocks follows from the size: sizes
+   fall into classes whose ends are in the ratio t, and a row is blocked once for its own class and
+   once for the next, which covers every pair whose sizes let it link. A pair whose equal blocks
+   are all empty can't be found; a row with so many empty blocks that this could happen is blocked
+   again by another hash, and at last by none. n-grams that stand in very many documents are left
+   out of the first blocking (the bound holds for what is left), so that a passage everybody quotes
+   joins nobody; rows with hardly anything else are blocked whole.
+2. Rows joined by equal blocks, directly or through others, are a family: A is block-diagonal but
+   for n-grams that can't make a link. Each family is a row block. One too large for a task is dealt
+   into tiles of bounded size, and each pair of tiles is a block of the product. Families of many
+   tiles are cut again by other blocks first, which takes apart what only chance had joined.
+3. In each block overlap counts are accumulated over column blocks, rare n-grams first. Rows whose
+   shared n-grams are fewer than their size asks for are taken out before, again and again, as that
+   makes other n-grams unshared; pairs whose count and remaining n-grams stay below the bound of
+   their sizes are discarded on the way.
+4. A block gives only as many links as join the rows that it found linked, at most one a row. Neither
+   pairs nor n-grams ever are rows of a table. The components of these links are the result.
+
+Sets that are equal are one row of A. A-Z are lower-cased; words are runs of anything but ASCII white
+space. A text with fewer words than a shingle has its whole sequence as the only one; without words or
+text the set is empty and the document a component of its own, whose id is its own id, null for a null
+id. Repeated rows have equal sets and so one component. Components with ids take the smallest id.
+n-grams and sets are known by 64-bit hashes. Columns beyond those named are ignored; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
 
-import functools
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.components import components
-from tessera.llm.work import hash_shingles, hash_words, mix64, staged
+from tessera.llm.components import components, roots
+from tessera.llm.work import bounded, hash_shingles, hash_words, mix64, rows_that_stay, staged, superseded
 
 _U = np.uint64
 #: An n-gram is common from so many documents on; at most COMMON_MOST of them can be.
@@ -56,13 +52,14 @@ LEAST_COMMON, COMMON_MOST = 50, 1 << 20
 COUNTED, NOTED = 1 << 20, 3
 #: Blockings by other hashes before a row is blocked as a whole.
 TRIES = 4
-#: Ids that are broadcast at most (some 32 MB); beyond, a sort-merge join takes over.
-BROADCAST_IDS = 1_000_000
-#: Rows that are compared with a pivot in one task, about.
-PIVOT_ROWS = 256
-#: Rows of a block that are compared with each other: at first, and how often that grows fourfold from
-#: level to level before all rows are; and pairs that are compared outright at any level.
-FEW, LEVELS, OUTRIGHT = 16, 4, 100_000
+#: Rows and n-grams in a tile of a family, about.
+TILE_ROWS, TILE_GRAMS = 2_048, 1 << 20
+#: Families of more tiles are blocked again, by at most so many further cuts.
+MANY_TILES, CUTS = 4, 4
+#: Cells of a dense column block, and row pairs of a sparse one, that are multiplied at a time.
+CELLS = 1 << 22
+#: What a row pair of a sparse column costs, in cells of a dense one.
+SPARSE = 256
 
 
 @dataclass(frozen=True)
@@ -103,7 +100,7 @@ def shingle_set(text: str | None, k: int) -> np.ndarray:
 
 def _block_hashes(grams: np.ndarray, level: int, count: int, view: int) -> np.ndarray:
     """Hashes of the non-empty blocks of a row."""
-    salt = mix64(np.array([level * 64 + view + 1], _U))[0]
+    salt = mix64(np.array([level * 4096 + view + 1], _U))[0]
     place = (mix64(grams ^ salt) % _U(count)).astype(np.int64)
     sums = np.zeros(count, _U)
     np.add.at(sums, place, mix64(grams + salt))
@@ -111,8 +108,11 @@ def _block_hashes(grams: np.ndarray, level: int, count: int, view: int) -> np.nd
     return mix64(sums[full] + mix64((full + 1).astype(_U) * salt))
 
 
-def signatures(grams: np.ndarray, common: np.ndarray, sizes: Sizes) -> np.ndarray:
-    """Block hashes under which a row can be found by any row that it links with."""
+def signatures(grams: np.ndarray, common: np.ndarray, sizes: Sizes, cut: int = 0) -> np.ndarray:
+    """Block hashes under which a row can be found by any row that it links with.
+
+    Each ``cut`` deals the n-grams to blocks in another way, and holds for all links by itself.
+    """
     out = []
     rare = grams
     if common.size:
@@ -122,7 +122,7 @@ def signatures(grams: np.ndarray, common: np.ndarray, sizes: Sizes) -> np.ndarra
     for level in (own, own + 1):
         count, spare = sizes.blocks(level)
         for view in range(TRIES):
-            found = _block_hashes(grams if view else rare, level, count, view)
+            found = _block_hashes(grams if view else rare, level, count, cut * TRIES + view)
             out.append(found)
             if count - found.size <= spare:
                 break
@@ -131,6 +131,10 @@ def signatures(grams: np.ndarray, common: np.ndarray, sizes: Sizes) -> np.ndarra
     return np.unique(np.concatenate(out))
 
 
+def set_key(grams: np.ndarray) -> int:
+    return int(mix64(np.array([np.add.reduce(mix64(grams + _U(11)))], _U) + _U(grams.size)).view(np.int64)[0])
+
+
 def _slices(parts: Iterator[pd.DataFrame], k: int) -> Iterator[tuple[pd.DataFrame, list[np.ndarray]]]:
     for part in parts:
         for at in range(0, len(part), 256):
@@ -138,125 +142,248 @@ def _slices(parts: Iterator[pd.DataFrame], k: int) -> Iterator[tuple[pd.DataFram
             yield rows, [shingle_set(t, k) for t in rows["text"]]
 
 
-def common_grams(texts: DataFrame, k: int) -> np.ndarray:
-    """Sorted hashes of n-grams that stand in very many documents.
+def _surveyed(texts: DataFrame, k: int) -> DataFrame:
+    """Two kinds of rows: (id, n, key) for each text, key null for empty sets; and (gram, times).
 
-    Every document is counted; among each ``COUNTED`` n-grams those that occur fewer than ``NOTED``
-    times are dropped, so counts are lower bounds. The least count grows with the corpus so that
-    the table is at most ``COMMON_MOST`` long. Which n-grams are in it never changes a result.
+    Every n-gram is counted; among each ``COUNTED`` those that occur fewer than ``NOTED`` times are
+    dropped, so counts are lower bounds.
     """
 
-    def note(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def survey(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[np.ndarray] = []
-        size = total = 0
+        size = 0
 
-        def flush() -> pd.DataFrame:
-            grams, n = np.unique(np.concatenate(held), return_counts=True) if held else (np.empty(0, _U), np.empty(0, np.int64))
+        def noted() -> pd.DataFrame:
+            grams, n = np.unique(np.concatenate(held), return_counts=True)
             often = n >= NOTED
-            return pd.DataFrame({"gram": grams[often].view(np.int64), "n": n[often]})
+            return pd.DataFrame({"id": None, "n": None, "key": None, "gram": grams[often].view(np.int64), "times": n[often]})
 
-        for _, sets in _slices(parts, k):
+        for rows, sets in _slices(parts, k):
+            keys = pd.array([set_key(x) if x.size else None for x in sets], dtype="Int64")
+            yield pd.DataFrame({"id": rows["id"], "n": [x.size for x in sets], "key": keys, "gram": None, "times": None})
             held += sets
             size += sum(x.size for x in sets)
             if size >= COUNTED:
-                yield flush()
-                total, size, held = total + size, 0, []
-        yield flush()
-        yield pd.DataFrame({"gram": [None], "n": [total + size]}, dtype="Int64")
+                yield noted()
+                size, held = 0, []
+        if held:
+            yield noted()
+
+    kind = texts.schema["id"].dataType.simpleString()
+    return texts.mapInPandas(survey, f"id {kind}, n long, key long, gram long, times long")
 
-    counts = staged(texts.select("text").mapInPandas(note, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")), "common")
-    total = counts.where("gram IS NULL").agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+
+def _common(surveyed: DataFrame) -> np.ndarray:
+    """Sorted hashes of n-grams that stand in very many documents.
+
+    The least count grows with the corpus so that the table is at most ``COMMON_MOST`` long. Which
+    n-grams are in it never changes a result.
+    """
+    total = surveyed.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     least = max(LEAST_COMMON, total // COMMON_MOST + 1)
-    found = counts.where(F.col("gram").isNotNull() & (F.col("n") >= least)).select("gram").toPandas()["gram"]
+    counts = surveyed.where("gram IS NOT NULL").groupBy("gram").agg(F.sum("times").alias("n"))
+    found = counts.where(F.col("n") >= least).select("gram").toPandas()["gram"]
     return np.sort(found.to_numpy(np.int64).view(_U))
 
 
-def _described(texts: DataFrame, k: int, sizes: Sizes, common: np.ndarray) -> DataFrame:
-    """Rows (id, n, key, signatures); key is null for empty sets."""
+def _neighbours(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Links (a, b) from the first key of each block hash to the others; rows come sorted by hash."""
+    last, low = None, 0
+    for part in parts:
+        sig, key = part["sig"].to_numpy(), part["key"].to_numpy()
+        if not sig.size:
+            continue
+        new = np.append(last is None or sig[0] != last, sig[1:] != sig[:-1])
+        first = key[np.maximum.accumulate(np.where(new, np.arange(sig.size), 0))]
+        if not new[0]:
+            first[: new.argmax() if new.any() else sig.size] = low
+        last, low = sig[-1], first[-1]
+        apart = first != key
+        yield pd.DataFrame({"a": first[apart], "b": key[apart]}).drop_duplicates()
+
+
+def _families(texts: DataFrame, k: int, sizes: Sizes, common: np.ndarray, cut: int) -> DataFrame:
+    """Rows (key, comp): the families of sets in ``texts`` (text, family), within each family given.
+
+    Sets that can link with no other are left out. A task gives the blocks of equal sets once.
+    """
     shared = texts.sparkSession.sparkContext.broadcast(common)
 
-    def describe(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cells(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: set[tuple[int, int]] = set()
         for rows, sets in _slices(parts, k):
-            rows["n"] = [x.size for x in sets]
-            rows["key"] = pd.array([_key(x) if x.size else None for x in sets], dtype="Int64")
-            rows["signatures"] = [signatures(x, shared.value, sizes).view(np.int64) if x.size else [] for x in sets]
-            yield rows[["id", "n", "key", "signatures"]]
-
-    kind = texts.schema["id"].dataType.simpleString()
-    return texts.mapInPandas(describe, f"id {kind}, n long, key long, signatures array<long>")
-
-
-def _key(grams: np.ndarray) -> int:
-    return int(mix64(np.array([np.add.reduce(mix64(grams + _U(11)))], _U) + _U(grams.size)).view(np.int64)[0])
-
-
-def _verified(texts: DataFrame, reps: DataFrame, pairs: DataFrame, k: int, sizes: Sizes) -> DataFrame:
-    """Rows (a, b, linked, rest) for pairs (a, b, wanted) of keys.
-
-    ``linked`` tells whether the overlap reaches the bound; ``rest`` are the n-grams of b that a
-    lacks, for wanted pairs. Pairs that neither link nor are wanted are left out. Rows are dealt by
-    pivot ``a`` and a block number, the pivot's own row to each of its blocks, and stream past it in
-    sorted order: a task holds one pivot and one batch, however many rows follow.
+            keys, sigs = [], []
+            for grams, family in zip(sets, rows["family"].to_numpy(np.int64).view(_U), strict=True):
+                if grams.size and ((key := set_key(grams)), int(family)) not in seen:
+                    seen.add((key, int(family)))
+                    keys.append(key)
+                    sigs.append(mix64(signatures(grams, shared.value, sizes, cut) ^ family))
+            if keys:
+                yield pd.DataFrame({"sig": np.concatenate(sigs).view(np.int64), "key": np.repeat(np.array(keys, np.int64), [x.size for x in sigs])})
+
+    dealt = texts.select("text", "family").mapInPandas(cells, "sig long, key long").repartition("sig").sortWithinPartitions("sig", "key")
+    return components(dealt.mapInPandas(_neighbours, "a long, b long"))
+
+
+def _tiled(members: DataFrame) -> DataFrame:
+    """``members`` (key, comp, ...) with the number of tiles of their family, which is mostly 1."""
+    tiles = F.ceil(F.greatest(F.count(F.lit(1)) / TILE_ROWS, F.sum("n") / TILE_GRAMS)).cast("int")
+    large = staged(members.groupBy("comp").agg(tiles.alias("tiles")).where("tiles > 1"), "large")
+    return members.join(bounded(large), "comp", "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
+
+
+def _with_texts(texts: DataFrame, members: DataFrame) -> DataFrame:
+    """``members`` with the text of the row that stands for each; other texts of a repeated id come too."""
+    return texts.join(bounded(members), F.col("id").eqNullSafe(F.col("rep")))
+
+
+def overlaps(x: list[np.ndarray], y: list[np.ndarray], sizes: Sizes) -> tuple[np.ndarray, np.ndarray]:
+    """Indices of the linked pairs of rows of ``x`` and of ``y``; of x alone if ``y`` is ``x``."""
+    same = x is y
+    sides = [x] if same else [x, y]
+    size = [np.array([s.size for s in side], np.int64) for side in sides]
+    row = [np.repeat(np.arange(len(side)), n) for side, n in zip(sides, size, strict=True)]
+    col = np.unique(np.concatenate([g for side in sides for g in side]), return_inverse=True)[1]
+    col = np.split(col, [row[0].size])[: len(sides)]
+    n_cols = 1 + max((int(c.max()) for c in col if c.size), default=-1)
+
+    def shared() -> bool:
+        """Take out columns that no pair shares and rows that share too little; whether any went."""
+        counts = [np.bincount(c, minlength=n_cols) for c in col]
+        both = counts[0] > 1 if same else (counts[0] > 0) & (counts[1] > 0)
+        went = False
+        for i in range(len(sides)):
+            stay = both[col[i]]
+            left = np.bincount(row[i][stay], minlength=size[i].size)
+            stay &= (sizes.den * left >= sizes.num * size[i])[row[i]]
+            went |= not stay.all()
+            row[i], col[i] = row[i][stay], col[i][stay]
+        return went
+
+    while shared():
+        pass
+    none = np.empty(0, np.int64)
+    if not row[0].size or not row[-1].size:
+        return none, none
+    rows, at = zip(*(np.unique(r, return_inverse=True) for r in row), strict=True)
+    count = np.bincount(col[0], minlength=n_cols) * np.bincount(col[-1], minlength=n_cols)
+    # columns numbered by how many pairs share them, fewest first
+    number = np.empty(n_cols, np.int64)
+    number[np.argsort(count, kind="stable")] = np.arange(n_cols)
+    count = np.sort(count)
+    number -= n_cols - np.count_nonzero(count)
+    count = count[count > 0]
+    width = rows[0].size, rows[-1].size
+    order = [np.argsort(number[c], kind="stable") for c in col]
+    at = [a[o] for a, o in zip(at, order, strict=True)]
+    col = [number[c][o] for c, o in zip(col, order, strict=True)]
+    n_sparse = int(np.searchsorted(count, width[0] * width[1] / SPARSE))
+    step = max(1, CELLS // max(width))
+    ends = [0, *(np.searchsorted(np.cumsum(count[:n_sparse]), np.arange(CELLS, count[:n_sparse].sum() + CELLS, CELLS), "right")).tolist()]
+    ends = sorted({*ends, n_sparse, *range(n_sparse, count.size, step), count.size})
+
+    a, b = size[0][rows[0]], size[-1][rows[-1]]
+    need = -(-sizes.num * (a[:, None] + b[None]) // (sizes.num + sizes.den)).astype(np.int32)
+    total = np.zeros(width, np.int32)
+    rest = [np.bincount(x, minlength=w) for x, w in zip((at[0], at[-1]), width, strict=True)]
+    for low, high in zip(ends, ends[1:], strict=False):
+        part = [slice(*np.searchsorted(c, [low, high])) for c in (col[0], col[-1])]
+        rows_at = [at[0][part[0]], at[-1][part[1]]]
+        cols_at = [col[0][part[0]], col[-1][part[1]]]
+        if high <= n_sparse:
+            begin = np.searchsorted(cols_at[1], cols_at[0])
+            many = np.searchsorted(cols_at[1], cols_at[0], "right") - begin
+            slot = np.repeat(begin - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+            total += np.bincount(np.repeat(rows_at[0], many) * width[1] + rows_at[1][slot], minlength=total.size).reshape(width).astype(np.int32)
+        else:
+            dense = [np.zeros((w, high - low), np.float32) for w in width[: len(sides)]]
+            for matrix, r, c in zip(dense, rows_at, cols_at, strict=False):
+                matrix[r, c - low] = 1
+            total += (dense[0] @ dense[-1].T).astype(np.int32)
+        for i in (0, 1):
+            rest[i] = rest[i] - np.bincount(rows_at[i], minlength=width[i])
+        if high < count.size and not (total + np.minimum(rest[0][:, None], rest[1][None]) >= need).any():
+            return none, none
+    hit = total >= need
+    if same:
+        hit = np.triu(hit, 1)
+    i, j = np.nonzero(hit)
+    return rows[0][i], rows[-1][j]
+
+
+def _product(parts: Iterator[pd.DataFrame], k: int, sizes: Sizes) -> Iterator[pd.DataFrame]:
+    """The links (a, b) that join what is linked in each block; rows come sorted by block.
+
+    A task holds one block, which is one tile or two.
     """
-    chunks = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PIVOT_ROWS).cast("int").alias("chunks"))
-    spread = pairs.join(chunks, "a").select(F.col("b").alias("key"), F.col("a").alias("pivot"), F.pmod(F.xxhash64("b"), F.col("chunks")).cast("int").alias("chunk"), F.when(F.col("wanted"), 2).otherwise(1).alias("part"))
-    heads = chunks.select(F.col("a").alias("key"), F.col("a").alias("pivot"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(0).alias("part"))
-    roles = staged(spread.unionByName(heads).join(reps.select("key", "rep"), "key"), "roles")
-    wanted = roles.select("rep").distinct()
-    if wanted.count() <= BROADCAST_IDS:
-        picked = texts.join(F.broadcast(wanted), F.col("id").eqNullSafe(F.col("rep")), "left_semi")
-    else:
-        picked = texts.join(wanted.hint("merge"), F.col("id").eqNullSafe(F.col("rep")), "left_semi")
-
-    def sets(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for _, found in _slices(parts, k):
-            found = [x for x in found if x.size]
-            yield pd.DataFrame({"key": np.array([_key(x) for x in found], np.int64), "grams": [x.view(np.int64) for x in found]})
-
-    rows = picked.select("text").mapInPandas(sets, "key long, grams array<long>").dropDuplicates(["key"])
-    dealt = roles.select("key", "pivot", "chunk", "part").join(rows, "key").repartition("pivot", "chunk").sortWithinPartitions("pivot", "chunk", "part")
-
-    def compare(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pivot, head = None, np.empty(0, np.int64)
-        for part in parts:
-            hits = []
-            for key, of, role, grams in zip(part["key"], part["pivot"], part["part"], part["grams"], strict=True):
-                if not role:
-                    pivot, head = of, grams
-                    continue
-                if of != pivot:
-                    raise RuntimeError("a row came without its pivot")
-                a, b = head.size, grams.size
-                near = sizes.den * min(a, b) >= sizes.num * max(a, b)
-                if role == 1 and not near:
-                    continue
-                inside = np.isin(grams, head, assume_unique=True)
-                linked = near and sizes.linked(a, b, int(inside.sum()))
-                if linked or role == 2:
-                    hits.append((of, key, linked, grams[~inside] if role == 2 else None, a, b))
-            yield pd.DataFrame(hits, columns=["a", "b", "linked", "rest", "na", "nb"]).astype({"a": "int64", "b": "int64", "linked": "bool", "na": "int64", "nb": "int64"})
-
-    return dealt.mapInPandas(compare, "a long, b long, linked boolean, rest array<long>, na long, nb long")
-
-
-def _loose(found: DataFrame, sizes: Sizes) -> DataFrame:
-    """Pairs (a, b) of rows that may link although they add no n-gram in common to their pivot.
-
-    Rows of like numbers form classes; classes meet by pivot, and only rows of classes that allow a
-    link meet.
+    block, keys, sets, tiles = None, [], [], []
+
+    def forest() -> pd.DataFrame:
+        names = np.array(keys, np.int64)
+        tile = np.array(tiles, np.int64)
+        low, high = np.flatnonzero(tile == block[1]), np.flatnonzero(tile == block[2])
+        x = [sets[i] for i in low]
+        a, b = overlaps(x, x if block[1] == block[2] else [sets[i] for i in high], sizes) if low.size and high.size else (low[:0], high[:0])
+        root = roots(low[a], high[b], names.size)
+        own = np.flatnonzero(root != np.arange(names.size))
+        return pd.DataFrame({"a": names[root[own]], "b": names[own]})
+
+    for part in parts:
+        for comp, i, j, tile, key, text in zip(*(part[c] for c in ("comp", "i", "j", "tile", "key", "text")), strict=True):
+            if (comp, i, j) != block:
+                if keys:
+                    yield forest()
+                block, keys, sets, tiles = (comp, i, j), [], [], []
+            if keys and keys[-1] == key:
+                continue
+            grams = shingle_set(text, k)
+            if set_key(grams) == key:
+                keys.append(key)
+                sets.append(grams)
+                tiles.append(tile)
+    if keys:
+        yield forest()
+
+
+def judged(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
+    """Rows (id, n, key, comp, component_id) for the rows of ``docs``, staged.
+
+    ``key`` tells sets apart and ``comp`` components; both are null for an empty set.
     """
-    gap, whole = sizes.den - sizes.num, sizes.den + sizes.num
-    rows = found.where("rest IS NOT NULL").select(F.col("a").alias("c"), F.col("b").alias("key"), "linked", "nb", F.size("rest").cast("long").alias("adds"), (F.col("na") - F.col("nb") + F.size("rest")).alias("drops"))
-    rows = rows.where(F.col("adds") * whole * sizes.num <= gap * whole * F.col("nb"))
-    marks = ["linked", "nb", "adds", "drops"]
-    kinds = staged(rows.select("c", *marks).distinct(), "kinds")
-    other = kinds.select("c", *[F.col(m).alias(f"{m}_") for m in marks])
-    differ = F.col("adds") + F.col("adds_") + F.abs(F.col("drops") - F.col("drops_"))
-    ordered = F.struct(*marks) <= F.struct(*[F.col(f"{m}_") for m in marks])
-    open_kinds = staged(kinds.join(other, "c").where((differ * whole <= gap * (F.col("nb") + F.col("nb_"))) & ~(F.col("linked") & F.col("linked_")) & ordered), "kinds")
-    left = open_kinds.join(rows, ["c", *marks]).select("c", F.col("key").alias("a"), *[F.col(f"{m}_").alias(m) for m in marks])
-    met = left.join(rows.select("c", *marks, F.col("key").alias("b")), ["c", *marks]).where("a <> b")
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    sizes = Sizes(num, den)
+    texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
+    surveyed = staged(_surveyed(texts, k), "surveyed")
+    common = _common(surveyed)
+    rows = surveyed.where("n IS NOT NULL").select("id", "n", "key")
+    reps = staged(rows.where("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("rep"), F.min("n").alias("n")), "reps")
+
+    found = _families(texts.withColumn("family", F.lit(0).cast("long")), k, sizes, common, 0)
+    members = staged(_tiled(found.join(reps, "key")), "members")
+    for cut in range(1, CUTS):
+        large = members.where(F.col("tiles") > MANY_TILES)
+        if large.isEmpty():
+            break
+        again = _with_texts(texts, large.select("rep", F.col("comp").alias("family")).distinct())
+        found = _families(again, k, sizes, common, cut)
+        parted = large.select("key", "rep", "n").join(found, "key")
+        rest = members.where(F.col("tiles") <= MANY_TILES)
+        before, members = members, staged(_tiled(parted.select("comp", "key", "rep", "n")).unionByName(rest), "members")
+        superseded(before)
+
+    tile = F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda j: F.struct(F.least("tile", j).alias("i"), F.greatest("tile", j).alias("j")))
+    blocks = members.withColumn("tile", tile).select("comp", "key", "rep", "tile", F.explode(pairs).alias("block")).select("*", "block.i", "block.j")
+    dealt = _with_texts(texts, blocks).select("comp", "i", "j", "tile", "key", "text").repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j", "key")
+    links = staged(dealt.mapInPandas(lambda parts: _product(parts, k, sizes), "a long, b long"), "links")
+    labels = components(links)
+    least = labels.join(reps, "key").groupBy("comp").agg(F.min("rep").alias("least"))
+    named = reps.join(labels.join(staged(least, "least"), "comp"), "key", "left")
+    named = staged(named.select("key", F.coalesce("comp", "key").alias("comp"), F.when(F.col("comp").isNull(), F.col("rep")).otherwise(F.col("least")).alias("component_id")), "named")
+    some = rows.where("key IS NOT NULL").join(named, "key").select("id", "n", "key", "comp", "component_id")
+    none = rows.where("key IS NULL").select("id", "n", "key", F.lit(None).cast("long").alias("comp"), F.col("id").alias("component_id"))
+    out = staged(some.unionByName(none), "judged")
+    superseded(surveyed, reps, members, links, named)
+    return out
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -264,76 +391,32 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
 
     Two documents link when den * intersection >= num * union of their sets of ``k``-word shingles.
     """
-    sizes = Sizes(num, den)
-    texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
-    rows = staged(_described(texts, k, sizes, common_grams(texts, k)), "sets")
-    reps = staged(rows.where("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("rep"), F.min("n").alias("n")), "reps")
+    return judged(docs, k, num, den, id_col, text_col).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
 
-    cells = rows.where("key IS NOT NULL").select(F.explode("signatures").alias("sig"), "key")
-    shared = staged(cells.groupBy("sig").agg(F.min("key").alias("a"), F.max("key").alias("z")).where("a <> z").select("sig"), "shared")
-    groups = cells.join(shared, "sig").distinct()
-    links = labels = tested = few = loose = None
-    most = 0
-
-    def apart(of: DataFrame) -> DataFrame:
-        """Rows (sig, key, n, comp, m, pivot) of the blocks whose rows are not all in one component."""
-        known = of.join(reps.select("key", "n"), "key")
-        known = known.withColumn("comp", F.col("key")) if labels is None else known.join(labels, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
-        known = staged(known.select("sig", "key", "n", "comp"), "known")
-        central = known.join(known.groupBy("key").agg(F.count(F.lit(1)).alias("blocks")), "key")
-        state = central.groupBy("sig").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("low"), F.max("comp").alias("high"), F.max(F.struct("blocks", "key")).alias("p"))
-        return staged(known.join(state.where("low <> high").select("sig", "m", F.col("p.key").alias("pivot")), "sig"), "apart")
-
-    for level in range(LEVELS + 2):
-        pairs = []
-        if groups is not None:
-            here = apart(groups)
-            load = here.agg(F.coalesce(F.sum((F.col("m") - 1) / 2), F.lit(0.0))).first()[0]
-            most = FEW << 2 * level if level < LEVELS and load > OUTRIGHT else 1 << 62
-            star = here.where("key <> pivot").select(F.col("pivot").alias("a"), F.col("key").alias("b"), (F.col("m") > most).alias("wanted"))
-            pairs.append(star.groupBy("a", "b").agg(F.max("wanted").alias("wanted")))
-        if few is not None:
-            left = apart(few)
-            other = left.select("sig", F.col("key").alias("a"), F.col("comp").alias("c"), F.col("n").alias("size"))
-            bound = sizes.den * F.least("n", "size") >= sizes.num * F.greatest("n", "size")
-            direct = left.join(other, "sig").where((F.col("a") < F.col("key")) & (F.col("comp") != F.col("c")) & bound).select("a", F.col("key").alias("b")).distinct()
-            pairs.append(direct.join(tested, ["a", "b"], "left_anti").withColumn("wanted", F.lit(False)))
-        if loose is not None:
-            pairs.append(loose.join(tested, ["a", "b"], "left_anti").withColumn("wanted", F.lit(False)))
-        if not pairs:
-            break
-        both = functools.reduce(DataFrame.unionByName, pairs)
-        asked = staged(both.groupBy("a", "b").agg(F.max("wanted").alias("wanted")), "pairs")
-        if asked.isEmpty():
-            break
-        found = staged(_verified(texts, reps, asked, k, sizes), "compared")
-        fresh = found.where("linked").select("a", "b")
-        links = fresh if links is None else links.unionByName(fresh)
-        either = asked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        tested = either if tested is None else tested.unionByName(either)
-        if not fresh.isEmpty():
-            labels = components(links)
-        few = here.where(F.col("m") <= most).select("sig", "key") if groups is not None else None
-        more, groups, loose = groups is not None and most < 1 << 62, None, None
-        if more:
-            loose = _loose(found, sizes)
-            outside = found.where("size(rest) > 0").select(F.explode("rest").alias("gram"), "a", F.col("b").alias("key"), "linked").select(F.xxhash64("a", "gram").alias("sig"), "key", "linked")
-            several = outside.groupBy("sig").agg(F.min("key").alias("low"), F.max("key").alias("high"), F.min("linked").alias("all")).where("low <> high AND NOT all").select("sig")
-            groups = outside.join(staged(several, "several"), "sig").select("sig", "key").distinct()
-
-    reps = reps.select("key", "rep")
-    classes = reps if labels is None else reps.join(labels, "key", "left").select("key", "rep", F.coalesce("comp", "key").alias("comp"))
-    if labels is None:
-        classes = classes.withColumn("comp", F.col("key"))
-    least = classes.groupBy("comp").agg(F.min("rep").alias("component_id"))
-    named = staged(classes.join(least, "comp").select("key", "component_id"), "named")
-    some = rows.where("key IS NOT NULL").select("id", "n", "key").join(named, "key").select("id", "n", "component_id")
-    none = rows.where("key IS NULL").select("id", "n", F.col("id").alias("component_id"))
-    return some.unionByName(none).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+
+def _mark(text: Column, k: int) -> Column:
+    """The key of a text's set, 0 for an empty one."""
+
+    @F.pandas_udf("long")
+    def mark(texts: pd.Series) -> pd.Series:
+        sets = (shingle_set(t, k) for t in texts)
+        return pd.Series([set_key(x) if x.size else 0 for x in sets], dtype="int64")
+
+    return mark(text)
 
 
 def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is that of their component, with all their columns."""
-    named = jaccard_components(docs, k, num, den, id_col, text_col)
-    stay = named.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_stay")).distinct()
-    return docs.join(stay, docs[id_col].eqNullSafe(stay["_stay"]), "left_semi")
+    """One row of ``docs`` for each component, with all its columns: that with the smallest id.
+
+    A null id comes after all others. Documents without words stay, but of rows that repeat an id
+    (or have none) and have equal sets, empty ones included, one stays.
+    """
+    rows = judged(docs, k, num, den, id_col, text_col)
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "key"))
+    best = staged(rows.where("key IS NOT NULL").groupBy("comp").agg(first.alias("best")), "best")
+    mine = F.col("id").eqNullSafe(F.col("best.id")) & (F.col("key") == F.col("best.key"))
+    some = rows.where("key IS NOT NULL").join(best, "comp").select("id", F.col("key").alias("mark"), mine.alias("stays"))
+    none = rows.where("key IS NULL").select("id", F.lit(0).cast("long").alias("mark"), F.lit(True).alias("stays"))
+    stay = staged(some.unionByName(none), "stay")
+    superseded(rows, best)
+    return rows_that_stay(docs, stay, id_col, _mark(docs[text_col], k))

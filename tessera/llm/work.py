@@ -5,15 +5,20 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: ASCII white space, which alone separates words: ``[\x20\x09-\x0D]``.
 SPACE = " \t\n\x0b\x0c\r"
 #: A word, as a Java regular expression.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Ids that are broadcast at most (some 32 MB); beyond, a sort-merge join takes over.
+BROADCAST_IDS = 1_000_000
+
 _U = np.uint64
 _MULT = _U(0x9E3779B97F4A7C15)
 _SALT = 0x2545F4914F6CDD1D
@@ -44,7 +49,52 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     outlives executors, with column pruning for each later reader."""
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def superseded(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more: what followed from them has been written."""
+    for table in tables:
+        jvm = table.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(table.staged_path)
+        path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def unused(name: str, columns: Iterable[str]) -> str:
+    """``name``, lengthened until no column has it, in whatever case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def bounded(rows: DataFrame, most: int | None = None) -> DataFrame:
+    """``rows`` for a join: broadcast if they are few (they are counted), else by sort-merge."""
+    return F.broadcast(rows) if rows.count() <= (BROADCAST_IDS if most is None else most) else rows.hint("merge")
+
+
+def rows_that_stay(docs: DataFrame, judged: DataFrame, id_col: str, mark: Column) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns.
+
+    ``judged``, a staged table, has a row (id, mark, stays) for each row of ``docs``; ``mark`` gives
+    the same mark to a row of ``docs``, and rows of equal id and mark count as repeated. Texts move
+    only where too many ids go for a broadcast. Rows whose id is null or not theirs alone are told
+    apart by their marks, and of repeated rows one stays.
+    """
+    by_id = judged.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.every("stays").alias("stays"))
+    unclear = F.col("id").isNull() | (F.col("n") > 1)
+    gone = staged(by_id.where(unclear | ~F.col("stays")).select(F.col("id").alias("gone"), unclear.alias("unclear")), "gone")
+    clear = docs.join(bounded(gone.select("gone")), docs[id_col].eqNullSafe(F.col("gone")), "left_anti")
+    doubts = gone.where("unclear").select("gone")
+    if doubts.isEmpty():
+        return clear
+    name = unused("mark", docs.columns)
+    marked = docs.join(bounded(doubts), docs[id_col].eqNullSafe(F.col("gone")), "left_semi").withColumn(name, mark)
+    stays = judged.where("stays").select(F.col("id").alias("stay_id"), F.col("mark").alias("stay_mark")).hint("merge")
+    kept = marked.join(stays, marked[id_col].eqNullSafe(F.col("stay_id")) & (marked[name] == F.col("stay_mark")), "left_semi")
+    return clear.unionByName(kept.dropDuplicates([id_col, name]).drop(name))
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

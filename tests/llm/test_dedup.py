@@ -7,9 +7,11 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
-from tessera.llm import exact_dedup, jaccard_join, repeats
+from tessera.llm import exact_dedup, jaccard_join, repeats, work
+from tessera.llm.components import components
 from tessera.llm.work import new_folder
 
 DOCS = "doc_id long, text string, key long, n long, digest string"
@@ -97,26 +99,56 @@ def test_jaccard_components(spark, k, num, den):
 def test_jaccard_common_shingles_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "LEAST_COMMON", 3)
     monkeypatch.setattr(jaccard_join, "NOTED", 2)
-    monkeypatch.setattr(jaccard_join, "BROADCAST_IDS", 0)
+    monkeypatch.setattr(work, "BROADCAST_IDS", 0)
     docs = near_docs()
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.jaccard_components(table(spark, docs), 3, 90, 100).collect()}
     assert got == brute_components(docs, 3, 90, 100)
 
 
-def test_jaccard_large_blocks(spark, monkeypatch):
-    """With hardly any rows compared outright, the levels of pivots find the same links."""
-    monkeypatch.setattr(jaccard_join, "FEW", 3)
-    monkeypatch.setattr(jaccard_join, "OUTRIGHT", 0)
+@pytest.mark.parametrize("rows,grams,many", [(3, 1 << 20, 1), (1 << 20, 300, 100), (2, 50, 2)])
+def test_jaccard_tiles(spark, monkeypatch, rows, grams, many):
+    """Families of many small tiles, cut again by other blocks, give the same links."""
+    monkeypatch.setattr(jaccard_join, "TILE_ROWS", rows)
+    monkeypatch.setattr(jaccard_join, "TILE_GRAMS", grams)
+    monkeypatch.setattr(jaccard_join, "MANY_TILES", many)
     docs = near_docs()
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.jaccard_components(table(spark, docs), 3, 90, 100).collect()}
     assert got == brute_components(docs, 3, 90, 100)
 
 
+@pytest.mark.parametrize("sparse,cells", [(256, 1 << 22), (1, 1 << 22), (1 << 30, 1 << 22), (4, 200)])
+def test_overlaps(monkeypatch, sparse, cells):
+    """Sparse and dense column blocks, of any width, count the same."""
+    monkeypatch.setattr(jaccard_join, "SPARSE", sparse)
+    monkeypatch.setattr(jaccard_join, "CELLS", cells)
+    sets = [x for _, t in near_docs() if (x := jaccard_join.shingle_set(t, 3)).size]
+    sizes = jaccard_join.Sizes(90, 100)
+    both = {(i, j) for i, x in enumerate(sets) for j, y in enumerate(sets) if i != j and sizes.linked(x.size, y.size, np.intersect1d(x, y).size)}
+    a, b = jaccard_join.overlaps(sets, sets, sizes)
+    assert set(zip(a.tolist(), b.tolist(), strict=True)) == {(i, j) for i, j in both if i < j}
+    half = len(sets) // 2
+    a, b = jaccard_join.overlaps(sets[:half], sets[half:], sizes)
+    assert set(zip(a.tolist(), (b + half).tolist(), strict=True)) == {(i, j) for i, j in both if i < half <= j}
+
+
+def test_components(spark):
+    rnd = random.Random(3)
+    names = rnd.sample(range(-(1 << 60), 1 << 60), 400)
+    links = list(zip(names[:200], names[1:200], strict=False)) + [(names[200], x) for x in names[201:300]] + [(x, y) for x, y in zip(names[300::2], names[301::2], strict=True)]
+    got = {r["key"]: r["comp"] for r in components(spark.createDataFrame(links, "a long, b long").repartition(7)).collect()}
+    assert len(got) == 400 and len({got[x] for x in names[:200]}) == len({got[x] for x in names[200:300]}) == 1
+    assert len(set(got.values())) == 52
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_jaccard_edges(spark):
     assert jaccard_join.jaccard_components(table(spark, [])).count() == 0
     rows = [(None, "a b c d e f"), (4, "a b c d e f"), (4, "a b c d e f"), (7, None)]
     got = sorted(((r["doc_id"], r["component_id"]) for r in jaccard_join.jaccard_components(table(spark, rows)).collect()), key=str)
     assert got == sorted([(None, 4), (4, 4), (4, 4), (7, 7)], key=str)
+    rows = [(4, "T t t t t t"), (4, "T t t t t t"), (5, "T t t t t t"), (None, "U u u u u u u"), (None, "T t t t t t"), (6, ""), (7, None), (8, "v"), (8, "w w w")]
+    kept = jaccard_join.keep_one(table(spark, rows))
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted([(4, "T t t t t t"), (None, "U u u u u u u"), (6, ""), (7, None), (8, "v"), (8, "w w w")], key=str)
     kept = jaccard_join.keep_one(table(spark, [(1, "a b c d e f g"), (2, "a b c d e f g"), (3, "x y z")]))
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3] and kept.columns[1] == "text"
 
