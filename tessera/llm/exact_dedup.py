@@ -5,11 +5,16 @@ batch is first reduced to one row for each digest (partial sums before the shuff
 sort-merge anti-join against the index leaves the digests that are new, and those are appended. The
 index side of that join is read in its buckets, without a shuffle.
 
+A batch has a name. A run that failed and is repeated under the same name finds what it had already
+appended, treats it as new as it was, and appends only the rest, so that its result is the same. The
+index keeps its number of buckets and its id type in a small table beside it; opening it with
+others is an error.
+
 Texts are equal when they are identical after deleting ASCII white space; null counts as empty, and
 empty texts equal each other. Of equal texts of a batch the row with the most code points stays,
 then that with the smallest id (null ids last). Against an index that already has the digest every
 row of the batch goes. Repeated rows (same id and text) count one by one in the group, and one of
-them stays. Columns other than id and text are ignored by ``digests``; an empty batch appends
+them stays. Digests are SHA-256. Columns other than id and text are ignored by ``digests``; an empty batch appends
 nothing.
 """
 
@@ -21,7 +26,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.work import SPACE, new_folder, staged
+from tessera.llm.work import SPACE, exists, new_folder, rows_that_stay, staged, superseded
 
 #: A digest with more rows than one in so many is hot. At most as many digests can be hot, which
 #: bounds the broadcast of their rows at any size of the corpus.
@@ -54,15 +59,24 @@ def groups(rows: DataFrame) -> DataFrame:
 class DigestIndex:
     """A bucketed and sorted table of the digests seen so far, at ``path`` in the shared folder.
 
-    The table is registered from its path, so that a later session can go on with it.
+    The table is registered from its path, so that a later session can go on with it. Buckets and
+    id type need only be given for a new index.
     """
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int = 256, id_type: str = "bigint"):
-        self.spark, self.path, self.buckets = spark, path, buckets
+    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None, id_type: str | None = None):
+        self.spark, self.path = spark, path
+        about = f"{path}-about"
+        if exists(spark, f"{about}/_SUCCESS"):
+            self.buckets, held_type = spark.read.parquet(about).select("buckets", "id_type").first()
+            if buckets not in (None, self.buckets) or id_type not in (None, held_type):
+                raise ValueError(f"the index at {path} has {self.buckets} buckets and ids of type {held_type}")
+        else:
+            self.buckets, held_type = buckets or 256, id_type or "bigint"
+            spark.range(1).select(F.lit(self.buckets).alias("buckets"), F.lit(held_type).alias("id_type")).write.mode("overwrite").parquet(about)
         self.table = "digest_index_" + hashlib.sha256(path.encode()).hexdigest()[:16]
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.table} (digest BINARY, keep_id {id_type}, keep_chars BIGINT, batch STRING) USING parquet"
-            f" CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{path}'"
+            f"CREATE TABLE IF NOT EXISTS {self.table} (digest BINARY, keep_id {held_type}, keep_chars BIGINT, batch STRING) USING parquet"
+            f" CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{path}'"
         )
 
     def read(self) -> DataFrame:
@@ -96,30 +110,36 @@ def index_buckets(total: int) -> int:
     return max(8, 1 << (total // 1_000_000).bit_length())
 
 
-def exact_dedup(docs: DataFrame, index: DigestIndex | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row of ``docs``: id, keep_id, group_size, kept, chars, digest.
-
-    Without an index a new one is made for this batch. ``keep_id`` is the id in the index, of an
-    earlier batch where that had the digest; ``group_size`` counts the rows of this batch.
-    """
+def _judged(docs: DataFrame, index: DigestIndex | None, id_col: str, text_col: str, batch: str | None) -> tuple[DataFrame, list[DataFrame]]:
+    """Rows (id, keep_id, group_size, kept, chars, digest), and the staged tables they are read from."""
     spark = docs.sparkSession
     rows = staged(digests(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "digests")
     total = rows.count()
     if index is None:
         index = DigestIndex(spark, new_folder(spark, "digest-index"), index_buckets(total), docs.schema[id_col].dataType.simpleString())
-    batch = uuid.uuid4().hex
+    batch = batch or uuid.uuid4().hex
     found = staged(groups(rows), "groups")
     index.append(index.unseen(found), batch)
     held = index.read().select("digest", F.col("keep_id").alias("held_id"), (F.col("batch") == batch).alias("fresh"))
     best = found.join(held.hint("merge"), "digest").select("digest", F.col("held_id").alias("keep_id"), F.when(F.col("fresh"), F.col("keep_row")).alias("keep_row"), "group_size")
-    return resolve(rows, best, total).select(
-        F.col("id").alias(id_col), "keep_id", "group_size", F.coalesce(F.col("row") == F.col("keep_row"), F.lit(False)).alias("kept"), "chars", F.lower(F.hex("digest")).alias("digest")
-    )
+    kept = F.coalesce(F.col("row") == F.col("keep_row"), F.lit(False)).alias("kept")
+    return resolve(rows, best, total).select("id", "keep_id", "group_size", kept, "chars", "digest"), [rows, found]
+
+
+def exact_dedup(docs: DataFrame, index: DigestIndex | None = None, id_col: str = "doc_id", text_col: str = "text", batch: str | None = None) -> DataFrame:
+    """One row for each row of ``docs``: id, keep_id, group_size, kept, chars, digest.
+
+    Without an index a new one is made for this batch. ``keep_id`` is the id in the index, of an
+    earlier batch where that had the digest; ``group_size`` counts the rows of this batch. ``batch``
+    names it, so that it can be run again after a failure; unnamed batches are never the same.
+    """
+    found, _ = _judged(docs, index, id_col, text_col, batch)
+    return found.select(F.col("id").alias(id_col), "keep_id", "group_size", "kept", "chars", F.lower(F.hex("digest")).alias("digest"))
 
 
-def keep_first(docs: DataFrame, index: DigestIndex | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_first(docs: DataFrame, index: DigestIndex | None = None, id_col: str = "doc_id", text_col: str = "text", batch: str | None = None) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    stay = exact_dedup(docs, index, id_col, text_col).where("kept").select(F.col(id_col).alias("_stay"), F.unhex("digest").alias("_digest"))
-    keyed = docs.withColumn("_own", F.unhex(F.sha2(normalised(docs[text_col]), 256)))
-    both = keyed.join(stay.hint("merge"), keyed[id_col].eqNullSafe(stay["_stay"]) & (keyed["_own"] == stay["_digest"]), "left_semi")
-    return both.dropDuplicates([id_col, "_own"]).select(*[both[c] for c in docs.columns])
+    found, parts = _judged(docs, index, id_col, text_col, batch)
+    stay = staged(found.select("id", F.col("digest").alias("mark"), F.col("kept").alias("stays")), "stay")
+    superseded(*parts)
+    return rows_that_stay(docs, stay, id_col, F.unhex(F.sha2(normalised(docs[text_col]), 256)))

@@ -23,14 +23,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.work import WORD, staged
+from tessera.llm.work import WORD, bounded, staged, unused
 
 WEIGHTS = (5, 2, 1)
 TOTAL_SHARE, MOST_PASSES = 1.5, 2
 #: Words in a block: at most, and as a share of all words or of the source's.
 BLOCK_WORDS, LEAST_BLOCKS, LEAST_OF_SOURCE = 1_024, 1 << 17, 256
 #: Rows of a source's line, and slots, that one range of a prefix sum holds.
-RANGE_ROWS = 1 << 14
+RANGE_ROWS = 1 << 12
 CELLS = 4_096
 PHI = 0.6180339887498949
 
@@ -128,10 +128,13 @@ def mixing(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it, with all their columns.
 
-    Of a document that the end of a source's quota cuts, the share taken is rounded.
+    Of a document that the end of a source's quota cuts, the share taken is rounded. Rows that
+    repeat an id are taken equally often, the mean of what falls to them. Texts move only where the
+    plan has too many rows for a broadcast; they are repeated last.
     """
-    times = F.round(F.col("taken") / F.col("size")).cast("int")
-    plan = mixing(docs, id_col, text_col, source_col).where("size > 0").select(F.col(id_col).alias("_mixed"), times.alias("_times")).where("_times > 0")
-    plan = plan.groupBy("_mixed").agg((F.sum("_times") / F.count(F.lit(1))).cast("int").alias("_times"))
-    both = docs.join(plan, docs[id_col].eqNullSafe(plan["_mixed"]))
-    return both.select(*[both[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("_time")).drop("_time")
+    whose, name, lap = (unused(x, docs.columns) for x in ("taken_id", "times", "lap"))
+    plan = mixing(docs, id_col, text_col, source_col).where("size > 0").groupBy(F.col(id_col).alias(whose))
+    plan = plan.agg(F.floor(F.sum(F.round(F.col("taken") / F.col("size"))) / F.count(F.lit(1))).cast("int").alias(name))
+    plan = staged(plan.where(F.col(name) > 0), "plan")
+    both = docs.join(bounded(plan), docs[id_col].eqNullSafe(F.col(whose))).select(*[docs[c] for c in docs.columns], name)
+    return both.withColumn(lap, F.explode(F.sequence(F.lit(1), F.col(name)))).drop(lap, name)

@@ -54,12 +54,22 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def _on_store(spark: SparkSession, path: str):
+    """A path, and the file system that has it, as Spark sees them."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    where, store = _on_store(spark, path)
+    return store.exists(where)
+
+
 def superseded(*tables: DataFrame) -> None:
     """Delete staged tables that nothing reads any more: what followed from them has been written."""
     for table in tables:
-        jvm = table.sparkSession.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(table.staged_path)
-        path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        where, store = _on_store(table.sparkSession, table.staged_path)
+        store.delete(where, True)
 
 
 def unused(name: str, columns: Iterable[str]) -> str:
@@ -83,18 +93,18 @@ def rows_that_stay(docs: DataFrame, judged: DataFrame, id_col: str, mark: Column
     only where too many ids go for a broadcast. Rows whose id is null or not theirs alone are told
     apart by their marks, and of repeated rows one stays.
     """
+    name, other, theirs = (unused(x, docs.columns) for x in ("gone", "mark", "their_mark"))
     by_id = judged.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.every("stays").alias("stays"))
     unclear = F.col("id").isNull() | (F.col("n") > 1)
-    gone = staged(by_id.where(unclear | ~F.col("stays")).select(F.col("id").alias("gone"), unclear.alias("unclear")), "gone")
-    clear = docs.join(bounded(gone.select("gone")), docs[id_col].eqNullSafe(F.col("gone")), "left_anti")
-    doubts = gone.where("unclear").select("gone")
+    gone = staged(by_id.where(unclear | ~F.col("stays")).select(F.col("id").alias(name), unclear.alias("unclear")), "gone")
+    clear = docs.join(bounded(gone.select(name)), docs[id_col].eqNullSafe(F.col(name)), "left_anti")
+    doubts = gone.where("unclear").select(name)
     if doubts.isEmpty():
         return clear
-    name = unused("mark", docs.columns)
-    marked = docs.join(bounded(doubts), docs[id_col].eqNullSafe(F.col("gone")), "left_semi").withColumn(name, mark)
-    stays = judged.where("stays").select(F.col("id").alias("stay_id"), F.col("mark").alias("stay_mark")).hint("merge")
-    kept = marked.join(stays, marked[id_col].eqNullSafe(F.col("stay_id")) & (marked[name] == F.col("stay_mark")), "left_semi")
-    return clear.unionByName(kept.dropDuplicates([id_col, name]).drop(name))
+    marked = docs.join(bounded(doubts), docs[id_col].eqNullSafe(F.col(name)), "left_semi").withColumn(other, mark)
+    stays = judged.where("stays").select(F.col("id").alias(name), F.col("mark").alias(theirs)).hint("merge")
+    kept = marked.join(stays, marked[id_col].eqNullSafe(F.col(name)) & (marked[other] == F.col(theirs)), "left_semi")
+    return clear.unionByName(kept.dropDuplicates([id_col, other]).drop(other))
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

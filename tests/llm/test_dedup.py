@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.llm import exact_dedup, jaccard_join, repeats, work
 from tessera.llm.components import components
@@ -44,6 +45,27 @@ def test_index_persists(spark):
     assert exact_dedup.exact_dedup(table(spark, []), again).count() == 0
 
 
+def test_index_batches(spark):
+    """A batch run again gives the same rows; another number of buckets is refused, none is fine."""
+    path = new_folder(spark, "index")
+    index = exact_dedup.DigestIndex(spark, path, 8)
+    run = lambda rows, name, at=index: sorted((r["doc_id"], r["keep_id"], r["kept"]) for r in exact_dedup.exact_dedup(table(spark, rows), at, batch=name).collect())
+    first = run([(1, "a"), (2, "b"), (3, "b")], "one")
+    assert first == [(1, 1, True), (2, 2, True), (3, 2, False)]
+    assert run([(1, "a"), (2, "b"), (3, "b")], "one") == first and index.read().count() == 2
+    # the first half of a batch had been appended when it failed
+    index.append(exact_dedup.groups(exact_dedup.digests(table(spark, [(20, "x")])).withColumn("row", F.lit(0))), "two")
+    second = [(20, 20, True), (21, 21, True), (22, 1, False)]
+    assert run([(20, "x"), (21, "y"), (22, "a")], "two") == second
+    reopened = exact_dedup.DigestIndex(spark, path)
+    assert reopened.buckets == 8 and run([(20, "x"), (21, "y"), (22, "a")], "two", reopened) == second
+    texts = [(100 + i, f"t{i}") for i in range(200)]
+    assert all(x[2] for x in run(texts, "three", reopened)) and not any(x[2] for x in run(texts, "four", exact_dedup.DigestIndex(spark, path)))
+    for wrong in ({"buckets": 16}, {"id_type": "string"}):
+        with pytest.raises(ValueError):
+            exact_dedup.DigestIndex(spark, path, **wrong)
+
+
 def test_hot_digest(spark):
     rows = [(i, "same") for i in range(3000)] + [(5000 + i, f"t{i}") for i in range(3000)]
     got = exact_dedup.exact_dedup(table(spark, rows))

@@ -234,6 +234,27 @@ def test_threshold_follows_the_costs(monkeypatch):
     assert 1 < site_quality.threshold(odds, y) <= 2
 
 
+INNER = "id key n rep comp component_id row digest mark their_mark stays gone unclear taken_id times lap size target taken offset kept best sig gram tile tiles family y _id _own _stay _times _time _mixed _key Mark".split()
+
+
+@pytest.mark.parametrize("stage", [s for _, s in corpus_pipeline.STAGES[:-1]])
+def test_stages_with_odd_tables(spark, sf_dir, stage):
+    """Names that the operators use inside, nulls in every column, repeated rows and ids, and no rows."""
+    rnd = random.Random(4)
+    names = ["doc_id", "text", "lang", "source", "n_chars", *INNER]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in INNER if c != "Mark")
+    names = [c for c in names if c != "Mark"]
+    rows = [(i, clean(rnd, 60), "en", "a", i, *["v"] * (len(names) - 5)) for i in range(40)]
+    empty = (None,) * len(names)
+    rows += [rows[3], rows[3], empty, empty, (None, *rows[5][1:]), (8, *rows[9][1:]), (50, None, *rows[0][2:]), (51, "", *rows[0][2:]), (52, rows[6][1].upper(), *rows[0][2:])]
+    docs = spark.createDataFrame(rows, schema)
+    got = stage(spark, docs, sf_dir)
+    assert got.columns == names and got.schema == docs.schema
+    kept = [tuple(r) for r in got.collect()]
+    assert set(kept) <= {tuple(r) for r in rows} and {r[0] for r in kept} >= {*range(40)} - ({9} if stage is not corpus_pipeline.quality_stage else set())
+    assert stage(spark, docs.where("doc_id = -1"), sf_dir).count() == 0
+
+
 def test_pipeline(spark, sf_dir):
     """Each stage keeps documents' columns; the end has the ids of what mixing kept."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
