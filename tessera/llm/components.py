@@ -49,15 +49,16 @@ def stars(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield star(held)
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, contracted: bool = False) -> DataFrame:
     """Rows (key, comp) for the ends of ``links`` (a, b), longs; comp is a key of the component.
 
-    Links are first contracted within each task. Then, round by round, each node gives way to its
+    Links are first contracted within each task, where the caller has not done so. Then, round by round, each node gives way to its
     smallest neighbour, and the links of what is left go on, without loops and repeats. Keys are
     hashes, so a path loses a constant share of its nodes each round. What each round decided is
     written to the shared folder and looked up backwards at the end.
     """
-    left = staged(links.select("a", "b").mapInPandas(stars, "a long, b long").distinct(), "links")
+    few = links.select("a", "b") if contracted else links.select("a", "b").mapInPandas(stars, "a long, b long")
+    left = staged(few.distinct(), "links")
     rounds = []
     while not left.isEmpty():
         both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))

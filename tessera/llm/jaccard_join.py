@@ -42,7 +42,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.components import components, roots
+from tessera.llm.components import components, roots, stars
 from tessera.llm.work import bounded, hash_shingles, hash_words, mix64, rows_that_stay, staged, superseded
 
 _U = np.uint64
@@ -222,7 +222,7 @@ def _families(texts: DataFrame, k: int, sizes: Sizes, common: np.ndarray, cut: i
                 yield pd.DataFrame({"sig": np.concatenate(sigs).view(np.int64), "key": np.repeat(np.array(keys, np.int64), [x.size for x in sigs])})
 
     dealt = texts.select("text", "family").mapInPandas(cells, "sig long, key long").repartition("sig").sortWithinPartitions("sig", "key")
-    return components(dealt.mapInPandas(_neighbours, "a long, b long"))
+    return components(dealt.mapInPandas(lambda parts: stars(_neighbours(parts)), "a long, b long"), contracted=True)
 
 
 def _tiled(members: DataFrame) -> DataFrame:

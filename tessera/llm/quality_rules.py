@@ -7,6 +7,12 @@ that the rest dilutes: 1 KB ones short passages, 4 KB ones repeats of a longer p
 ends with the text. A text goes if more than a small share of the chunks of either size are odd, or
 odd ones follow each other for 3 KB.
 
+The limits of whole texts are fixed ones, narrowed by what the corpus shows: for each class of
+lengths, four to an octave, the quartiles of the ratio over all documents tell how far from the
+median ordinary texts of that length lie, and ``SPREADS`` such spreads are the limit. Quartiles do
+not move with a few per cent of junk. Texts of equal length and ratio count once there, so that a
+group of copies has no say by its size. A class of few texts leans on the fixed limits (``LEAN``).
+
 What ratios can't tell stays: noise over few characters (hexadecimal digits, letters of one case)
 compresses as dense prose does, and texts under 200 bytes have no stable ratio.
 
@@ -25,6 +31,7 @@ import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tessera.llm.work import SPACE, hash_shingles, hash_words
 
@@ -39,6 +46,13 @@ LIMITS = (
 #: Bytes of a chunk, the share of odd ones that a text may have, and the odd bytes in a row that reject it.
 CHUNKS, CHUNK_SHARE, RUN = (1_024, 4_096), 0.1, 3_072
 LEVEL = 3
+#: Length classes to an octave, and steps of the ratio to 1 in which it is counted, up to so many.
+CLASSES, STEPS, MOST_STEPS = 4, 200, 4_000
+#: Spreads from the median to a limit, the least spread as a share of the median, and the number of
+#: texts that the fixed limits count as.
+SPREADS, LEAST_SPREAD, LEAN = 5.0, 0.015, 8.0
+#: A standard deviation of a normal distribution, in quartile distances.
+QUARTILE = 0.6745
 
 COLUMNS = {
     "n_words": "long", "word_chars": "long", "n_symbols": "long", "n_dup_lines": "long", "n_repeat_words": "long",
@@ -72,6 +86,44 @@ def limits(n: int) -> tuple[float, float]:
     return float(np.interp(np.log(n), np.log(at), low)), float(np.interp(np.log(n), np.log(at), high))
 
 
+def length_class(n: int) -> int:
+    return int(np.floor(np.log2(n) * CLASSES))
+
+
+def learned_limits(counts: dict[int, dict[int, int]]) -> dict[int, tuple[float, float]]:
+    """Least and greatest ratio by length class, from the counts of texts by class and ratio step."""
+    out = {}
+    for of, by_step in counts.items():
+        steps = np.array(sorted(by_step))
+        n = np.array([by_step[x] for x in steps], float)
+        upto = np.cumsum(n)
+        low, mid, high = ((steps[i] + (share * upto[-1] - (upto[i] - n[i])) / n[i]) / STEPS for share in (0.25, 0.5, 0.75) for i in [np.searchsorted(upto, share * upto[-1])])
+        fixed = limits(2 ** ((of + 0.5) / CLASSES))
+        weight = upto[-1] / (upto[-1] + LEAN)
+        below, above = (max(x / QUARTILE, LEAST_SPREAD * mid) * SPREADS for x in (mid - low, high - mid))
+        out[of] = max(fixed[0], weight * (mid - below) + (1 - weight) * fixed[0]), min(fixed[1], weight * (mid + above) + (1 - weight) * fixed[1])
+    return out
+
+
+def survey(docs: DataFrame, text_col: str = "text") -> dict[int, tuple[float, float]]:
+    """The limits that the whole corpus gives. Only counts by class and step come to the driver."""
+
+    def sizes(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=LEVEL)
+        for part in parts:
+            raws = [x.as_buffer() for x in part.column(0).cast(pa.binary()) if x.is_valid]
+            raws = [x for x in raws if x.size >= LIMITS[0][0]]
+            yield pa.RecordBatch.from_pydict({"n": pa.array([x.size for x in raws], pa.int64()), "packed": pa.array([len(packer.compress(x)) for x in raws], pa.int64())})
+
+    found = docs.select(docs[text_col].alias("text")).mapInArrow(sizes, "n long, packed long").distinct()
+    step = F.least(F.floor(F.col("n") / F.col("packed") * STEPS), F.lit(MOST_STEPS)).cast("int").alias("step")
+    rows = found.select(F.floor(F.log2("n") * CLASSES).cast("int").alias("of"), step).groupBy("of", "step").count().collect()
+    counts: dict[int, dict[int, int]] = {}
+    for of, at, n in rows:
+        counts.setdefault(of, {})[at] = n
+    return learned_limits(counts)
+
+
 _OF_CHUNK = {size: limits(size) for size in CHUNKS}
 
 
@@ -82,13 +134,13 @@ def odd_chunks(raw: bytes, size: int, packer: zstandard.ZstdCompressor) -> list[
     return [not low <= size / len(packer.compress(raw[i : i + size])) <= high for i in starts]
 
 
-def bands(raw: bytes, packer: zstandard.ZstdCompressor) -> tuple[float | None, int, int, bool]:
+def bands(raw: bytes, packer: zstandard.ZstdCompressor, learned: dict[int, tuple[float, float]]) -> tuple[float | None, int, int, bool]:
     """Ratio, chunks, chunks outside their limits, and whether the text is inside all limits."""
     if len(raw) < LIMITS[0][0]:
         return None, 0, 0, True
     ratio = len(raw) / len(packer.compress(raw))
-    low, high = limits(len(raw))
-    inside = low <= ratio <= high
+    (low, high), (least, most) = limits(len(raw)), learned.get(length_class(len(raw)), (0.0, np.inf))
+    inside = max(low, least) <= ratio <= min(high, most)
     chunks, odd = 0, 0
     for size in CHUNKS:
         if len(raw) > size:
@@ -101,40 +153,42 @@ def bands(raw: bytes, packer: zstandard.ZstdCompressor) -> tuple[float | None, i
     return ratio, chunks, odd, inside
 
 
-def judge(text: str | None, packer: zstandard.ZstdCompressor) -> tuple:
+def judge(text: str | None, packer: zstandard.ZstdCompressor, learned: dict[int, tuple[float, float]]) -> tuple:
     text = text or ""
     raw = text.encode("utf-8", "surrogatepass")
     words = hash_words(raw)
     repeats = repeat_words(words)
     failed = bool(words.size < 10 or 100 * repeats > 20 * words.size)
-    ratio, chunks, odd, inside = bands(raw, packer)
+    ratio, chunks, odd, inside = bands(raw, packer, learned)
     symbols = sum(text.count(c) for c in _SYMBOLS)
     return words.size, len(text.translate(_NO_SPACE)), symbols, dup_lines(text), repeats, failed, inside and not failed, ratio, chunks, odd
 
 
-def _batches(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    packer = zstandard.ZstdCompressor(level=LEVEL)
-    for part in parts:
-        rows = pd.DataFrame([judge(t, packer) for t in part["text"]], columns=[*COLUMNS])
-        yield pd.concat([part["id"].reset_index(drop=True), rows], axis=1)
-
-
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each document: its id, the base counts, both verdicts and the ratios."""
     kind = docs.schema[id_col].dataType.simpleString()
     ids = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
+    learned = survey(docs, text_col)
+
+    def judged(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        packer = zstandard.ZstdCompressor(level=LEVEL)
+        for part in parts:
+            rows = pd.DataFrame([judge(t, packer, learned) for t in part["text"]], columns=[*COLUMNS])
+            yield pd.concat([part["id"].reset_index(drop=True), rows], axis=1)
+
     schema = ", ".join([f"id {kind}", *[f"{name} {of}" for name, of in COLUMNS.items()]])
-    return ids.mapInPandas(_batches, schema).withColumnRenamed("id", id_col)
+    return ids.mapInPandas(judged, schema).withColumnRenamed("id", id_col)
 
 
 def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
+    learned = survey(docs, text_col)
 
     def good(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=LEVEL)
         for part in parts:
             for at in range(0, part.num_rows, 512):
                 rows = part.slice(at, 512)
-                yield rows.filter(pa.array([judge(t, packer)[6] for t in rows.column(text_col).to_pylist()], pa.bool_()))
+                yield rows.filter(pa.array([judge(t, packer, learned)[6] for t in rows.column(text_col).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(good, docs.schema)

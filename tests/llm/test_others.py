@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
+import re
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -47,17 +50,86 @@ def test_quality_rules(spark):
     assert quality_rules.quality_rules(table(spark, [])).count() == 0 and quality_rules.keep_good(table(spark, [])).count() == 0
 
 
+def brute_rules(texts):
+    """Every column again, without hashes, histograms or Spark; the limits by numpy's quartiles."""
+    import zstandard
+
+    pack = lambda raw: len(zstandard.ZstdCompressor(level=3).compress(raw))
+    raws = [(t or "").encode() for t in texts]
+    of = lambda raw: math.floor(math.log2(len(raw)) * 4)
+    spread = {}
+    for n, packed in {(len(r), pack(r)) for r in raws if len(r) >= 200}:
+        spread.setdefault(math.floor(math.log2(n) * 4), []).append(n / packed)
+    learned = {}
+    for c, ratios in spread.items():
+        low, mid, high = np.quantile(ratios, [0.25, 0.5, 0.75], method="inverted_cdf")
+        fixed, w = quality_rules.limits(2 ** ((c + 0.5) / 4)), len(ratios) / (len(ratios) + 8)
+        below, above = 5 * max((mid - low) / 0.6745, 0.015 * mid), 5 * max((high - mid) / 0.6745, 0.015 * mid)
+        learned[c] = max(fixed[0], w * (mid - below) + (1 - w) * fixed[0]), min(fixed[1], w * (mid + above) + (1 - w) * fixed[1])
+    out = []
+    for t, raw in zip(texts, raws, strict=True):
+        words = [w for w in re.split(r"[\x20\x09-\x0D]+", t or "") if w]
+        windows = Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+        covered = {j for i in range(len(words) - 4) if windows[tuple(words[i : i + 5])] > 1 for j in range(i, i + 5)}
+        lines = [x for x in (t or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        failed = len(words) < 10 or 100 * len(covered) > 20 * len(words)
+        inside, slack = True, math.inf
+        if len(raw) >= 200:
+            ratio = len(raw) / pack(raw)
+            ends = [*quality_rules.limits(len(raw)), *learned[of(raw)]]
+            slack = min(abs(ratio - x) for x in ends[2:])
+            inside = max(ends[0], ends[2]) <= ratio <= min(ends[1], ends[3])
+            for size in (1024, 4096):
+                if len(raw) > size:
+                    low, high = quality_rules.limits(size)
+                    odd = "".join("y" if not low <= size / pack(raw[i : i + size]) <= high else "n" for i in [*range(0, len(raw) - size, size), len(raw) - size])
+                    inside &= odd.count("y") <= 0.1 * len(odd) and max(map(len, odd.split("n"))) * size < 3072
+        out.append(((len(words), sum(map(len, words)), sum((t or "").count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(covered), failed, inside and not failed), slack))
+    return out
+
+
+def test_quality_rules_by_brute_force(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rnd = random.Random(11)
+    noise = ["".join(rnd.choice("abcdefABCDEFGHXYZ0123456789+/") for _ in range(900)), clean(rnd, 500) + " " + "ab " * 900, *[" ".join(w + "%%%" for w in clean(rnd, 150).split()) for _ in range(3)]]
+    more = spark.createDataFrame([(-1 - i, t) for i, t in enumerate([*noise, None, "", "x", *(clean(rnd, 150) for _ in range(60))])], "doc_id long, text string")
+    docs = docs.select("doc_id", "text").unionByName(more)
+    rows = docs.collect()
+    want = dict(zip([r["doc_id"] for r in rows], brute_rules([r["text"] for r in rows]), strict=True))
+    got = queries.op10_quality_rules(spark, sf_dir)
+    made = quality_rules.quality_rules(docs).select(got.columns).collect()
+    assert len(made) == len(rows)
+    for r in made:
+        base, slack = want[r["doc_id"]]
+        assert tuple(r)[1:7] == base[:6]
+        assert r["kept"] == base[6] or slack < 2 / quality_rules.STEPS * 5 / 0.6745, r  # the histogram's step moves a limit
+    odd = {r["doc_id"]: r["kept"] for r in made}
+    assert not odd[-1] and not odd[-2] and all(odd[-9 - i] for i in range(60))
+
+
+def test_learned_limits():
+    """Copies and a little junk do not move the limits; a class of one text leans on the fixed ones."""
+    ordinary = {x: 40 for x in range(380, 420)}
+    low, high = quality_rules.learned_limits({40: ordinary})[40]
+    assert 1.5 < low < 1.9 < 2.1 < high < 2.5
+    low_, high_ = quality_rules.learned_limits({40: ordinary | {700: 30}})[40]
+    assert abs(low - low_) < 0.02 and abs(high - high_) < 0.02
+    fixed = quality_rules.limits(2 ** (40.5 / 4))
+    alone = quality_rules.learned_limits({40: {400: 1}})[40]
+    assert fixed[0] <= alone[0] <= 1.6 and 3 < alone[1] <= fixed[1]
+
+
 def test_compression_bands():
     import zstandard
 
     packer = zstandard.ZstdCompressor(level=3)
     rnd = random.Random(3)
     prose = clean(rnd, 3000).encode()
-    assert quality_rules.bands(prose, packer)[3]
-    assert not quality_rules.bands(rnd.randbytes(20_000), packer)[3]
-    assert not quality_rules.bands((clean(rnd, 20) + " ").encode() * 200, packer)[3]
+    assert quality_rules.bands(prose, packer, {})[3]
+    assert not quality_rules.bands(rnd.randbytes(20_000), packer, {})[3]
+    assert not quality_rules.bands((clean(rnd, 20) + " ").encode() * 200, packer, {})[3]
     half = prose[:4096] + b"lorem ipsum " * 3000
-    assert not quality_rules.bands(half, packer)[3]
+    assert not quality_rules.bands(half, packer, {})[3]
 
 
 def test_noise_and_repeats_are_found_at_any_length_and_place():
@@ -71,7 +143,7 @@ def test_noise_and_repeats_are_found_at_any_length_and_place():
         return " ".join("".join(rnd.choice(letters) for _ in range(rnd.randint(3, 12))) for _ in range(n // 8 + 2)).encode()[:n]
 
     prose = clean(rnd, 20_000).encode()
-    inside = lambda *parts: quality_rules.bands(b" ".join(parts), packer)[3]
+    inside = lambda *parts: quality_rules.bands(b" ".join(parts), packer, {})[3]
     for n in (200, 250, 300, 400, 500, 900, 1_024, 3_000, 4_096, 5_000, 10_000, 60_000):
         assert inside(prose[:n]), n
         assert not inside(noise(n)), n
