@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import bpe, exact_dedup, jaccard_join, mixing, quality_rules
-from tessera.llm.work import staged
+from tessera.llm.work import staged, superseded
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +55,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
+    docs = before = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for i, (name, stage) in enumerate(STAGES[:-1]):
         docs = staged(stage(spark, docs, sf_dir), name)
+        if i:
+            superseded(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
