@@ -26,6 +26,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from tessera.llm.work import small_batches
+
 #: Splits text before the merges. Fixed value: the pattern of the public vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Encoded pieces in each of two generations that a worker remembers, and their greatest length in characters.
@@ -211,7 +213,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                 yield pa.RecordBatch.from_arrays([rows.column("id"), lists, *texts], names=["id", *schema.names])
 
     out = f"id {kind}, ids array<int>" + ", decoded string" * decode_too
-    return docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).mapInArrow(batches, out).withColumnRenamed("id", id_col)
+    return small_batches(docs).select(docs[id_col].alias("id"), docs[text_col].alias("text")).mapInArrow(batches, out).withColumnRenamed("id", id_col)
 
 
 def decode(coded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -223,7 +225,7 @@ def decode(coded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "
         for part in parts:
             yield part[["id"]].assign(decoded=["" if x is None else pairs.decode(x) for x in part["ids"]])
 
-    return coded.select(coded[id_col].alias("id"), coded[ids_col].alias("ids")).mapInPandas(batches, f"id {kind}, decoded string").withColumnRenamed("id", id_col)
+    return small_batches(coded).select(coded[id_col].alias("id"), coded[ids_col].alias("ids")).mapInPandas(batches, f"id {kind}, decoded string").withColumnRenamed("id", id_col)
 
 
 def bpe_round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

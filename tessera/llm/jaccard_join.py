@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.components import components, roots, stars
-from tessera.llm.work import bounded, hash_shingles, hash_words, mix64, rows_that_stay, staged, superseded
+from tessera.llm.work import bounded, hash_shingles, hash_words, mix64, rows_that_stay, small_batches, staged, superseded
 
 _U = np.uint64
 #: An n-gram is common from so many documents on; at most COMMON_MOST of them can be.
@@ -351,7 +351,7 @@ def judged(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col: s
     ``key`` tells sets apart and ``comp`` components; both are null for an empty set.
     """
     sizes = Sizes(num, den)
-    texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
+    texts = small_batches(docs).select(docs[id_col].alias("id"), docs[text_col].alias("text"))
     surveyed = staged(_surveyed(texts, k), "surveyed")
     common = _common(surveyed)
     rows = surveyed.where("n IS NOT NULL").select("id", "n", "key")

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.work import hash_runs, mix64, staged
+from tessera.llm.work import hash_runs, mix64, small_batches, staged
 
 _U = np.uint64
 #: Bytes of an anchor, and of a step of the transform (a divisor of the length).
@@ -225,7 +225,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     """
     if length % STEP or length <= RUN:
         raise ValueError(f"length must be a multiple of {STEP} over {RUN}")
-    texts = docs.select(docs[id_col].alias("id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
+    texts = small_batches(docs).select(docs[id_col].alias("id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
     rows = staged(texts.select("id", F.xxhash64("text").alias("key"), F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha")), "texts")
     long_rows = rows.where(F.col("n_bytes") >= length)
     reps = staged(long_rows.groupBy("key").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies")), "reps")

@@ -19,6 +19,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Ids that are broadcast at most (some 32 MB); beyond, a sort-merge join takes over.
 BROADCAST_IDS = 1_000_000
 
+#: Rows of a batch that goes to Python, at most: texts are long, and a batch is held several times
+#: over, by the JVM, by Arrow and by Python.
+BATCH_ROWS = 1_000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 _U = np.uint64
 _MULT = _U(0x9E3779B97F4A7C15)
 _SALT = 0x2545F4914F6CDD1D
@@ -54,6 +59,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def small_batches(docs: DataFrame) -> DataFrame:
+    """``docs``, in a session that sends at most ``BATCH_ROWS`` rows at a time to Python."""
+    conf = docs.sparkSession.conf
+    if not 0 < int(conf.get(_BATCH)) <= BATCH_ROWS:
+        conf.set(_BATCH, BATCH_ROWS)
+    return docs
+
+
 def _on_store(spark: SparkSession, path: str):
     """A path, and the file system that has it, as Spark sees them."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
