@@ -9,9 +9,11 @@ transpose:
    fall into classes whose ends are in the ratio t, and a row is blocked once for its own class and
    once for the next, which covers every pair whose sizes let it link. A pair whose equal blocks
    are all empty can't be found; a row with so many empty blocks that this could happen is blocked
-   again by another hash, and at last by none. n-grams that stand in very many documents are left
-   out of the first blocking (the bound holds for what is left), so that a passage everybody quotes
-   joins nobody; rows with hardly anything else are blocked whole.
+   again by another hash, and at last by none; it is found by rows that need no other blocking in
+   their last, which it has too. n-grams that stand in very many documents are left out of the first
+   two blockings (the bound holds for what is left), so that a passage everybody quotes joins nobody;
+   the second has blocks of hardly more than one n-gram. Only rows with fewer other n-grams than may
+   differ are blocked with all.
 2. Rows joined by equal blocks, directly or through others, are a family: A is block-diagonal but
    for n-grams that can't make a link. Each family is a row block. One too large for a task is dealt
    into tiles of bounded size, and each pair of tiles is a block of the product. Families of many
@@ -48,10 +50,10 @@ from tessera.llm.work import bounded, hash_shingles, hash_words, mix64, rows_tha
 _U = np.uint64
 #: An n-gram is common from so many documents on; at most COMMON_MOST of them can be.
 LEAST_COMMON, COMMON_MOST = 50, 1 << 20
-#: n-grams counted together, and occurrences among them below which none is noted.
+#: n-grams or blocks taken together, and occurrences among them below which none is noted.
 COUNTED, NOTED = 1 << 20, 3
-#: Blockings by other hashes before a row is blocked as a whole.
-TRIES = 4
+#: Blockings before a row is blocked as a whole: of which n-grams, and how many times the blocks.
+VIEWS = (("rare", 1), ("rare", 16), ("all", 1), ("all", 1))
 #: Rows and n-grams in a tile of a family, about.
 TILE_ROWS, TILE_GRAMS = 2_048, 1 << 20
 #: Families of more tiles are blocked again, by at most so many further cuts.
@@ -81,13 +83,12 @@ class Sizes:
         return int(np.searchsorted(self.top, n))
 
     def blocks(self, level: int) -> tuple[int, int]:
-        """Number of blocks, and how many of them may be empty in a row that is surely found."""
+        """Number of blocks, and how many of them must hold something in a row that is surely found."""
         most = 2 * self.top[level] * (self.den - self.num) // (self.den + self.num)
         if not most:
-            return 1, 0
+            return 1, 1
         least = 1 if level < 2 else self.top[level - 2] + 1
-        spare = 1 + math.ceil(1.5 * (most + 1) * math.exp(-least / (most + 1)))
-        return most + 1 + spare, spare
+        return most + 2 + math.ceil(1.5 * (most + 1) * math.exp(-least / (most + 1))), most + 1
 
     def linked(self, a: int, b: int, both: int) -> bool:
         return self.den * both >= self.num * (a + b - both)
@@ -120,11 +121,11 @@ def signatures(grams: np.ndarray, common: np.ndarray, sizes: Sizes, cut: int = 0
         rare = grams[common[at] != grams]
     own = sizes.level(grams.size)
     for level in (own, own + 1):
-        count, spare = sizes.blocks(level)
-        for view in range(TRIES):
-            found = _block_hashes(grams if view else rare, level, count, cut * TRIES + view)
+        count, need = sizes.blocks(level)
+        for view, (of, finer) in enumerate(VIEWS):
+            found = _block_hashes(rare if of == "rare" else grams, level, count * finer, cut * len(VIEWS) + view)
             out.append(found)
-            if count - found.size <= spare:
+            if found.size >= need:
                 break
         else:
             out.append(mix64(np.array([level + 1], _U)))
@@ -202,24 +203,51 @@ def _neighbours(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"a": first[apart], "b": key[apart]}).drop_duplicates()
 
 
+def _combined(sig: np.ndarray, key: np.ndarray) -> pd.DataFrame:
+    """Rows (sig, key) with each block hash once, that join the same keys.
+
+    Keys that share a block are joined here: one of them stands for all of them in every block, and
+    a block of their own has them all.
+    """
+    order = np.argsort(sig, kind="stable")
+    sig = sig[order]
+    keys, at = np.unique(key[order], return_inverse=True)
+    new = np.append(True, sig[1:] != sig[:-1])
+    first = at[np.maximum.accumulate(np.where(new, np.arange(sig.size), 0))]
+    root = roots(first[~new], at[~new], keys.size)
+    own = np.flatnonzero(root != np.arange(keys.size))
+    joined = np.unique(np.concatenate((own, root[own])))
+    block = mix64(keys[root[joined]].view(_U) + _U(23)).view(np.int64)
+    return pd.DataFrame({"sig": np.concatenate((sig[new], block)), "key": np.concatenate((keys[root[at[new]]], keys[joined]))})
+
+
 def _families(texts: DataFrame, k: int, sizes: Sizes, common: np.ndarray, cut: int) -> DataFrame:
     """Rows (key, comp): the families of sets in ``texts`` (text, family), within each family given.
 
-    Sets that can link with no other are left out. A task gives the blocks of equal sets once.
+    Sets that can link with no other are left out. Blocks are combined before the shuffle: a task
+    gives those of equal sets once, and each block once from ``COUNTED`` of them.
     """
     shared = texts.sparkSession.sparkContext.broadcast(common)
 
     def cells(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[tuple[int, int]] = set()
+        keys, sigs, size = [], [], 0
+
+        def held() -> pd.DataFrame:
+            return _combined(np.concatenate(sigs).view(np.int64), np.repeat(np.array(keys, np.int64), [x.size for x in sigs]))
+
         for rows, sets in _slices(parts, k):
-            keys, sigs = [], []
             for grams, family in zip(sets, rows["family"].to_numpy(np.int64).view(_U), strict=True):
                 if grams.size and ((key := set_key(grams)), int(family)) not in seen:
                     seen.add((key, int(family)))
                     keys.append(key)
                     sigs.append(mix64(signatures(grams, shared.value, sizes, cut) ^ family))
-            if keys:
-                yield pd.DataFrame({"sig": np.concatenate(sigs).view(np.int64), "key": np.repeat(np.array(keys, np.int64), [x.size for x in sigs])})
+                    size += sigs[-1].size
+            if size >= COUNTED:
+                yield held()
+                keys, sigs, size = [], [], 0
+        if keys:
+            yield held()
 
     dealt = texts.select("text", "family").mapInPandas(cells, "sig long, key long").repartition("sig").sortWithinPartitions("sig", "key")
     return components(dealt.mapInPandas(lambda parts: stars(_neighbours(parts)), "a long, b long"), contracted=True)
