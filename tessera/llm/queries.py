@@ -23,6 +23,11 @@ def sha(text: Column) -> Column:
     return F.sha2(text, 256)
 
 
+def n_spans() -> Column:
+    """All spans of a row, those that the method adds included."""
+    return F.size(F.concat("base", "added")).cast("long").alias("n_spans")
+
+
 def count_of(kind: str) -> Column:
     return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
@@ -105,7 +110,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_pii(table(spark, sf_dir, "documents"))
     counts = [count_of(k) for k in pii.KINDS[:4]]
-    return found.select("doc_id", *counts, sha(joined(F.col("base"))).alias("base_sha256"), joined(F.concat("base", "added")).alias("spans"))
+    return found.select("doc_id", *counts, sha(joined(F.col("base"))).alias("base_sha256"), joined(F.concat("base", "added")).alias("spans"), n_spans())
 
 
 def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,7 +120,7 @@ def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.secret_scan(table(spark, sf_dir, "documents"))
     counts = [count_of(k) for k in secret_scan.KINDS[:3]]
-    return found.select("doc_id", *counts, sha(joined(F.col("base"))).alias("base_sha256"), joined(F.concat("base", "added")).alias("spans"))
+    return found.select("doc_id", *counts, sha(joined(F.col("base"))).alias("base_sha256"), joined(F.concat("base", "added")).alias("spans"), n_spans())
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,10 +1,15 @@
 """Secret scan: fixed patterns, and character Markov models of random strings and identifiers.
 
-Two first-order models are compared over every long token: one of random strings, trained on what
-the fixed patterns matched, and one of ordinary identifiers, trained on the long tokens that are
-letters of one case and stand in no match. Both sample sets come from the table itself. A token
-whose log-likelihood ratio, in all and for each character, passes the limits is reported as
-``random``, unless a pattern's match overlaps it. Without samples of either class nothing is added.
+First-order models are compared over every long token that no pattern's match overlaps. That of
+random strings is trained on what the fixed patterns matched, that of ordinary identifiers on long
+tokens without a digit, and each on labelled samples that come with this module, so that neither
+class is ever empty. Counts are mixed with lower orders by fixed weights, whatever their number. As
+secrets differ in the characters they draw from, a token is also held against even draws from the
+classes of characters it has. A token whose log-likelihood ratio, in all and for each character,
+passes the limits is reported as ``random``. The limit for each character follows from ordinary
+tokens held out of the training, every fourth by hash: it lies ``SPREADS`` of their spreads, from
+the median to the upper quartile, above their median, which a few per cent of secrets among them do
+not move.
 
 Null counts as empty and has no spans. Rows are scanned one by one: a null id is kept and repeated
 rows give repeated results. An empty table gives an empty result, and columns beyond those named
@@ -14,12 +19,14 @@ whatever the input) comes to the driver.
 
 from __future__ import annotations
 
+import base64
+import hashlib
 import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.spans import joined, labelled, with_spans, without_overlaps
+from tessera.llm.spans import labelled, with_spans, without_overlaps
 from tessera.llm.work import staged
 
 KINDS = ("assign", "access", "hex", "random")
@@ -31,8 +38,20 @@ TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}+"
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 #: Log-likelihood ratio that a token must reach, in all and for each character.
 LEAST_TOTAL, LEAST_MEAN = 12.0, 0.5
-#: Bigrams that each class needs before the models are used.
-LEAST_SAMPLES = 200
+#: Weights of pairs, of single characters and of an even draw in the models.
+RANDOM_MIX, ORDINARY_MIX = (0.35, 0.15, 0.5), (0.6, 0.25, 0.15)
+#: Held-out tokens: one in so many; and spreads from their median to the limit.
+HELD_OUT, SPREADS = 4, 6.0
+#: Labelled samples of ordinary tokens; those of random ones are digests in base 64 and base 16.
+ORDINARY = """user_account_settings getRequestHeader application/json src/main/resources/config release-notes-2024-01-15
+getElementsByTagName max_connection_retries docs/user-guide/installation 2023-11-05-weekly-summary session_timeout_seconds
+HttpServletRequest images/background/header_large customer_order_history createUserProfile integration-test-report
+en_US/LC_MESSAGES/messages data/processed/2022/03/sales_by_region DEFAULT_BUFFER_SIZE parseConfigurationFile v2-api-migration-plan
+organization_membership static/scripts/vendor/library convertToAbsolutePath MAXIMUM_RETRY_COUNT quarterly-report-2021-q3 index_of_last_element
+internationalization misunderstandings responsibilities content-security-policy deployment-2020-12-31-final var/log/application/error
+page=1/sort=descending/limit=100 calculate_average_score BackgroundTaskScheduler chapter-12-section-04 validateInputParameters
+telecommunications user-interface-guidelines temperature_sensor_data_2019 https/www/example/articles/how-to-write-tests""".split()
+RANDOM = [base64.b64encode(hashlib.sha256(bytes([i])).digest()).decode().rstrip("=") if i % 4 else hashlib.sha256(bytes([i])).hexdigest() for i in range(64)]
 
 
 def with_bases(docs: DataFrame, text: Column) -> DataFrame:
@@ -59,36 +78,44 @@ def bigrams(cs: Column) -> Column:
     return F.zip_with(F.slice(cs, 1, F.size(cs) - 1), F.slice(cs, 2, F.size(cs)), lambda a, b: a * (len(ALPHABET) + 1) + b)
 
 
-def train(samples: DataFrame) -> list[float] | None:
-    """Log-likelihood ratios by bigram, from rows (value, is_random); None without enough samples."""
+def train(samples: DataFrame) -> tuple[list[float], list[float]]:
+    """Log-probabilities of the next character by bigram, of random and of ordinary strings, from
+    rows (value, is_random)."""
     n = len(ALPHABET) + 1
-    cells = samples.select("is_random", F.explode(bigrams(codes(F.col("value")))).alias("cell")).groupBy("is_random", "cell").count()
+    spark = samples.sparkSession
+    own = spark.createDataFrame([(x, False) for x in ORDINARY] + [(x, True) for x in RANDOM], "value string, is_random boolean")
+    cells = samples.select("value", "is_random").unionByName(own).select("is_random", F.explode(bigrams(codes(F.col("value")))).alias("cell")).groupBy("is_random", "cell").count()
     counts = {True: [0.0] * (n * n), False: [0.0] * (n * n)}
     for r in cells.collect():  # bounded by the alphabet: 2 * n * n rows
         counts[r["is_random"]][r["cell"]] = float(r["count"])
-    if min(sum(c) for c in counts.values()) < LEAST_SAMPLES:
-        return None
 
-    def logs(c: list[float]) -> list[float]:
-        """Log-probabilities of the next character; scarce rows lean on the overall frequency."""
-        after = [sum(c[b::n]) + 1 for b in range(n)]
-        share = [x / sum(after) for x in after]
+    def logs(c: list[float], mix: tuple[float, float, float]) -> list[float]:
+        single = [sum(c[b::n]) / sum(c) for b in range(n)]
         out = []
         for a in range(n):
             row = c[a * n : a * n + n]
             total = sum(row)
-            out += [math.log((x + 20 * p) / (total + 20)) for x, p in zip(row, share, strict=True)]
+            out += [math.log(mix[0] * (x / total if total else p) + mix[1] * p + mix[2] / n) for x, p in zip(row, single, strict=True)]
         return out
 
-    return [r - o for r, o in zip(logs(counts[True]), logs(counts[False]), strict=True)]
+    return logs(counts[True], RANDOM_MIX), logs(counts[False], ORDINARY_MIX)
 
 
-def ratio(token: Column, table: list[float]) -> Column:
-    """The log-likelihood ratio of a token."""
+def _summed(token: Column, table: list[float]) -> Column:
     weights = F.split(F.lit(",".join(map(repr, table))), ",").cast("array<double>")
     return F.aggregate(bigrams(codes(token)), F.lit(0.0), lambda a, cell: a + F.get(weights, cell))
 
 
+def ratio(token: Column, random: list[float], ordinary: list[float]) -> Column:
+    """The log-likelihood ratio of a token: of the random model or of an even draw from the classes
+    of characters that it has, whichever is likelier, to the ordinary model."""
+    choice = F.lit(0.0)
+    for pattern, size in (("[a-z]", 26.0), ("[A-Z]", 26.0), ("[0-9]", 10.0), ("[+/_=-]", 5.0)):
+        choice = choice + F.when(F.rlike(token, F.lit(pattern)), size).otherwise(0.0)
+    even = -(F.length(token) - 1) * F.log(F.greatest(choice, F.lit(1.0)))
+    return F.greatest(_summed(token, random), even) - _summed(token, ordinary)
+
+
 def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (id, base, added): spans of the patterns, and those that the models add."""
     df = docs.select(docs[id_col].alias("id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
@@ -99,17 +126,14 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     df = without_overlaps(df.withColumn("known", known), "tokens", "base")
     rows = staged(df.select("id", "base", "known", "tokens"), "secrets")
 
-    plain = rows.select(F.explode("tokens").alias("t")).select(F.col("t.value").alias("value")).where(F.rlike("value", F.lit("^([a-z]+|[A-Z]+|[A-Z][a-z]+)$")))
+    held_out = lambda value: F.pmod(F.xxhash64(value), F.lit(HELD_OUT)) == 0
+    plain = rows.select(F.explode("tokens").alias("t")).select(F.col("t.value").alias("value")).where(~F.rlike("value", F.lit("[0-9]")))
     randoms = rows.select(F.explode("known").alias("value"))
-    table = train(plain.withColumn("is_random", F.lit(False)).unionByName(randoms.withColumn("is_random", F.lit(True))))
-    none = F.array().cast("array<struct<start:int,order:int,kind:string,stop:int>>")
-    if table is None:
-        return rows.select(F.col("id").alias(id_col), "base", none.alias("added"))
-    mixed = F.filter("tokens", lambda t: F.rlike(t["value"], F.lit("[0-9+/_=-]|[a-z][A-Z]")))
-    scored = F.transform(mixed, lambda t: F.struct(t["start"].alias("start"), t["stop"].alias("stop"), ratio(t["value"], table).alias("llr")))
-    picked = F.filter(scored, lambda t: (t["llr"] >= LEAST_TOTAL) & (t["llr"] >= LEAST_MEAN * (t["stop"] - t["start"])))
+    samples = plain.where(~held_out("value")).withColumn("is_random", F.lit(False)).unionByName(randoms.withColumn("is_random", F.lit(True)))
+    tables = train(samples)
+    mean = ratio(F.col("value"), *tables) / F.length("value")
+    middle, upper = plain.where(held_out("value")).distinct().agg(F.percentile_approx(mean, F.array(F.lit(0.5), F.lit(0.75)), F.lit(10_000))).first()[0] or (0.0, 0.0)
+    least = max(LEAST_MEAN, middle + SPREADS * (upper - middle) / 0.6745)
+    scored = F.transform("tokens", lambda t: F.struct(t["start"].alias("start"), t["stop"].alias("stop"), ratio(t["value"], *tables).alias("llr")))
+    picked = F.filter(scored, lambda t: (t["llr"] >= LEAST_TOTAL) & (t["llr"] > least * (t["stop"] - t["start"])))
     return rows.select(F.col("id").alias(id_col), "base", labelled(picked, "random", 3).alias("added"))
-
-
-def span_text(*spans: Column) -> Column:
-    return joined(F.concat(*spans))

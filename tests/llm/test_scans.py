@@ -84,9 +84,19 @@ def test_markov_models_tell_random_strings_from_identifiers(spark):
     rand = lambda n: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(n))
     parts = ["user", "account", "value", "process", "handler", "request", "stream", "reader", "config", "manager"]
     word = lambda n: "".join(rnd.choice(parts) for _ in range(n))
-    rows = [(i, f'api_key = "{rand(32)}" {word(4)} {word(5)} {word(6)}', "", "") for i in range(300)]
+    letters = lambda n: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    rows = [(i, f'api_key = "{rand(32)}" {word(4)} {word(5)} {word(6)} {"_".join(rnd.choice(parts) for _ in range(4))}', "", "") for i in range(300)]
     rows += [(1000 + i, f"bearer {rand(32)} end", "", "") for i in range(100)]
     rows += [(2000 + i, f"call {'_'.join(rnd.choice(parts) for _ in range(5))} end", "", "") for i in range(100)]
+    rows += [(3000 + i, f"key {letters(32)} end", "", "") for i in range(100)]
+    rows += [(4000 + i, f"see {rnd.choice(parts)}/{rnd.choice(parts)}-{rnd.randint(2015, 2025)}-{rnd.randint(10, 12)}-{rnd.randint(10, 28)} end", "", "") for i in range(100)]
     got = {r["doc_id"]: bool(r["added"]) for r in secret_scan.secret_scan(spark.createDataFrame(rows, DOCS)).collect()}
-    assert sum(got[1000 + i] for i in range(100)) >= 90
-    assert sum(got[2000 + i] for i in range(100)) <= 5
+    caught = [sum(got[1000 * k + i] for i in range(100)) for k in (1, 2, 3, 4)]
+    assert caught[0] >= 90 and caught[1] <= 2 and caught[2] >= 60 and caught[3] <= 5, caught
+    assert not any(got[i] for i in range(300))
+
+
+def test_markov_models_without_samples_in_the_table(spark):
+    rows = [(1, "bearer q8Zt0LxV3nB7yKd2WmR5cHf9 end", "", ""), (2, "the internationalization_of_documents end", "", ""), (3, "short", "", "")]
+    got = {r["doc_id"]: [s["kind"] for s in r["added"]] for r in secret_scan.secret_scan(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got == {1: ["random"], 2: [], 3: []}
