@@ -1,11 +1,11 @@
 """Personal data: fixed patterns, and identifiers that share their contexts.
 
 Bootstrapped extraction. Seeds are what the fixed patterns match. Each seed, and each other token
-with a digit or an ``@``, is an instance, and the word before and the word after it are lexical
-patterns. Over the graph of patterns and instances two scores take turns, by kind: a pattern's is
+with a digit or an ``@``, is an instance, and the word before it, the word after it and both together
+are lexical patterns. Over the graph of patterns and instances two scores take turns, by kind: a pattern's is
 the share of its occurrences at instances of the kind, discounted for few occurrences; an
 instance's is the noisy-or of its patterns. Instances that score high enough act as seeds in the
-next round. Tokens that good patterns surround and that no match overlaps are reported under the
+next round, until a round finds no new ones. Identifiers of letters alone are no instances. Tokens that good patterns surround and that no match overlaps are reported under the
 kind ``learned``.
 
 Null counts as empty and has no spans. Rows are scanned one by one: a null id is kept and repeated
@@ -31,7 +31,6 @@ CARD = rf"(?:\G|(?<![0-9{MARK}]))[0-9][0-9{MARK}]++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 TOKEN = r"(?<![^\x20\x09-\x0D])[^0-9@\x20\x09-\x0D]*+[0-9@][^\x20\x09-\x0D]*+"
 
-ROUNDS = 3
 #: Occurrences that a pattern's score is discounted by; scores that let an instance act as a seed,
 #: a pattern report an occurrence, and an instance be reported.
 DISCOUNT, SEED_SCORE, PATTERN_SCORE, REPORT_SCORE = 4.0, 0.8, 0.6, 0.8
@@ -75,9 +74,10 @@ def key(word: Column) -> Column:
 
 
 def contexts(before: Column, after: Column) -> Column:
-    """The lexical patterns around an instance: the word before it and the word after it."""
+    """The lexical patterns around an instance: the word before it, the word after it, and both."""
     tidy = lambda w: key(F.regexp_replace(w, r"(?<![^\p{L}\p{N}])[^\p{L}\p{N}]++\z|^[^\p{L}\p{N}]++", ""))
-    return F.filter(F.array(F.concat(F.lit("before "), tidy(before)), F.concat(F.lit("after "), tidy(after))), lambda p: ~p.isin("before ", "after "))
+    both = F.when((tidy(before) != "") & (tidy(after) != ""), F.concat(F.lit("both "), tidy(before), F.lit(" "), tidy(after))).otherwise("")
+    return F.filter(F.array(F.concat(F.lit("before "), tidy(before)), F.concat(F.lit("after "), tidy(after)), both), lambda p: ~p.isin("before ", "after ", ""))
 
 
 def score(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -90,16 +90,16 @@ def score(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     plain = edges.where("kind IS NULL").select("pattern", "instance", "n")
     every = edges.groupBy("pattern", "instance").agg(F.sum("n").alias("n"))
     known = staged(seeds, "seeds")
-    first = known
-    for _ in range(ROUNDS):
+    while True:
         hits = every.join(known, "instance").groupBy("pattern", "kind").agg(F.sum(F.col("n") * F.col("score")).alias("hits"), F.count(F.lit(1)).alias("seeds"))
         patterns = hits.join(totals, "pattern").select("pattern", "kind", (F.col("hits") / (F.col("total") + DISCOUNT)).alias("score"), "seeds")
         patterns = staged(patterns.where(F.col("seeds") >= LEAST_SEEDS), "patterns")
         doubt = F.sum(F.log1p(-F.least(F.col("score"), F.lit(0.99))))
         scored = plain.join(patterns, "pattern").groupBy("instance", "kind").agg((1 - F.exp(doubt)).alias("score"))
-        fresh = scored.join(first.select("instance").distinct(), "instance", "left_anti").where(F.col("score") >= SEED_SCORE)
-        known = staged(first.unionByName(fresh), "known")
-    return patterns, known
+        fresh = staged(scored.where(F.col("score") >= SEED_SCORE).join(known.select("instance").distinct(), "instance", "left_anti"), "fresh")
+        if fresh.isEmpty():
+            return patterns, known
+        known = staged(known.unionByName(fresh), "known")
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -15,7 +15,7 @@ document or another; matches never cross documents, overlaps count, and all is j
 3. An anchor with more distinct segments than a shard may hold is too hot for one task. Its strings
    are counted by their hashes instead, summed before the shuffle; this gives the same answer.
 
-Texts are known by a 64-bit hash. Copies of a text of at least ``length`` bytes go entirely; one of
+Texts are known by a 64-bit hash in the search; results go to texts of equal SHA-256 only. Copies of a text of at least ``length`` bytes go entirely; one of
 them stands for all in the search. Null counts as empty; texts shorter than ``length`` lose nothing;
 rows with a null id and repeated rows are texts like any others (repeated rows are copies).
 Columns beyond those named are ignored; an empty table gives an empty result.
@@ -214,8 +214,8 @@ def _erase(parts: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFrame]
             starts, stops = joined_ranges(pairs[:, 0], pairs[:, 1] - 1 + length)
             ends = np.append(starts, len(raw))
             kept = b"".join(raw[a:b] for a, b in zip([0, *stops.tolist()], ends.tolist(), strict=True))
-            out.append((key, len(raw) - len(kept), starts.size, hashlib.sha256(kept).hexdigest(), kept))
-        yield pd.DataFrame(out, columns=["key", "n_removed", "n_spans", "kept_sha256", "kept"])
+            out.append((key, hashlib.sha256(raw).hexdigest(), len(raw) - len(kept), starts.size, hashlib.sha256(kept).hexdigest(), kept))
+        yield pd.DataFrame(out, columns=["key", "sha", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
 def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -228,7 +228,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     texts = small_batches(docs).select(docs[id_col].alias("id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
     rows = staged(texts.select("id", F.xxhash64("text").alias("key"), F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha")), "texts")
     long_rows = rows.where(F.col("n_bytes") >= length)
-    reps = staged(long_rows.groupBy("key").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies")), "reps")
+    reps = staged(long_rows.groupBy("key", "sha").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies")), "reps")
 
     long_texts = texts.where(F.octet_length("text") >= length)
     keyed = long_texts.select(F.xxhash64("text").alias("key"), "text")
@@ -243,10 +243,11 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     loads = uniq.groupBy("anchor").agg(F.sum(F.length("bytes")).alias("load"), F.count(F.lit(1)).alias("kinds"))
     loads = staged(loads.where("kinds > 1"), "loads")
     total = loads.where(F.col("load") <= HOT).agg(F.coalesce(F.sum("load"), F.lit(0))).first()[0]
-    shard = F.pmod(F.xxhash64("anchor"), F.lit(int(total) // SHARD + 1)).cast("int")
+    shards = int(total) // SHARD + 1
+    shard = F.pmod(F.xxhash64("anchor"), F.lit(shards)).cast("int")
     dealt = uniq.join(loads.select("anchor", "load"), "anchor")
     cold = dealt.where(F.col("load") <= HOT).select("anchor", "lead", "content", "bytes", shard.alias("shard"))
-    found = cold.groupBy("shard").applyInPandas(lambda part: _expand(part, length), "anchor long, lead long, content long, ranges array<int>")
+    found = cold.repartition(shards, "shard").groupBy("shard").applyInPandas(lambda part: _expand(part, length), "anchor long, lead long, content long, ranges array<int>")
     strings = dealt.where(F.col("load") > HOT).select("anchor", "lead", "content", "bytes").mapInPandas(lambda parts: _strings(parts, length), "anchor long, lead long, content long, at int, string long")
     strings = staged(strings, "strings")
     again = strings.groupBy("anchor", "string").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor", "string")
@@ -259,9 +260,9 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     ranges = staged(by.join(reps.where("copies = 1").select("key"), "key", "left_semi"), "ranges")
 
     text = _fetch(long_texts, reps, ranges.select("key")).join(ranges, "key")
-    erased = text.mapInPandas(lambda parts: _erase(parts, length), "key long, n_removed long, n_spans long, kept_sha256 string, kept binary").drop("kept")
-    whole = reps.where("copies > 1").select("key", F.lit(None).cast("long").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.sha2(F.lit(""), 256).alias("kept_sha256"))
+    erased = text.mapInPandas(lambda parts: _erase(parts, length), "key long, sha string, n_removed long, n_spans long, kept_sha256 string, kept binary").drop("kept")
+    whole = reps.where("copies > 1").select("key", "sha", F.lit(None).cast("long").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.sha2(F.lit(""), 256).alias("kept_sha256"))
     results = staged(erased.unionByName(whole), "results")
-    out = rows.join(results, "key", "left")
+    out = rows.join(results, ["key", "sha"], "left")
     removed = F.when(F.col("n_spans").isNull(), F.lit(0)).otherwise(F.coalesce("n_removed", "n_bytes")).cast("long")
     return out.select(F.col("id").alias(id_col), "n_bytes", removed.alias("n_removed"), F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"), F.coalesce("kept_sha256", "sha").alias("kept_sha256"))

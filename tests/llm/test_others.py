@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import unicodedata
 from collections import Counter
 
 import duckdb
@@ -347,3 +348,58 @@ def test_pipeline(spark, sf_dir):
     assert sorted((r["doc_id"], r["n_tokens"], r["ids_sha256"]) for r in here.collect()) == want
     ran = corpus_pipeline.run(spark, sf_dir)
     assert sorted((r["doc_id"], r["n_tokens"], r["ids_sha256"]) for r in ran.collect()) == want
+
+
+def brute_quality(docs, labels):
+    """Evidence, rates and posteriors by hand; only the logistic fit is the module's."""
+
+    def features(t):
+        words, lines = [w for w in re.split(r"[\x20\x09-\x0D]+", t) if w], [x for x in t.split("\n") if x]
+        n, long = max(1, len(words)), max(1, len(t))
+        count = lambda cs: sum(t.count(c) for c in cs)
+        odd = sum(1 for c in t if not (c.isalpha() and unicodedata.category(c).startswith("L")) and c not in " \t\n\x0b\x0c\r.,")
+        upper = sum(1 for c in t if "A" <= c <= "Z")
+        return [math.log1p(len(words)), count("#*$%&<>") / n, count("|") / n, count("!?") / n, upper / long, count("0123456789") / long, min(len(t) / n, 40) / 10, len(set(words)) / n, len(set(lines)) / max(1, len(lines)), count(".,;:") / n, min(odd / n, 3)]
+
+    x = {i: features(t or "") for i, t, *_ in docs}
+    known = sorted((i, y) for i, y in labels if y is not None and i in x)
+    mean, scale, w = site_quality.fit(np.array([x[i] for i, _ in known], float), np.array([y for _, y in known], float))
+    evidence = {i: float(np.clip(w[0] + ((np.array(v) - mean) / scale) @ w[1:], -12, 12)) for i, v in x.items()}
+    p = {i: 1 / (1 + math.exp(-e)) for i, e in evidence.items()}
+    hosts, paths = {}, {}
+    for i, _, lang, source in docs:
+        for key, group in ((source, hosts), ((source, lang), paths)):
+            good, n = group.get(key, (0.0, 0))
+            group[key] = good + p[i], n + 1
+    rate = (sum(p.values()) + 1) / (len(p) + 2)
+
+    def strength(groups, above):
+        noise = sum(above[k] * (1 - above[k]) for k in groups)
+        room = sum(n * above[k] * (1 - above[k]) for k, (_, n) in groups.items())
+        excess = (sum(n * (g / n - above[k]) ** 2 for k, (g, n) in groups.items()) - noise) / room
+        return min(1e6, max(1.0, 1 / excess - 1)) if excess > 0 else 1e6
+
+    at_host = strength(hosts, {k: rate for k in hosts})
+    host_rate = {k: (g + rate * at_host) / (n + at_host) for k, (g, n) in hosts.items()}
+    at_path = strength(paths, {k: host_rate[k[0]] for k in paths})
+    out = {}
+    for i, _, lang, source in docs:
+        g, n = paths[source, lang]
+        path = min(0.999, max(0.001, (g - p[i] + host_rate[source] * at_path) / (n - 1 + at_path)))
+        odds = evidence[i] + min(4, max(-4, math.log(path / (1 - path))))
+        out[i] = [evidence[i], host_rate[source], path, 1 / (1 + math.exp(-odds)), odds]
+    cut = site_quality.threshold(np.array([out[i][4] for i, _ in known]), np.array([y for _, y in known]))
+    return {i: (*v[:4], v[4] >= cut) for i, v in out.items()}
+
+
+def test_site_quality_by_hand(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    want = brute_quality([(r["doc_id"], r["text"], r["lang"], r["source"]) for r in docs.collect()], [(r["doc_id"], r["quality"]) for r in labels.collect()])
+    clash = "id y x _id host path evidence p h q good n odds host_rate quality kept".split()
+    docs = docs.withColumns({c: F.lit("v") for c in clash})
+    got = site_quality.site_quality(docs, labels.withColumns({c: F.lit("v") for c in clash if c not in labels.columns})).collect()
+    assert len(got) == len(want)
+    for r in got:
+        assert all(math.isclose(a, b, rel_tol=1e-6, abs_tol=1e-7) for a, b in zip(tuple(r)[1:5], want[r["doc_id"]], strict=False)), (r, want[r["doc_id"]])
+        assert r["kept"] == want[r["doc_id"]][4]
