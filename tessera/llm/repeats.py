@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.work import hash_runs, mix64, small_batches, staged
+from tessera.llm.work import hash_runs, mix64, small_batches, staged, superseded
 
 _U = np.uint64
 #: Bytes of an anchor, and of a step of the transform (a divisor of the length).
@@ -236,9 +236,11 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     ends = anchors.groupBy("anchor").agg(F.min(F.struct("key", "low")).alias("a"), F.max(F.struct("key", F.col("high").alias("low"))).alias("z"))
     twice = staged(ends.where("a <> z").select("anchor"), "twice")
     lists = staged(anchors.select("key", "anchor").join(twice, "anchor").distinct().groupBy("key").agg(F.collect_list("anchor").alias("anchors")), "lists")
+    superseded(anchors, twice)
 
     source = _fetch(long_texts, reps, lists.select("key")).join(lists, "key").dropDuplicates(["key"])
     cut = staged(source.mapInPandas(lambda parts: _cut(parts, length), "key long, anchor long, lead long, content long, starts array<long>, bytes binary"), "segments")
+    superseded(lists)
     uniq = staged(cut.groupBy("anchor", "lead", "content").agg(F.sum(F.size("starts")).alias("n"), F.first("bytes").alias("bytes")), "distinct")
     loads = uniq.groupBy("anchor").agg(F.sum(F.length("bytes")).alias("load"), F.count(F.lit(1)).alias("kinds"))
     loads = staged(loads.where("kinds > 1"), "loads")
@@ -252,12 +254,15 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     strings = staged(strings, "strings")
     again = strings.groupBy("anchor", "string").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor", "string")
     hot = strings.join(again, ["anchor", "string"]).groupBy("anchor", "lead", "content").agg(F.flatten(F.collect_list(F.array(F.col("at"), F.col("at") + 1))).alias("ranges"))
-    partly = found.unionByName(hot).where(F.size("ranges") > 0)
-    marks = uniq.select("anchor", "lead", "content", "n", (F.length("bytes") - length + 1).alias("strings")).join(staged(partly, "found"), ["anchor", "lead", "content"], "left")
+    partly = staged(found.unionByName(hot).where(F.size("ranges") > 0), "found")
+    marks = uniq.select("anchor", "lead", "content", "n", (F.length("bytes") - length + 1).alias("strings")).join(partly, ["anchor", "lead", "content"], "left")
     marks = marks.select("anchor", "lead", "content", F.when(F.col("n") > 1, F.array(F.lit(0), F.col("strings"))).otherwise(F.col("ranges")).alias("ranges")).where("ranges IS NOT NULL")
-    placed = cut.select("key", "anchor", "lead", "content", F.explode("starts").alias("start")).join(staged(marks, "marks"), ["anchor", "lead", "content"])
+    marks = staged(marks, "marks")
+    superseded(uniq, loads, strings, partly)
+    placed = cut.select("key", "anchor", "lead", "content", F.explode("starts").alias("start")).join(marks, ["anchor", "lead", "content"])
     by = placed.select("key", F.transform("ranges", lambda x: x + F.col("start")).alias("ranges")).groupBy("key").agg(F.collect_list("ranges").alias("ranges"))
     ranges = staged(by.join(reps.where("copies = 1").select("key"), "key", "left_semi"), "ranges")
+    superseded(cut, marks)
 
     text = _fetch(long_texts, reps, ranges.select("key")).join(ranges, "key")
     erased = text.mapInPandas(lambda parts: _erase(parts, length), "key long, sha string, n_removed long, n_spans long, kept_sha256 string, kept binary").drop("kept")
