@@ -271,12 +271,17 @@ def presence_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
-@query()
+@query(
+    with_views("tile_attention")
+    + """, p as (select image_id, 'cluster_' || cluster || '_presence' as name, round(sum(attention) / sum(sum(attention)) over (partition by image_id), 6) as v from tile_attention group by image_id, cluster)
+ select image_id, coalesce(columns('(cluster_.*)'), 0) as "\\1" from (pivot p on name using sum(v) group by image_id)"""
+)
 def presence_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Presence with a column for each cluster that occurs (a model's clusters, so few)."""
     rows = A.tile_attention(spark, sf_dir)
     clusters = sorted(x["cluster"] for x in rows.select("cluster").distinct().collect())
-    return attention.presence_wide(rows, "attention", clusters)
+    wide = attention.presence_wide(rows, "attention", clusters)
+    return wide.select("image_id", *[F.round(c, 6).alias(c) for c in wide.columns[1:]])
 
 
 @query(

@@ -130,8 +130,7 @@ def event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = storage.shared_folder(spark, "stream")
     events = streams.event_stream(spark, f"{sf_dir}/events.parquet*", schema)
     out = streams.windowed_totals(events, "ts", "value", "event_type", "1 hour", "3650 days")
-    name = "event_windows_" + folder.rsplit("-", 1)[1]
-    return streams.drained(out, folder, "complete", name).select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n", F.round("total", 4).alias("total"))
+    return streams.drained(out, folder, "complete").select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n", F.round("total", 4).alias("total"))
 
 
 @query(

@@ -11,18 +11,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 
+#: Categories that a column may have, one probe for each.
+MOST_CATEGORIES = 1_000
+
+
 def plan(labels: DataFrame, columns: Sequence[str]) -> list[tuple[str, str, object]]:
     """(name, column, category or None): a ridge probe for numbers with more than two values, one
-    logistic probe for two values, and one for each category beyond two. Constant columns have none."""
+    logistic probe for two values, and one for each category beyond two. Constant columns have none;
+    more than ``MOST_CATEGORIES`` categories are an error."""
     out: list[tuple[str, str, object]] = []
     for c in columns:
-        values = sorted((r[0] for r in labels.where(F.col(c).isNotNull()).select(c).distinct().limit(1000).collect()), key=str)
+        values = sorted((r[0] for r in labels.where(F.col(c).isNotNull()).select(c).distinct().limit(MOST_CATEGORIES + 1).collect()), key=str)
         if len(values) < 2:
             continue
         if len(values) == 2:
             out.append((c, c, values[1]))
         elif isinstance(labels.schema[c].dataType, NumericType):
             out.append((c, c, None))
+        elif len(values) > MOST_CATEGORIES:
+            raise ValueError(f"{c} has more than {MOST_CATEGORIES} categories")
         else:
             out += [(f"{c}: {v}", c, v) for v in values]
     return out

@@ -25,14 +25,28 @@ def tile_totals(cells: DataFrame, width: int) -> DataFrame:
     return cells.groupBy("image_id", floor_bin("x", 0, width).alias("tile_x"), floor_bin("y", 0, width).alias("tile_y")).agg(F.count(F.lit(1)).alias("n_cells"))
 
 
-def drained(stream: DataFrame, folder: str, mode: str, name: str) -> DataFrame:
-    """Run a stream over what is there, into a table that is read back."""
+def drained(stream: DataFrame, folder: str, mode: str) -> DataFrame:
+    """Run a stream over what is there, into files that are read back.
+
+    In complete mode each batch writes the whole result so far to a folder of its own, and the last
+    one is read; a batch that is repeated after a failure writes its folder again.
+    """
     spark = stream.sparkSession
-    done = stream.writeStream.format("memory" if mode == "complete" else "parquet").outputMode(mode).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True)
+    done = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True)
+    last = f"{folder}/rows"
     if mode == "complete":
-        query = done.queryName(name).start()
+        batches: list[int] = []
+
+        def put(rows: DataFrame, batch: int) -> None:
+            rows.write.mode("overwrite").parquet(f"{folder}/rows-{batch}")
+            batches.append(batch)
+
+        query = done.foreachBatch(put).start()
+        query.awaitTermination()
+        if not batches:
+            return spark.createDataFrame([], stream.schema)
+        last = f"{folder}/rows-{max(batches)}"
+    else:
+        query = done.format("parquet").option("path", last).start()
         query.awaitTermination()
-        return spark.table(name)
-    query = done.option("path", f"{folder}/rows").start()
-    query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{folder}/rows")
+    return spark.read.schema(stream.schema).parquet(last)

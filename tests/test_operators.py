@@ -200,6 +200,12 @@ def test_scalars(spark):
     got = df.select(scalar.slide_stem(F.col("p")), scalar.run_tag(F.col("t")), scalar.floor_bin("v", 0, 100), scalar.round_half_even(F.col("h"))).collect()
     assert [tuple(r) for r in got] == [("X", "0-5", -100, 2), ("c", None, 100, 4)]
     assert scalar.hive_path({"size_mm": 0.250, "model": ["a", "b"], "fold": None, "x": True}) == "model=a+b/size_mm=0.25/x=true"
+    values = [1e-7, 0.1234567, 0.123457, 1e22, -0.0, 2.0, 0.1, 5e-324, True, 7]
+    assert [scalar.hive_value(v) for v in values[:6]] == ["0.0000001", "0.1234567", "0.123457", "10000000000000000000000", "0", "2"]
+    assert len({scalar.hive_value(v) for v in values}) == len(values) and all(float(scalar.hive_value(v)) == v for v in values if not isinstance(v, bool))
+    for wrong in (float("nan"), float("inf"), -float("inf")):
+        with pytest.raises(ValueError):
+            scalar.hive_value(wrong)
     assert spark.range(1).select(scalar.duration(F.lit(3661.5))).first()[0] == "01:01:01"
 
 
@@ -240,7 +246,7 @@ def test_stream_of_cells(spark, tmp_path):
     source = str(tmp_path / "in")
     spark.createDataFrame([(1, 5.0, 5.0), (1, 7.0, 9.0), (1, 150.0, 5.0)], "image_id long, x double, y double").write.parquet(source)
     stream = streams.event_stream(spark, source, "image_id long, x double, y double")
-    got = streams.drained(streams.tile_totals(stream, 100), str(tmp_path / "s"), "complete", "tile_totals")
+    got = streams.drained(streams.tile_totals(stream, 100), str(tmp_path / "s"), "complete")
     assert rows(got, "tile_x", "n_cells") == [(0, 2), (100, 1)]
 
 
