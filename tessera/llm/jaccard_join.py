@@ -50,12 +50,12 @@ from tessera.llm.work import bounded, hash_shingles, hash_words, mix64, rows_tha
 _U = np.uint64
 #: An n-gram is common from so many documents on; at most COMMON_MOST of them can be.
 LEAST_COMMON, COMMON_MOST = 50, 1 << 20
-#: n-grams or blocks taken together, and occurrences among them below which none is noted.
-COUNTED, NOTED = 1 << 20, 3
+#: n-grams counted together, and occurrences among them below which none is noted; blocks combined.
+COUNTED, NOTED, BLOCKS = 1 << 20, 3, 1 << 18
 #: Blockings before a row is blocked as a whole: of which n-grams, and how many times the blocks.
 VIEWS = (("rare", 1), ("rare", 16), ("all", 1), ("all", 1))
 #: Rows and n-grams in a tile of a family, about.
-TILE_ROWS, TILE_GRAMS = 2_048, 1 << 20
+TILE_ROWS, TILE_GRAMS = 1_024, 1 << 19
 #: Families of more tiles are blocked again, by at most so many further cuts.
 MANY_TILES, CUTS = 4, 4
 #: Cells of a dense column block, and row pairs of a sparse one, that are multiplied at a time.
@@ -218,14 +218,15 @@ def _combined(sig: np.ndarray, key: np.ndarray) -> pd.DataFrame:
     own = np.flatnonzero(root != np.arange(keys.size))
     joined = np.unique(np.concatenate((own, root[own])))
     block = mix64(keys[root[joined]].view(_U) + _U(23)).view(np.int64)
-    return pd.DataFrame({"sig": np.concatenate((sig[new], block)), "key": np.concatenate((keys[root[at[new]]], keys[joined]))})
+    out = pd.DataFrame({"sig": np.concatenate((sig[new], block)), "key": np.concatenate((keys[root[at[new]]], keys[joined]))})
+    return out.sort_values("key", kind="stable")  # runs of equal keys take little room in the shuffle
 
 
 def _families(texts: DataFrame, k: int, sizes: Sizes, common: np.ndarray, cut: int) -> DataFrame:
     """Rows (key, comp): the families of sets in ``texts`` (text, family), within each family given.
 
     Sets that can link with no other are left out. Blocks are combined before the shuffle: a task
-    gives those of equal sets once, and each block once from ``COUNTED`` of them.
+    gives those of equal sets once, and each block once from ``BLOCKS`` of them.
     """
     shared = texts.sparkSession.sparkContext.broadcast(common)
 
@@ -243,7 +244,7 @@ def _families(texts: DataFrame, k: int, sizes: Sizes, common: np.ndarray, cut: i
                     keys.append(key)
                     sigs.append(mix64(signatures(grams, shared.value, sizes, cut) ^ family))
                     size += sigs[-1].size
-            if size >= COUNTED:
+            if size >= BLOCKS:
                 yield held()
                 keys, sigs, size = [], [], 0
         if keys:
