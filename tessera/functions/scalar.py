@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import math
+import re
 from collections.abc import Mapping, Sequence
 from decimal import Decimal
 
@@ -81,6 +82,49 @@ def hive_path(values: Mapping[str, object]) -> str:
     return "/".join(f"{k}={hive_value(v)}" for k, v in sorted(values.items()) if v is not None)
 
 
+def hive_parse(name: Column) -> Column:
+    """Map of the ``key=value`` folders of a path; the other parts of it are left out."""
+    parts = F.filter(F.split(name, "/"), lambda x: x.contains("="))
+    return F.map_from_entries(F.transform(parts, lambda x: F.struct(F.substring_index(x, "=", 1).alias("k"), F.regexp_extract(x, "=(.*)$", 1).alias("v"))))
+
+
+def template_path(template: str, values: Mapping[str, Column], optional: Sequence[str] = (), extra: Mapping[str, Column] | None = None) -> Column:
+    """A path for each row: ``{key}`` gives way to the row's value, and a folder that needs an
+    optional key whose value is null goes. ``extra`` folders, sorted, stand before the file name."""
+    folders, file = template.split("/")[:-1], template.split("/")[-1]
+    wanted = set(re.findall(r"{(\w+)}", template))
+    if wanted - set(values):
+        raise KeyError(f"no value for {sorted(wanted - set(values))}")
+
+    def filled(text: str) -> Column:
+        pieces = re.split(r"{(\w+)}", text)
+        return F.concat(*[values[p].cast("string") if i % 2 else F.lit(p) for i, p in enumerate(pieces)])
+
+    parts = []
+    for folder in folders:
+        keys = re.findall(r"{(\w+)}", folder)
+        own = filled(folder)
+        must = [k for k in keys if k not in optional]
+        parts.append(F.coalesce(own, F.raise_error(F.lit(f"no value for {must}")).cast("string")) if must else own)
+    parts += [F.concat(F.lit(f"{k}="), c.cast("string")) for k, c in sorted((extra or {}).items())]
+    return F.concat_ws("/", *parts, filled(file))
+
+
+def run_id(when: Column) -> Column:
+    """UTC time as an id that sorts by time."""
+    return F.date_format(when, "yyyyMMdd'T'HHmmss'Z'")
+
+
+def draw(seed: int, *columns: str) -> Column:
+    """A digest of a row's keys and a seed, by which rows are drawn and ordered at random but alike on every run."""
+    return F.md5(F.concat_ws(":", *[F.col(c).cast("string") for c in columns], F.lit(str(seed))))
+
+
+def uniform(digest: Column) -> Column:
+    """A digest as a number from 0 up to 1: its first 52 bits."""
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") / float(1 << 52)
+
+
 def sigmoid(x: Column) -> Column:
     return 1 / (1 + F.exp(-x))
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.jobs import cohort_queries, learned_queries, model_queries
+from tessera.jobs import cohort_queries, learned_queries, model_queries, outcome_queries
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,8 +14,8 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return cohort_queries.QUERIES | model_queries.QUERIES | learned_queries.QUERIES
+    return cohort_queries.QUERIES | model_queries.QUERIES | learned_queries.QUERIES | outcome_queries.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return cohort_queries.SQL | model_queries.SQL | learned_queries.SQL
+    return cohort_queries.SQL | model_queries.SQL | learned_queries.SQL | outcome_queries.SQL

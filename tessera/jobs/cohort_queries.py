@@ -162,14 +162,22 @@ def splits_expand_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return folds.expand_flat(flat, 5)
 
 
-@query()
+@query(
+    with_views("image_metadata")
+    + """, counts as (select patient_id, recurred, count(*) as k from image_metadata group by all),
+ per as (select patient_id, min_by(recurred, (-k, recurred)) as label, sum(k) as n from counts group by patient_id),
+ dealt as (select patient_id, (row_number() over (partition by label order by n desc, md5(patient_id || ':0')) - 1) % 5 as own from per),
+ flat as (select m.image_id, d.own from image_metadata m join dealt d using (patient_id)),
+ wide as (select image_id, cast(f as int) as fold, case when f = own then 'test' else 'train' end as split from flat cross join (select unnest(range(5)) as f) x)
+ select image_id, fold, case when split = 'train' and row_number() over (partition by fold, split order by md5(image_id || ':' || fold || ':0')) <= greatest(1, round_even(count(*) over (partition by fold, split) * 0.1e0, 0)) then 'val' else split end as split from wide"""
+)
 def splits_group_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leakage-free folds by patient, stratified by outcome, with a validation share."""
     flat = folds.group_folds(A.image_metadata(spark, sf_dir), 5, "patient_id", ["recurred"])
     return folds.carve_validation(folds.expand_flat(flat, 5), 0.1)
 
 
-@query()
+@query(with_views("image_metadata") + "select image_id, cast((row_number() over (partition by recurred, stage order by md5(image_id || ':0')) - 1) % 5 as int) as fold from image_metadata")
 def splits_stratified_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     return folds.stratified_folds(A.image_metadata(spark, sf_dir), 5, ["recurred", "stage"])
 
@@ -284,11 +292,17 @@ def presence_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide.select("image_id", *[F.round(c, 6).alias(c) for c in wide.columns[1:]])
 
 
-@query(
+RANKED = (
     with_views("tile_attention", "image_metadata")
     + """, p as (select image_id, cluster, round(sum(attention) / sum(sum(attention)) over (partition by image_id), 10) as v from tile_attention group by image_id, cluster),
- x as (select p.*, m.recurred, rank() over (partition by cluster order by v) + (count(*) over (partition by cluster, v) - 1) / 2.0e0 as rk from p join image_metadata m using (image_id))
- select cluster, count(*) filter (where recurred = 1) as n1, count(*) filter (where recurred = 0) as n0,
+ x as (select p.*, m.recurred, rank() over (partition by cluster order by v) + (count(*) over (partition by cluster, v) - 1) / 2.0e0 as rk, count(*) over (partition by cluster, v) as same from p join image_metadata m using (image_id))
+"""
+)
+
+
+@query(
+    RANKED
+    + """select cluster, count(*) filter (where recurred = 1) as n1, count(*) filter (where recurred = 0) as n0,
  round(sum(case when recurred = 1 then rk else 0 end) - count(*) filter (where recurred = 1) * (count(*) filter (where recurred = 1) + 1) / 2.0e0, 6) as u1,
  round(2 * (sum(case when recurred = 1 then rk else 0 end) - count(*) filter (where recurred = 1) * (count(*) filter (where recurred = 1) + 1) / 2.0e0)
   / nullif(count(*) filter (where recurred = 1) * count(*) filter (where recurred = 0), 0) - 1, 8) as effect_r from x group by cluster"""
@@ -303,7 +317,17 @@ def _cluster_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.mann_whitney(rows, "weighted_presence", "recurred", ["cluster"])
 
 
-@query()
+@query(
+    RANKED
+    + """, s as (select cluster, count(*) filter (where recurred = 1) as n1, count(*) filter (where recurred = 0) as n0, sum(case when recurred = 1 then rk else 0 end) as rs, sum(1.0e0 * same * same - 1) as ties, count(*) as n from x group by cluster),
+ u as (select *, rs - n1 * (n1 + 1) / 2.0e0 as u1, n0 * n1 / 12.0e0 * ((n + 1) - ties / (n * (n - 1.0e0))) as var from s),
+ z as (select *, greatest(abs(u1 - n0 * n1 / 2.0e0) - 0.5e0, 0) / sqrt(var) / sqrt(2.0e0) as z from u),
+ t as (select *, 1 / (1 + 0.3275911e0 * z) as t from z),
+ q as (select *, least(1, ((((1.061405429e0 * t - 1.453152027e0) * t + 1.421413741e0) * t - 0.284496736e0) * t + 0.254829592e0) * t * exp(-z * z)) as p_value from t),
+ b as (select *, p_value * count(*) over () / (rank() over (order by p_value) + count(*) over (partition by p_value) - 1) as v from q)
+ select cluster, n1, n0, round(u1, 6) as u1, round(2 * u1 / (n0 * n1) - 1, 8) as effect_r, round(p_value, 6) as p_value,
+ round(least(1, min(v) over (order by p_value rows between current row and unbounded following)), 6) as p_adjusted from b"""
+)
 def significant_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     tests = stats.benjamini_hochberg(stats.with_p_values(_cluster_tests(spark, sf_dir)))
     return tests.select("cluster", "n1", "n0", r("u1", 6), r("effect_r", 8), r("p_value", 6), r("p_adjusted", 6))

@@ -120,7 +120,19 @@ def average_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.average_precision(_scored(spark, sf_dir), "score", "recurred", ["fold"]).select("fold", r("average_precision", 9))
 
 
-@query()
+BOOTSTRAP = ", ".join(f"{e}e0" for e in stats.POISSON)
+
+
+@query(
+    SCORED
+    + f""", d as (select s.image_id, s.score, s.recurred, t.k, (cast('0x' || substr(md5(s.image_id || ':' || t.k || ':0'), 1, 13) as bigint) / 4503599627370496.0e0) as u
+  from (select f.image_id, round(f.risk_score, 2) as score, m.recurred from fold_scores f join image_metadata m using (image_id)) s cross join (select unnest(range(200)) as k) t),
+ w as (select k, score, recurred, len(list_filter([{BOOTSTRAP}], lambda e: e <= u)) as w from d),
+ g as (select k, score, sum(case when recurred = 1 then w else 0 end) as pos, sum(case when recurred = 1 then 0 else w end) as neg from w where w > 0 group by k, score),
+ b as (select *, sum(neg) over (partition by k order by score) - neg as below from g),
+ a as (select k, sum(pos * (below + neg / 2.0e0)) / nullif(sum(pos) * sum(neg), 0) as auc from b group by k)
+ select count(auc) as replicas, round(avg(auc), 6) as mean, round(quantile_cont(auc, 0.025), 6) as low, round(quantile_cont(auc, 0.975), 6) as high from a where auc is not null"""
+)
 def bootstrap_auroc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean and interval of the AUROC over 200 resamples."""
     out = stats.bootstrap_auroc(_scored(spark, sf_dir), "score", "recurred", "image_id", 200)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 EPS = 1e-12
@@ -50,3 +50,8 @@ def presence_of_foreground(tiles: DataFrame, weight: str) -> DataFrame:
     sums = tiles.withColumn("_n", n).where(F.col("cluster").isNotNull()).groupBy("image_id", "cluster").agg(F.sum(weight).alias("w"), F.count(F.lit(1)).alias("hard_count"), F.max("_n").alias("_n"))
     whole = F.sum("w").over(Window.partitionBy("image_id"))
     return sums.select("image_id", "cluster", (F.col("w") / F.greatest(whole, F.lit(EPS))).alias("presence"), (F.col("w") / F.col("_n")).alias("presence_abs"), "hard_count", (F.col("hard_count") / F.col("_n")).alias("hard_frac"))
+
+
+def hybrid(attention: str, gradient: str) -> Column:
+    """Attention times the gradient of the score: what a tile adds, not only how much it is seen."""
+    return F.col(attention) * F.col(gradient)

@@ -73,3 +73,15 @@ def large_clusters(rows: DataFrame, by: Sequence[str], cluster: str, least_share
     sizes = rows.groupBy(*by, cluster).agg(F.count(F.lit(1)).alias("n"))
     most = sizes.groupBy(*by).agg(F.max("n").alias("most"))
     return sizes.join(most, list(by)).where(F.col("n") >= least_share * F.col("most")).drop("most")
+
+
+#: Types whose sum stands in for a missing total.
+TYPES = ("n_tumor", "n_lymph", "n_connective", "n_epithelial", "n_dead")
+
+
+def with_totals(counts: DataFrame) -> DataFrame:
+    """Counts with ``n_cells``: as given, or the sum of the types that the table has."""
+    if "n_cells" in counts.columns:
+        return counts
+    known = [F.coalesce(F.col(c), F.lit(0)) for c in TYPES if c in counts.columns]
+    return counts.withColumn("n_cells", sum(known, F.lit(0)).cast("long"))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.scalar import composite_key
+from tessera.functions.scalar import composite_key, draw
+from tessera.operators.ordered import running_sums
 
 
 def expand_flat(flat: DataFrame, n_folds: int) -> DataFrame:
@@ -24,32 +25,77 @@ def repeated_ids(flat: DataFrame) -> DataFrame:
     return flat.groupBy("image_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-def _hash(seed: int, *columns: str) -> Column:
-    return F.xxhash64(*columns, F.lit(seed))
+def _ranked(rows: DataFrame, by: Sequence[str], key: str, first: Sequence[str] = ()) -> DataFrame:
+    """Add ``_rank`` (from 1) and ``_all`` (the size) within each group ``by``, in the order of
+    ``first`` and then of the hexadecimal digest ``key``.
+
+    A digest's first two digits cut a group into 256 parts of like size. Parts are counted first,
+    so that no task orders a whole group.
+    """
+    cut = rows.withColumn("_part", F.substring(key, 1, 2))
+    parts = [*by, *first, "_part"]
+    sizes = cut.groupBy(*parts).agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.partitionBy(*by).orderBy(*first, "_part").rowsBetween(Window.unboundedPreceding, -1)
+    base = sizes.select(*parts, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"), F.sum("_size").over(Window.partitionBy(*by)).alias("_all"))
+    own = cut.withColumn("_own", F.row_number().over(Window.partitionBy(*parts).orderBy(key)))
+    return own.join(base, parts).withColumn("_rank", F.col("_before") + F.col("_own"))
 
 
 def stratified_folds(images: DataFrame, n_folds: int, strata: Sequence[str] = (), seed: int = 0) -> DataFrame:
-    """A fold for each image: round-robin in hash order within each stratum."""
-    order = Window.partitionBy(composite_key(*strata) if strata else F.lit(0)).orderBy(_hash(seed, "image_id"), "image_id")
-    return images.select("image_id", ((F.row_number().over(order) - 1) % n_folds).cast("int").alias("fold"))
+    """A fold for each image: round-robin in the order of draws within each stratum."""
+    rows = images.select("image_id", (composite_key(*strata) if strata else F.lit("all")).alias("_stratum"), draw(seed, "image_id").alias("_key"))
+    return _ranked(rows, ["_stratum"], "_key").select("image_id", ((F.col("_rank") - 1) % n_folds).cast("int").alias("fold"))
 
 
 def group_folds(images: DataFrame, n_folds: int, group: str, strata: Sequence[str] = (), seed: int = 0) -> DataFrame:
     """A fold for each image, whole groups together: groups of like make-up are dealt round-robin,
-    the largest first."""
+    the largest first. A group's make-up is its most frequent stratum, the first of equals."""
     label = composite_key(*strata) if strata else F.lit("all")
-    per = images.groupBy(group).agg(F.count(F.lit(1)).alias("_n"), F.mode(label, True).alias("_label"))
-    order = Window.partitionBy("_label").orderBy(F.col("_n").desc(), _hash(seed, group), group)
-    dealt = per.select(group, ((F.row_number().over(order) - 1) % n_folds).cast("int").alias("fold"))
+    per = images.groupBy(group).agg((-F.count(F.lit(1))).alias("_less"), F.mode(label, True).alias("_label")).withColumn("_key", draw(seed, group))
+    dealt = _ranked(per, ["_label"], "_key", ["_less"]).select(group, ((F.col("_rank") - 1) % n_folds).cast("int").alias("fold"))
     return images.join(dealt, group).select("image_id", "fold")
 
 
+def modulo_folds(images: DataFrame, n_folds: int) -> DataFrame:
+    """Images in the order of their ids, dealt round-robin."""
+    ids = images.select("image_id").distinct().withColumn("_one", F.lit(1))
+    return running_sums(ids, "image_id", ["_one"]).select("image_id", ((F.col("cum__one") - 1) % n_folds).cast("int").alias("fold"))
+
+
 def carve_validation(splits: DataFrame, fraction: float, seed: int = 0) -> DataFrame:
     """Turn a share of each fold's train rows, one at least, into ``val``."""
-    order = Window.partitionBy("fold", "split").orderBy(_hash(seed, "image_id", "fold"), "image_id")
-    count = F.count(F.lit(1)).over(Window.partitionBy("fold", "split"))
-    val = (F.col("split") == "train") & (F.row_number().over(order) <= F.greatest(F.lit(1), F.rint(count * fraction)))
-    return splits.select("image_id", "fold", F.when(val & (F.lit(fraction) > 0), "val").otherwise(F.col("split")).alias("split"))
+    if fraction <= 0:
+        return splits.select("image_id", "fold", "split")
+    rows = splits.select("image_id", "fold", "split", draw(seed, "image_id", "fold").alias("_key"))
+    val = (F.col("split") == "train") & (F.col("_rank") <= F.greatest(F.lit(1), F.rint(F.col("_all") * fraction)))
+    return _ranked(rows, ["fold", "split"], "_key").select("image_id", "fold", F.when(val, "val").otherwise(F.col("split")).alias("split"))
+
+
+def inner_split(images: DataFrame, label: str, fraction: float, seed: int = 0) -> DataFrame:
+    """(image_id, split): a share of each class held out as ``val``, rounded half to even.
+
+    Fewer than four images, or no share, leave all in ``train``. A class of one image makes the
+    draw go over all classes together.
+    """
+    per = images.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    whole = per.agg(F.sum("n").alias("_total"), ((F.count(F.lit(1)) > 1) & (F.min("n") >= 2)).alias("_by_class"))
+    rows = images.select("image_id", F.col(label).cast("string").alias("_y")).join(F.broadcast(whole), how="inner")
+    rows = rows.select("image_id", "_total", F.when(F.col("_by_class"), F.coalesce("_y", F.lit("nan"))).otherwise("all").alias("_stratum"), draw(seed, "image_id").alias("_key"))
+    val = (F.col("_total") >= 4) & (F.lit(fraction) > 0) & (F.col("_rank") <= F.rint(F.col("_all") * fraction))
+    return _ranked(rows, ["_stratum"], "_key").select("image_id", F.when(val, "val").otherwise("train").alias("split"))
+
+
+def fold_values(n_folds: int | None) -> list[int | None]:
+    """The folds of a run: one without a number where there is none to cross."""
+    return list(range(n_folds)) if n_folds and n_folds > 1 else [None]
+
+
+def partition_grid(spark: SparkSession, values: Mapping[str, Sequence[str | None]]) -> DataFrame:
+    """All combinations of a few partition values, a column for each."""
+    rows = spark.range(1).select()
+    for name, options in values.items():
+        rows = rows.select("*", F.explode(F.array(*[F.lit(v).cast("string") for v in options])).alias(name))
+    return rows
 
 
 def ids_of(splits: DataFrame, fold: int, split: str) -> DataFrame:

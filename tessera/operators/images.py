@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed values, on a hue, saturation and value scale of 0 to 255: ranges (low, high) of bright glass,
@@ -73,3 +73,56 @@ def tile_background(thumbnails: DataFrame, tiles: DataFrame) -> DataFrame:
 
     kind = tiles.schema["image_id"].dataType.simpleString()
     return thumbnails.join(placed, "image_id").mapInPandas(judge, f"image_id {kind}, tile_id long, tile_background boolean")
+
+
+def _reach(size: int) -> tuple[int, int]:
+    """Pixels before and after the middle of a window of ``size``; an even one reaches back further."""
+    return -(size // 2), size - size // 2 - 1
+
+
+def _squares(pixels: DataFrame, columns: Sequence[str], size: int, total: Callable[[str], Column]) -> DataFrame:
+    """Each column's aggregate over the square around a pixel: along rows, then along columns.
+
+    Windows run within a row or a column of one image, whatever the number of images.
+    """
+    low, high = _reach(size)
+    for fixed, along in (("row", "col"), ("col", "row")):
+        near = Window.partitionBy("image_id", fixed).orderBy(along).rangeBetween(low, high)
+        pixels = pixels.withColumns({c: total(c).over(near) for c in columns})
+    return pixels
+
+
+def eroded(pixels: DataFrame, columns: Sequence[str], size: int) -> DataFrame:
+    """Flags that hold over the whole square around a pixel. ``pixels``: (image_id, row, col, flags)."""
+    return _squares(pixels, columns, size, F.bool_and)
+
+
+def dilated(pixels: DataFrame, columns: Sequence[str], size: int) -> DataFrame:
+    """Flags that hold anywhere in the square around a pixel."""
+    return _squares(pixels, columns, size, F.bool_or)
+
+
+def median_flags(pixels: DataFrame, columns: Sequence[str], size: int, side: int) -> DataFrame:
+    """The more frequent value of the odd square around a pixel of a ``side`` x ``side`` image.
+
+    Pixels beyond an edge mirror those within it.
+    """
+    reach = size // 2
+    rows = pixels.withColumns({c: F.col(c).cast("int") for c in columns})
+    for axis in ("row", "col"):
+        place = F.col(axis)
+        mirrors = F.array(place, F.when(place < reach, -1 - place), F.when(place >= side - reach, 2 * side - 1 - place))
+        rows = rows.withColumn(axis, F.explode(F.array_compact(mirrors)))
+    inside = F.col("row").between(0, side - 1) & F.col("col").between(0, side - 1)
+    sums = _squares(rows, columns, size, F.sum).where(inside)
+    return sums.withColumns({c: F.col(c) * 2 > size * size for c in columns})
+
+
+def background_share(pixels: DataFrame, side: int, median: int = 5, erode: int = 20, erode_ink: int = 10, dilate_ink: int = 100) -> DataFrame:
+    """(image_id, share): pixels of a tile that are background or near a large enough piece of ink.
+
+    ``pixels``: (image_id, row, col, background, ink), every pixel of each ``side`` x ``side`` tile.
+    """
+    clean = eroded(median_flags(pixels, ["background"], median, side), ["background"], erode)
+    marked = dilated(eroded(clean, ["ink"], erode_ink), ["ink"], dilate_ink)
+    return marked.groupBy("image_id").agg((F.count_if(F.col("background") | F.col("ink")) / F.count(F.lit(1))).alias("share"))

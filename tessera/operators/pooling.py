@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -109,6 +109,13 @@ def score(tiles: DataFrame, models: DataFrame) -> DataFrame:
     Each tile gives, for each branch, its logit and its share of the score; a bag's score follows
     from sums of exp(logit) and exp(logit) * share, shifted by the greatest logit.
     """
+    sums = branch_sums(tiles.select("image_id", "tile_id", "features", F.lit("").alias("cluster")), models)
+    return _bag_scores(sums, ["image_id", "fold"])
+
+
+def branch_sums(tiles: DataFrame, models: DataFrame) -> DataFrame:
+    """(image_id, cluster, fold, branch, n, e, es, bias): the sums from which a bag's score follows,
+    for each cluster of its tiles; a cluster may be null."""
     held = {r["fold"]: r["model"] for r in models.collect()}  # a model for each fold: few and small
 
     def parts(batches):
@@ -120,10 +127,33 @@ def score(tiles: DataFrame, models: DataFrame) -> DataFrame:
                     s = m.logits(x)[0]
                     share = x @ m.c.reshape(s.shape[1], -1).T
                     k = s.shape[1]
-                    yield pd.DataFrame({"image_id": np.repeat(part["image_id"].to_numpy(), k), "tile_id": np.repeat(part["tile_id"].to_numpy(), k), "fold": fold, "branch": np.tile(np.arange(k), len(part)), "logit": s.ravel(), "share": share.ravel(), "bias": m.b[0]})
+                    yield pd.DataFrame({"image_id": np.repeat(part["image_id"].to_numpy(), k), "cluster": np.repeat(part["cluster"].to_numpy(), k), "fold": fold, "branch": np.tile(np.arange(k), len(part)), "logit": s.ravel(), "share": share.ravel(), "bias": m.b[0]})
 
-    rows = tiles.select("image_id", "tile_id", "features").mapInPandas(parts, "image_id long, tile_id long, fold int, branch int, logit double, share double, bias double")
+    rows = tiles.select("image_id", F.col("cluster").cast("string").alias("cluster"), "features").mapInPandas(parts, "image_id long, cluster string, fold int, branch int, logit double, share double, bias double")
     # tanh and sigmoid are bounded, so logits are too, and exp can't overflow
-    sums = rows.groupBy("image_id", "fold", "branch").agg(F.sum(F.exp("logit")).alias("e"), F.sum(F.exp("logit") * F.col("share")).alias("es"), F.max("bias").alias("bias"))
-    bags = sums.groupBy("image_id", "fold").agg((F.sum(F.col("es") / F.col("e")) + F.max("bias")).alias("z"))
-    return bags.select("image_id", "fold", (1 / (1 + F.exp(-F.col("z")))).alias("risk_score"))
+    return rows.groupBy("image_id", "cluster", "fold", "branch").agg(F.count(F.lit(1)).alias("n"), F.sum(F.exp("logit")).alias("e"), F.sum(F.exp("logit") * F.col("share")).alias("es"), F.max("bias").alias("bias"))
+
+
+def _bag_scores(sums: DataFrame, by: list[str]) -> DataFrame:
+    bags = sums.groupBy(*by).agg((F.sum(F.col("es") / F.col("e")) + F.max("bias")).alias("z"))
+    return bags.select(*by, (1 / (1 + F.exp(-F.col("z")))).alias("risk_score"))
+
+
+def marginals(tiles: DataFrame, models: DataFrame, least: float = 0.01) -> DataFrame:
+    """What each cluster adds to each image's score, by each fold's model: the score of all tiles
+    less that of the tiles outside the cluster.
+
+    A score follows from sums over tiles, so a cluster is left out by subtracting its sums; no bag
+    is scored again. Tiles without a cluster (null) stay in every bag. Clusters under ``least`` of
+    the image's tiles, and clusters that are all of them, have no row.
+    """
+    sums = branch_sums(tiles, models)
+    whole = Window.partitionBy("image_id", "fold", "branch")
+    parts = sums.withColumns({"_n": F.sum("n").over(whole), "_e": F.sum("e").over(whole), "_es": F.sum("es").over(whole)})
+    parts = parts.where(F.col("cluster").isNotNull() & (F.col("n") < F.col("_n")) & (F.col("n") >= F.col("_n") * least))
+    z = lambda es, e: F.sum(es / e) + F.max("bias")
+    rows = parts.groupBy("image_id", "cluster", "fold").agg(
+        F.max("n").alias("n_removed"), F.max("_n").alias("n_tiles"), z(F.col("_es"), F.col("_e")).alias("_all"), z(F.col("_es") - F.col("es"), F.col("_e") - F.col("e")).alias("_rest")
+    )
+    full, rest = (1 / (1 + F.exp(-F.col(c))) for c in ("_all", "_rest"))
+    return rows.select("image_id", "cluster", "fold", "n_removed", "n_tiles", full.alias("p_full"), rest.alias("p_without"), (full - rest).alias("delta_p"))

@@ -6,14 +6,20 @@ over the order are taken range by range (``ordered``).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions.scalar import draw, uniform
 from tessera.operators.ordered import running_min, running_sums
 
 
+#: Distribution function of a Poisson variable of mean 1, from 0 on.
+POISSON = tuple(math.fsum(math.exp(-1) / math.factorial(i) for i in range(k + 1)) for k in range(7))
+
+
 def _by_value(df: DataFrame, value: str, label: str, by: Sequence[str]) -> DataFrame:
     one = F.col(label) == 1
     rows = df.where(F.col(value).isNotNull() & F.col(label).isNotNull())
@@ -98,10 +104,9 @@ def bootstrap_auroc(df: DataFrame, score: str, label: str, id_col: str, replicas
     Each row has a weight for each replica, a Poisson draw from the hash of both, so a replica's
     sample needs no exchange of rows; replicas without one of the classes are skipped.
     """
-    u = F.shiftrightunsigned(F.xxhash64(id_col, "replica", F.lit(seed)), 11) / float(1 << 53)
-    edges = [0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462, 0.9963401531726563, 0.9994058151824183, 0.9999167588507119]
+    u = uniform(draw(seed, id_col, "replica"))
     weight = F.lit(0)
-    for e in edges:
+    for e in POISSON:
         weight = weight + (u >= e).cast("int")
     rows = df.select(id_col, score, label, F.explode(F.sequence(F.lit(0), F.lit(replicas - 1))).alias("replica")).withColumn("w", weight).where("w > 0")
     one = F.col(label) == 1

@@ -74,3 +74,28 @@ def case_reports(tables: Mapping[str, DataFrame], key: str = "image_id") -> Data
     per = rows.groupBy(key, "table").agg(F.array_sort(F.collect_list("row")).alias("rows"))
     text = F.concat(F.lit('"'), F.col("table"), F.lit('":['), F.array_join("rows", ","), F.lit("]"))
     return per.select(key, text.alias("text")).groupBy(key).agg(F.concat(F.lit("{"), F.array_join(F.array_sort(F.collect_list("text")), ","), F.lit("}")).alias("report"))
+
+
+def owners(augmentations: DataFrame, datasets: DataFrame) -> DataFrame:
+    """Augmentations with the number of datasets whose id they name, and whether that is one."""
+    ids = datasets.groupBy("dataset_id").agg(F.count(F.lit(1)).alias("n_owners"))
+    rows = augmentations.join(ids, F.col("source_dataset_id") == F.col("dataset_id"), "left").drop("dataset_id")
+    return rows.withColumn("n_owners", F.coalesce("n_owners", F.lit(0))).withColumn("ok", F.col("n_owners") == 1)
+
+
+def label_violations(rows: DataFrame, label: str) -> DataFrame:
+    """Values of a label other than 0 and 1, and their number; null is unlabelled, not wrong."""
+    return rows.where(F.col(label).isNotNull() & ~F.col(label).isin(0, 1)).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+
+
+def labelled(rows: DataFrame, label: str) -> DataFrame:
+    return rows.where(F.col(label).isNotNull())
+
+
+def without_provenance(rows: DataFrame) -> DataFrame:
+    return rows.drop("dataset")
+
+
+def first_and_count(tiles: DataFrame, by: str, order: str, columns: Sequence[str]) -> DataFrame:
+    """For each image the first value of each column, in the order of ``order``, and its tiles."""
+    return tiles.groupBy(by).agg(*[F.min_by(c, order).alias(c) for c in columns], F.count(F.lit(1)).alias("n_tiles"))

@@ -44,3 +44,25 @@ def contiguous(tiles: DataFrame) -> DataFrame:
     by = tiles.groupBy("image_id").agg(F.count(F.lit(1)).alias("n_tiles"), F.max("tile_id").alias("last"), F.count_distinct("tile_id").alias("n_ids"), F.min("tile_id").alias("first"))
     ok = (F.col("first") == 0) & (F.col("last") == F.col("n_tiles") - 1) & (F.col("n_ids") == F.col("n_tiles"))
     return by.select("image_id", "n_tiles", ok.alias("ok"))
+
+
+def tile_slice(tiles: DataFrame, start: int, stop: int) -> DataFrame:
+    """Tiles ``start`` up to, not including, ``stop``, of each image."""
+    return tiles.where(F.col("tile_id").between(start, stop - 1))
+
+
+def cluster_map(tiles: DataFrame, clusters: DataFrame, background: int = -1) -> DataFrame:
+    """Every tile of the grid with its cluster; tiles without one are ``background``."""
+    return tiles.join(clusters.select("image_id", "tile_id", "cluster"), ["image_id", "tile_id"], "left").withColumn("cluster", F.coalesce("cluster", F.lit(background)))
+
+
+def resolution(images: DataFrame, metadata: DataFrame, default: float | None = None) -> DataFrame:
+    """``image_mpp`` of the image itself, else of the metadata, else the default; and which it was.
+
+    Metadata hold a row for each image. Values that are not positive do not count.
+    """
+    known = lambda c: F.when((F.col(c) > 0) & ~F.isnan(c) & (F.col(c) < float("inf")), F.col(c))
+    rows = images.join(metadata.select("image_id", F.col("image_mpp").alias("_other")), "image_id", "left")
+    own, other = known("image_mpp"), known("_other")
+    origin = F.when(own.isNotNull(), "image").when(other.isNotNull(), "metadata").when(F.lit(default is not None), "default")
+    return rows.withColumn("_mpp", F.coalesce(own, other, F.lit(default).cast("double"))).withColumn("mpp_from", origin).drop("image_mpp", "_other").withColumnRenamed("_mpp", "image_mpp")

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions.scalar import draw
+
 EPS = 1e-12
 
 
@@ -81,3 +85,39 @@ def representatives(tiles: DataFrame, n: int, by: str = "cluster") -> DataFrame:
     """The n tiles of each cluster nearest its centroid, from rows with ``cos_weight``."""
     order = Window.partitionBy(by).orderBy(F.col("cos_weight").desc(), "image_id", "tile_id")
     return tiles.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= n)
+
+
+def block_unit(v: str, widths: Sequence[int]) -> Column:
+    """A vector made of blocks (one for each encoder), each block over its own length."""
+    blocks, start = [], 1
+    for w in widths:
+        blocks.append(F.transform(F.arrays_zip(F.slice(v, start, w).alias("x"), F.array_repeat(F.greatest(norm(F.slice(v, start, w)), F.lit(EPS)), w).alias("n")), lambda z: z["x"].cast("double") / z["n"]))
+        start += w
+    return F.concat(*blocks)
+
+
+def standardised(df: DataFrame, column: str = "features") -> DataFrame:
+    """(image_id, dim, x, z): each dimension less its mean and over its population deviation, or
+    over 1 where that is 0. The moments are one row a dimension and are broadcast."""
+    rows = df.select("image_id", F.posexplode(column).alias("dim", "x")).withColumn("x", F.col("x").cast("double"))
+    moments = rows.groupBy("dim").agg(F.avg("x").alias("_mean"), F.stddev_pop("x").alias("_std"))
+    return rows.join(F.broadcast(moments), "dim").select("image_id", "dim", "x", ((F.col("x") - F.col("_mean")) / F.when(F.col("_std") > 0, F.col("_std")).otherwise(1.0)).alias("z"))
+
+
+def problems(df: DataFrame, width: int, column: str = "features") -> DataFrame:
+    """Rows whose vector is missing, of another width, or not finite, and why."""
+    bad = F.exists(column, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    why = F.when(F.col(column).isNull() | (F.size(column) == 0), "empty").when(F.size(column) != width, "width").when(bad, "not finite")
+    return df.withColumn("problem", why).where("problem IS NOT NULL")
+
+
+def drawn(tiles: DataFrame, n: int, by: str = "cluster", seed: int = 0) -> DataFrame:
+    """``n`` tiles of each cluster drawn at random, the same ones for the same seed."""
+    order = Window.partitionBy(by).orderBy(draw(seed, "image_id", "tile_id"), "image_id", "tile_id")
+    return tiles.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= n)
+
+
+def cumulative_share(parts: DataFrame, key: str, variance: str) -> DataFrame:
+    """Running share of the variance, for a table of one row a component."""
+    order = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
+    return parts.withColumn("cumulative", F.sum(variance).over(order) / F.sum(variance).over(Window.partitionBy()))

@@ -113,7 +113,9 @@ def slide_index(spark: SparkSession, root: str, suffixes: Sequence[str] = SLIDE_
 
 
 def dataset_table(images: DataFrame, slides: DataFrame) -> DataFrame:
-    """Metadata with the path of each slide, empty where there is none."""
+    """Metadata with the path of each slide, empty where there is none; an id with two slides is an error."""
+    several = F.raise_error(F.concat(F.lit("several slides have the id "), F.col("image_id").cast("string"))).cast("string")
+    slides = slides.groupBy("image_id").agg(F.min("wsi_path").alias("_path"), F.count(F.lit(1)).alias("_n")).select("image_id", F.when(F.col("_n") > 1, several).otherwise(F.col("_path")).alias("wsi_path"))
     return images.join(slides, "image_id", "left").withColumn("wsi_path", F.coalesce("wsi_path", F.lit("")))
 
 
