@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators import vectors
+from tessera.sources.storage import staged
 
 EPS = 1e-12
 
@@ -100,8 +101,8 @@ def communities(edges: list[tuple[int, int, float]], n: int, resolution: float =
 def morphology(tiles: DataFrame, k: int, neighbours: int, resolution: float, n_parts: int = 16, seed: int = 0) -> DataFrame:
     """Tiles with ``cluster``: projection, k-means, graph of centroids, communities, look-up."""
     mean, parts, _ = pca_fit(tiles, n_parts, seed=seed)
-    rows = pca_project(tiles, mean, parts)
-    micro = spherical_kmeans(rows, k, seed=seed)
+    rows = staged(pca_project(tiles, mean, parts))
+    micro = staged(spherical_kmeans(rows, k, seed=seed))
     edges = [(e["src"], e["dst"], e["weight"]) for e in vectors.knn_edges(micro, neighbours).collect()]
     label = communities(edges, micro.count(), resolution, seed)
     names = tiles.sparkSession.createDataFrame(list(enumerate(label)), "micro_cluster int, cluster int")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.scalar import composite_key, draw
 from tessera.operators.ordered import running_sums
+from tessera.sources.storage import staged
 
 
 def expand_flat(flat: DataFrame, n_folds: int) -> DataFrame:
@@ -58,7 +59,7 @@ def group_folds(images: DataFrame, n_folds: int, group: str, strata: Sequence[st
 
 def modulo_folds(images: DataFrame, n_folds: int) -> DataFrame:
     """Images in the order of their ids, dealt round-robin."""
-    ids = images.select("image_id").distinct().withColumn("_one", F.lit(1))
+    ids = staged(images.select("image_id").distinct().withColumn("_one", F.lit(1)))
     return running_sums(ids, "image_id", ["_one"]).select("image_id", ((F.col("cum__one") - 1) % n_folds).cast("int").alias("fold"))
 
 

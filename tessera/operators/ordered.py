@@ -1,7 +1,8 @@
 """Sums and ranks over one global order, without one task that sees all rows.
 
 Quantiles cut the order into ranges. Sums of whole ranges are few and come first; sums within a
-range are windows over that range alone.
+range are windows over that range alone. The quantiles are an action of their own: give tables
+that are cheap to read twice, such as staged ones.
 """
 
 from __future__ import annotations

@@ -1,7 +1,7 @@
 """Rank statistics and classifier measures over whole tables.
 
 Rows of equal value are summed up first, so that only distinct values are ordered; running sums
-over the order are taken range by range (``ordered``).
+over the order are taken range by range (``ordered``). The summed tables are staged.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.scalar import draw, uniform
 from tessera.operators.ordered import running_min, running_sums
+from tessera.sources.storage import staged
 
 
 #: Distribution function of a Poisson variable of mean 1, from 0 on.
@@ -31,7 +32,7 @@ def mann_whitney(df: DataFrame, value: str, label: str, by: Sequence[str]) -> Da
 
     U counts the pairs in which class 1 is larger, ties for half.
     """
-    run = running_sums(_by_value(df, value, label, by), value, ["neg"], by)
+    run = running_sums(staged(_by_value(df, value, label, by)), value, ["neg"], by)
     u = F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") + F.col("neg") / 2.0))
     mean = lambda c: F.try_divide(F.sum(F.col(value) * F.col(c)), F.sum(c))
     out = run.groupBy(*by).agg(F.sum("pos").alias("n1"), F.sum("neg").alias("n0"), u.alias("u1"), mean("pos").alias("mean1"), mean("neg").alias("mean0"), F.sum(F.pow(F.col("pos") + F.col("neg"), F.lit(3)) - F.col("pos") - F.col("neg")).alias("ties"))
@@ -55,17 +56,18 @@ def with_p_values(tests: DataFrame) -> DataFrame:
 
 def benjamini_hochberg(tests: DataFrame, p: str = "p_value") -> DataFrame:
     """Step-up adjusted p-values; null p-values do not count."""
+    tests = staged(tests)
     known = tests.where(F.col(p).isNotNull())
-    per = known.groupBy(p).agg(F.count(F.lit(1)).alias("_n"))
+    per = staged(known.groupBy(p).agg(F.count(F.lit(1)).alias("_n")))
     whole = per.agg(F.sum("_n").alias("_m"))
-    ranked = running_sums(per, p, ["_n"]).join(F.broadcast(whole), how="inner")
+    ranked = staged(running_sums(per, p, ["_n"]).join(F.broadcast(whole), how="inner"))
     stepped = running_min(ranked, p, F.least(F.lit(1.0), F.col(p) * F.col("_m") / F.col("cum__n")), "p_adjusted")
     return tests.join(stepped.select(p, "p_adjusted"), p, "left")
 
 
 def roc_points(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
     """True and false positives at each distinct score, taken as a threshold, from the top."""
-    run = running_sums(_by_value(df, score, label, by), score, ["pos", "neg"], by, descending=True)
+    run = running_sums(staged(_by_value(df, score, label, by)), score, ["pos", "neg"], by, descending=True)
     return run.select(*by, F.col(score).alias("threshold"), "pos", "neg", F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"))
 
 
@@ -122,12 +124,12 @@ def kaplan_meier(df: DataFrame, time: str, event: str, by: Sequence[str]) -> Dat
     The product over times becomes a running sum of logarithms; after a time at which all at risk
     have the event the share is 0.
     """
-    at = df.where(F.col(time).isNotNull()).groupBy(*by, time).agg(F.sum(F.col(event).cast("long")).alias("events"), F.count(F.lit(1)).alias("leaving"))
+    at = staged(df.where(F.col(time).isNotNull()).groupBy(*by, time).agg(F.sum(F.col(event).cast("long")).alias("events"), F.count(F.lit(1)).alias("leaving")))
     gone = running_sums(at, time, ["leaving"], by)
     whole = at.groupBy(*by).agg(F.sum("leaving").alias("_all"))
     risk = gone.join(whole, list(by)).withColumn("at_risk", F.col("_all") - F.col("cum_leaving") + F.col("leaving"))
     share = 1 - F.col("events") / F.col("at_risk")
     logs = risk.withColumn("_zero", (share <= 0).cast("int")).withColumn("_log", F.when(share > 0, F.log(share)).otherwise(0.0))
-    done = running_sums(logs, time, ["_zero", "_log"], by)
+    done = running_sums(staged(logs), time, ["_zero", "_log"], by)
     kept = F.when(F.col("cum__zero") > 0, F.lit(0.0)).otherwise(F.exp("cum__log"))
     return done.where("events > 0").select(*by, F.col(time).alias("time"), "at_risk", "events", kept.alias("recurrence_free_prob"))

@@ -28,6 +28,14 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def staged(df: DataFrame, name: str = "stage") -> DataFrame:
+    """A table written once and read back, for results that several jobs take: nothing before it
+    runs again, and it outlives executors. The folder may go once the final result is written."""
+    folder = shared_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     reader = spark.read.option("header", True)
     return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
