@@ -125,7 +125,7 @@ BOOTSTRAP = ", ".join(f"{e}e0" for e in stats.POISSON)
 
 @query(
     SCORED
-    + f""", d as (select s.image_id, s.score, s.recurred, t.k, (cast('0x' || substr(md5(s.image_id || ':' || t.k || ':0'), 1, 13) as bigint) / 4503599627370496.0e0) as u
+    + f""", d as (select s.image_id, s.score, s.recurred, t.k, (cast('0x' || substr(md5(s.image_id || ':' || (t.k // 4) || ':0'), cast(t.k % 4 * 8 + 1 as int), 8) as bigint) / 4294967296.0e0) as u
   from (select f.image_id, round(f.risk_score, 2) as score, m.recurred from fold_scores f join image_metadata m using (image_id)) s cross join (select unnest(range(200)) as k) t),
  w as (select k, score, recurred, len(list_filter([{BOOTSTRAP}], lambda e: e <= u)) as w from d),
  g as (select k, score, sum(case when recurred = 1 then w else 0 end) as pos, sum(case when recurred = 1 then 0 else w end) as neg from w where w > 0 group by k, score),

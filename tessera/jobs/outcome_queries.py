@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tessera.functions import scalar
 from tessera.operators import attention, bags, bottleneck, cellular, clustering, folds, images, outcomes, pooling, tables, tiles, vectors
 from tessera.sources import analogues as A
+from tessera.sources import storage
 from tessera.sources.analogues import with_views
 
 QUERIES: dict = {}
@@ -280,7 +281,7 @@ def outcome_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Out-of-fold probabilities by each kind of model, in two folds. 20 trees and 10 rounds of
     boosting, where the operator's defaults are 500 and 300, keep the query short."""
     rows, labels, _ = _presence_vectors(spark, sf_dir)
-    rows = rows.cache()
+    rows = storage.staged(rows)
     splits = folds.expand_flat(rows.select("image_id", (F.col("image_id") % 2).cast("int").alias("fold")), 2)
     parts = []
     for kind in outcomes.KINDS:

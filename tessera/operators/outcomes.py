@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import folds
 from tessera.operators.stats import auroc
+from tessera.sources.storage import staged
 
 LINEAR = {"logreg_l2": 0.0, "elasticnet": 0.5, "logreg_l1": 1.0}
 KINDS = (*LINEAR, "random_forest", "gradient_boosting")
@@ -42,7 +43,7 @@ def learner(kind: str, n: int, c: float, trees: int, rounds: int, seed: int):
     loss, hence 1 / (c n). Boosting takes no class weights."""
     names = {"featuresCol": "_v", "labelCol": "_y"}
     if kind in LINEAR:
-        return LogisticRegression(**names, weightCol="_w", regParam=1 / (c * max(n, 1)), elasticNetParam=LINEAR[kind], maxIter=500, tol=1e-8, standardization=False)
+        return LogisticRegression(**names, weightCol="_w", regParam=1 / (c * max(n, 1)), elasticNetParam=LINEAR[kind], maxIter=200, tol=1e-7, standardization=False)
     if kind == "random_forest":
         return RandomForestClassifier(**names, weightCol="_w", numTrees=trees, minInstancesPerNode=5, featureSubsetStrategy="sqrt", seed=seed)
     if kind == "gradient_boosting":
@@ -76,11 +77,13 @@ def probability(rows: DataFrame, model: Model, scale: tuple[np.ndarray, np.ndarr
 def fold_scores(vectors: DataFrame, labels: DataFrame, splits: DataFrame, n_folds: int, label: str, kind: str, **settings) -> DataFrame:
     """(image_id, fold, risk_score): every image scored by the model of each fold, which is fitted
     on the fold's train images. ``folds.out_of_fold`` and ``folds.ensemble`` reduce it."""
+    vectors = vectors.select("image_id", "features")
+    known = vectors.join(labels.where(F.col(label).isNotNull()).select("image_id", label), "image_id").join(splits.where("split = 'train'").select("image_id", "fold"), "image_id")
+    known = staged(known)
     scored = []
     for fold in range(n_folds):
-        train = vectors.join(folds.ids_of(splits, fold, "train"), "image_id").join(labels.select("image_id", label), "image_id")
-        model, scale = fit(train, label, kind, **settings)
-        scored.append(probability(vectors.select("image_id", "features"), model, scale).select("image_id", F.lit(fold).alias("fold"), "risk_score"))
+        model, scale = fit(known.where(F.col("fold") == fold), label, kind, **settings)
+        scored.append(probability(vectors, model, scale).select("image_id", F.lit(fold).alias("fold"), "risk_score"))
     out = scored[0]
     for more in scored[1:]:
         out = out.unionByName(more)

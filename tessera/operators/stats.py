@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.scalar import draw, uniform
+from tessera.functions.scalar import draw
 from tessera.operators.ordered import running_min, running_sums
 from tessera.sources.storage import staged
 
@@ -103,14 +103,15 @@ def mean_and_spread(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
 def bootstrap_auroc(df: DataFrame, score: str, label: str, id_col: str, replicas: int, seed: int = 0) -> DataFrame:
     """AUROC of Poisson resamples and their mean and 2.5 and 97.5 percentiles.
 
-    Each row has a weight for each replica, a Poisson draw from the hash of both, so a replica's
-    sample needs no exchange of rows; replicas without one of the classes are skipped.
+    Each row has a weight for each replica, a Poisson draw from 32 bits of a digest that serves four
+    replicas, so a replica's sample needs no exchange of rows; replicas without one of the classes are skipped.
     """
-    u = uniform(draw(seed, id_col, "replica"))
     weight = F.lit(0)
     for e in POISSON:
-        weight = weight + (u >= e).cast("int")
-    rows = df.select(id_col, score, label, F.explode(F.sequence(F.lit(0), F.lit(replicas - 1))).alias("replica")).withColumn("w", weight).where("w > 0")
+        weight = weight + (F.col("u") >= f"{math.ceil(e * (1 << 32)):08x}").cast("int")
+    fours = df.select(id_col, score, label, F.explode(F.sequence(F.lit(0), F.lit((replicas - 1) // 4))).alias("four")).withColumn("d", draw(seed, id_col, "four"))
+    each = fours.select(score, label, "four", F.posexplode(F.array(*[F.substring("d", 8 * i + 1, 8) for i in range(4)])).alias("i", "u"))
+    rows = each.select(score, label, (F.col("four") * 4 + F.col("i")).alias("replica"), weight.alias("w")).where((F.col("w") > 0) & (F.col("replica") < replicas))
     one = F.col(label) == 1
     per = rows.groupBy("replica", score).agg(F.sum(F.when(one, F.col("w")).otherwise(0)).alias("pos"), F.sum(F.when(one, 0).otherwise(F.col("w"))).alias("neg"))
     run = per.withColumn("below", F.sum("neg").over(Window.partitionBy("replica").orderBy(score)) - F.col("neg"))
