@@ -340,3 +340,15 @@ def cluster_marginals(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = splits.where("split = 'test'").select("image_id", "fold")
     out = pooling.marginals(rows, models).join(held, ["image_id", "fold"])
     return out.select("image_id", "cluster", "fold", "n_removed", "n_tiles", (F.abs(F.col("p_full") - F.col("p_without") - F.col("delta_p")) < 1e-12).alias("adds_up"))
+
+
+@query(OUTCOMES + """, m as (select i.image_id, case when image_id % 3 < 2 then 'own' else 'external' end as cohort, c.recurred from ids i join (select cast(c_custkey as bigint) as image_id, c_acctbal < 0 as recurred from customer) c using (image_id))
+ select cohort, count(*) filter (where not recurred) as n0, count(*) filter (where recurred) as n1, true as is_share from m group by cohort""")
+def external_cohorts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A logistic model of one cohort, its strength chosen by folds, judged on itself and on another."""
+    rows, labels, _ = _presence_vectors(spark, sf_dir)
+    cohort = F.when(F.col("image_id") % 3 < 2, "own").otherwise("external")
+    table = storage.staged(rows.join(labels, "image_id").withColumn("cohort", cohort).withColumn("fold", (F.col("image_id") % 2).cast("int")))
+    own = table.where("cohort = 'own'")
+    out = outcomes.evaluated(own, table.where("cohort = 'external'"), "recurred", "cohort", [0.1, 1.0])
+    return out.select("cohort", "n0", "n1", F.col("auroc").between(0, 1).alias("is_share"))

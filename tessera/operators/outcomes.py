@@ -111,3 +111,13 @@ def coefficients(model: Model, names: Sequence[str]) -> list[tuple[str, float, f
     """(name, coefficient, odds ratio) of a linear model, the intercept last."""
     weights = [*model.coefficients.toArray().tolist(), float(model.intercept)]
     return [(n, w, float(np.exp(w))) for n, w in zip([*names, "intercept"], weights, strict=True)]
+
+
+def evaluated(train: DataFrame, external: DataFrame, label: str, cohort: str, grid: Sequence[float], fold: str = "fold") -> DataFrame:
+    """(cohort, n0, n1, auroc) of a logistic model fitted on ``train``, with the strength chosen over
+    its folds, on the training cohort and on each external one."""
+    c = choose_strength(train, label, grid, fold)
+    model, scale = fit(train, label, "logreg_l2", c=c)
+    columns = ["image_id", "features", label, cohort]
+    scored = probability(train.select(*columns).unionByName(external.select(*columns)), model, scale)
+    return auroc(scored, "risk_score", label, [cohort])
