@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, chat_format, exact_dedup, jaccard_join, mixing, pii, quality_rules, repeats, secret_scan, site_quality
+from tessera.llm import bpe, chat_format, exact_dedup, jaccard_join, mixing, pii, quality_rules, ranked_search, repeats, secret_scan, site_quality, token_counts
 from tessera.llm.spans import joined
 
 
@@ -128,9 +128,42 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+OP13_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+), items AS (
+  SELECT row_number() OVER () AS q, item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM benchmark
+), asked AS (
+  SELECT DISTINCT q, unnest(terms) AS term FROM items
+), whole AS (
+  SELECT count(*) AS nn, CAST(sum(len(terms)) AS BIGINT) AS ll FROM docs WHERE len(terms) > 0
+), tf AS (
+  SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(terms) AS term FROM docs) GROUP BY d, term
+), w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(nn) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, whole GROUP BY term
+), scored AS (
+  SELECT q, d, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * len(docs.terms) * nn) // ll)))) AS BIGINT) AS score
+  FROM asked JOIN tf USING (term) JOIN w USING (term) JOIN docs USING (d), whole GROUP BY q, d
+), ranked AS (
+  SELECT q, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS FIRST) AS rank FROM scored JOIN docs USING (d) WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked JOIN items USING (q) WHERE rank <= 50
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pii, op2_chat_formatting, op3_ngram_jaccard, op4_quality_classifier, op5_exact_dedup, op6_bpe, op7_mixing, op8_suffix_array, op9_secret_scan, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_pii, op2_chat_formatting, op3_ngram_jaccard, op4_quality_classifier, op5_exact_dedup, op6_bpe, op7_mixing, op8_suffix_array, op9_secret_scan, op10_quality_rules, op12_token_counts, op13_ranked_search)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat_formatting": OP2_SQL, "op5_exact_dedup": OP5_SQL}
+    return {"op2_chat_formatting": OP2_SQL, "op5_exact_dedup": OP5_SQL, "op13_ranked_search": OP13_SQL}
