@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, chat_format, exact_dedup, jaccard_join, mixing, pii, quality_rules, ranked_search, repeats, secret_scan, site_quality, token_counts
+from tessera.llm import bpe, chat_format, conversation_repair, exact_dedup, jaccard_join, mixing, pii, quality_rules, ranked_search, repeats, secret_scan, site_quality, token_counts
 from tessera.llm.spans import joined
 
 
@@ -128,6 +128,91 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    audits, repaired = conversation_repair.repair(conversation_repair.damaged(turns))
+    hashes = conversation_repair.digests(repaired).select(F.col("id").alias("of"), F.col("sha256").alias("repaired_sha256"))
+    rows = turns.select("conv_id").distinct().join(audits, F.col("conv_id").eqNullSafe(F.col("id")), "left").join(hashes, F.col("conv_id").eqNullSafe(F.col("of")), "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return rows.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", sha(F.lit(""))).alias("repaired_sha256"))
+
+
+def _op11_sql() -> str:
+    """A table of each conversation's suffixes, from its last row to its first: for each state of the
+    roles the least ``cost:audit`` as text, and the repaired lines that go with it."""
+    zero = lambda c: f"lpad(CAST({c} AS VARCHAR), 9, '0')"
+    # state -> state after a row of user or assistant
+    then = {"n": "u", "s": "u", "u": "a", "a": "u"}
+    role = {"u": "user", "a": "assistant"}
+
+    def edit(letter: str, cost: str, line: str, tail: str, when: str = "true") -> str:
+        made = f"{{'v': {zero(f'CAST({tail}.v[1:9] AS BIGINT) + {cost}')} || ':{letter}' || {tail}.v[11:], 't': {line} || {tail}.t}}"
+        return f"CASE WHEN {when} THEN {made} END"
+
+    def inserted(name: str, of: str) -> str:
+        one = then[name]
+        two = then[one]
+        empty = lambda s: f"'{role[s]}:' || chr(10)"
+        first = edit("I", "5", empty(one), f"{of}{one}")
+        second = edit("I", "5", empty(one), f"({edit('I', '5', empty(two), f'{of}{two}')})")
+        return f"list_min([{of}{name}, {first}, {second}])"
+
+    def row(name: str) -> str:
+        goal = then[name]
+        may, extra = "fault IN (0, 3)", "(CASE WHEN fault = 3 THEN 5 ELSE 0 END)"
+        own = "role || ':' || text || chr(10)"
+        ways = [
+            edit("D", "2", "''", f"f{name}"),
+            edit("R", f"1 + {extra}", f"'{role[goal]}:' || text || chr(10)", f"f{goal}", may),
+            edit("K", extra, own, f"f{goal}", f"{may} AND left(role, 1) = '{goal}'"),
+        ]
+        if name == "n":
+            ways.append(edit("K", extra, own, "fs", f"{may} AND left(role, 1) = 's'"))
+        return f"list_min([{', '.join(ways)}]) AS g{name}"
+
+    start = lambda v: f"{{'v': '{v}', 't': ''}}"
+    none = start("900000000:")
+    ends = f"{{'gn': {start('000000000:')}, 'gs': {none}, 'gu': {none}, 'ga': {start('000000000:')}}}"
+    ended = ", ".join(f"{inserted(s, 'z.g')} AS f{s}" for s in then)
+    return rf"""
+WITH RECURSIVE raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), '') AS chars FROM conversations
+), coded AS (
+  SELECT * EXCLUDE chars, xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(chars, lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], [CAST(0 AS BIGINT) for _ in range(8)]), lambda x, _: xor(x >> 1, CAST(3988292384 AS BIGINT) * (x & 1)))), CAST(4294967295 AS BIGINT)) % 20 AS code FROM raw
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role,
+    CASE code WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(CASE WHEN code = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM coded WHERE code <> 0
+), ordered AS (
+  SELECT *, dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS c, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS seen,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(length(role) || ':' || role || text), copy) AS i FROM damaged
+), judged AS MATERIALIZED (
+  SELECT *, CASE WHEN seen = '' THEN 1 WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 THEN 2 WHEN right(seen, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+    CASE WHEN i > 1 AND lag(left(role, 1)) OVER w || left(role, 1) NOT IN ('su', 'ua', 'au') THEN 1 ELSE 0 END AS odd, count(*) OVER (PARTITION BY c) AS n
+  FROM ordered WINDOW w AS (PARTITION BY c ORDER BY i)
+), suffix AS (
+  SELECT c, n AS i, {ended} FROM (SELECT c, n, {ends} AS z FROM judged WHERE i = n) AS base
+  UNION ALL
+  SELECT c, i, {", ".join(f"{inserted(s, 'z.g')} AS f{s}" for s in then)} FROM (
+    SELECT c, i - 1 AS i, {{'gn': gn, 'gs': gs, 'gu': gu, 'ga': ga}} AS z FROM (
+      SELECT suffix.c, suffix.i, {", ".join(row(s) for s in then)} FROM suffix JOIN judged ON judged.c = suffix.c AND judged.i = suffix.i
+    ) AS stepped
+  ) AS moved
+), solved AS (
+  SELECT c, fn.v AS v, fn.t AS t FROM suffix WHERE i = 0
+), counts AS (
+  SELECT c, any_value(conv_id) AS conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 1) AS blank,
+    count(*) FILTER (WHERE fault = 2) AS duplicate, count(*) FILTER (WHERE fault = 3) AS truncated, CAST(sum(odd) AS BIGINT) AS illegal FROM judged GROUP BY c
+)
+SELECT ids.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, CAST(coalesce(v[1:9], '0') AS BIGINT) AS cost, coalesce(v[11:], '') AS audit,
+  sha256(CASE WHEN coalesce(t, '') = '' THEN '' ELSE left(t, length(t) - 1) END) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS ids LEFT JOIN counts ON ids.conv_id IS NOT DISTINCT FROM counts.conv_id LEFT JOIN solved USING (c)
+"""
+
+
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -162,8 +247,8 @@ SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked JOIN it
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pii, op2_chat_formatting, op3_ngram_jaccard, op4_quality_classifier, op5_exact_dedup, op6_bpe, op7_mixing, op8_suffix_array, op9_secret_scan, op10_quality_rules, op12_token_counts, op13_ranked_search)}
+    return {f.__name__: f for f in (op1_pii, op2_chat_formatting, op3_ngram_jaccard, op4_quality_classifier, op5_exact_dedup, op6_bpe, op7_mixing, op8_suffix_array, op9_secret_scan, op10_quality_rules, op11_conversation_repair, op12_token_counts, op13_ranked_search)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat_formatting": OP2_SQL, "op5_exact_dedup": OP5_SQL, "op13_ranked_search": OP13_SQL}
+    return {"op2_chat_formatting": OP2_SQL, "op5_exact_dedup": OP5_SQL, "op11_conversation_repair": _op11_sql(), "op13_ranked_search": OP13_SQL}
