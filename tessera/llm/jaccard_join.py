@@ -261,9 +261,29 @@ def _tiled(members: DataFrame) -> DataFrame:
     return members.join(bounded(large), "comp", "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
 
 
-def _with_texts(texts: DataFrame, members: DataFrame) -> DataFrame:
-    """``members`` with the text of the row that stands for each; other texts of a repeated id come too."""
-    return texts.join(bounded(members), F.col("id").eqNullSafe(F.col("rep")))
+def _of_shared_ids(texts: DataFrame, surveyed: DataFrame, k: int) -> DataFrame | None:
+    """Rows (id, mark, text), one for each set, of ids that are null or not a row's own; None without such."""
+    doubts = staged(surveyed.groupBy(F.col("id").alias("shared")).count().where("shared IS NULL OR count > 1").select("shared"), "shared")
+    if doubts.isEmpty():
+        superseded(doubts)
+        return None
+    odd = texts.join(bounded(doubts), F.col("id").eqNullSafe(F.col("shared")), "left_semi")
+    out = staged(odd.withColumn("mark", _mark(F.col("text"), k)).groupBy("id", "mark").agg(F.max("text").alias("text")), "marked")
+    superseded(doubts)
+    return out
+
+
+def _with_texts(texts: DataFrame, marked: DataFrame | None, members: DataFrame) -> DataFrame:
+    """``members`` with the text of the row that stands for each: known by its id, and by its key too
+    where the id is null or not its own."""
+    of_id = F.col("id").eqNullSafe(F.col("rep"))
+    if marked is None:
+        return texts.join(bounded(members), of_id)
+    shared = marked.select(F.col("id").alias("shared")).distinct()
+    both = F.col("rep").eqNullSafe(F.col("shared"))
+    clear = texts.join(bounded(members.join(shared, both, "left_anti")), of_id)
+    odd = marked.join(bounded(members.join(shared, both, "left_semi")), of_id & (F.col("mark") == F.col("key")))
+    return clear.unionByName(odd.drop("mark"))
 
 
 def overlaps(x: list[np.ndarray], y: list[np.ndarray], sizes: Sizes) -> tuple[np.ndarray, np.ndarray]:
@@ -384,6 +404,7 @@ def judged(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col: s
     surveyed = staged(_surveyed(texts, k), "surveyed")
     common = _common(surveyed)
     rows = surveyed.where("n IS NOT NULL").select("id", "n", "key")
+    marked = _of_shared_ids(texts, rows, k)
     reps = staged(rows.where("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("rep"), F.min("n").alias("n")), "reps")
 
     found = _families(texts.withColumn("family", F.lit(0).cast("long")), k, sizes, common, 0)
@@ -392,7 +413,7 @@ def judged(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col: s
         large = members.where(F.col("tiles") > MANY_TILES)
         if large.isEmpty():
             break
-        again = _with_texts(texts, large.select("rep", F.col("comp").alias("family")).distinct())
+        again = _with_texts(texts, marked, large.select("rep", "key", F.col("comp").alias("family")).distinct())
         found = _families(again, k, sizes, common, cut)
         parted = large.select("key", "rep", "n").join(found, "key")
         rest = members.where(F.col("tiles") <= MANY_TILES)
@@ -402,7 +423,7 @@ def judged(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col: s
     tile = F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda j: F.struct(F.least("tile", j).alias("i"), F.greatest("tile", j).alias("j")))
     blocks = members.withColumn("tile", tile).select("comp", "key", "rep", "tile", F.explode(pairs).alias("block")).select("*", "block.i", "block.j")
-    dealt = _with_texts(texts, blocks).select("comp", "i", "j", "tile", "key", "text").repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j", "key")
+    dealt = _with_texts(texts, marked, blocks).select("comp", "i", "j", "tile", "key", "text").repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j", "key")
     links = staged(dealt.mapInPandas(lambda parts: _product(parts, k, sizes), "a long, b long"), "links")
     labels = components(links)
     least = labels.join(reps, "key").groupBy("comp").agg(F.min("rep").alias("least"))
@@ -411,7 +432,7 @@ def judged(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col: s
     some = rows.where("key IS NOT NULL").join(named, "key").select("id", "n", "key", "comp", "component_id")
     none = rows.where("key IS NULL").select("id", "n", "key", F.lit(None).cast("long").alias("comp"), F.col("id").alias("component_id"))
     out = staged(some.unionByName(none), "judged")
-    superseded(surveyed, reps, members, links, named)
+    superseded(surveyed, reps, members, links, named, *([] if marked is None else [marked]))
     return out
 
 

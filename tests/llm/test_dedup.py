@@ -127,6 +127,22 @@ def test_jaccard_common_shingles_change_nothing(spark, monkeypatch):
     assert got == brute_components(docs, 3, 90, 100)
 
 
+@pytest.mark.parametrize("shared", [None, 5])
+@pytest.mark.parametrize("rows,many", [(1 << 20, 100), (2, 2)])
+def test_jaccard_shared_ids(spark, monkeypatch, shared, rows, many):
+    """Texts of many rows without an id of their own are known by their sets: as many as sets, not as many as pairs."""
+    monkeypatch.setattr(jaccard_join, "TILE_ROWS", rows)
+    monkeypatch.setattr(jaccard_join, "MANY_TILES", many)
+    docs, moved = near_docs(), []
+    dealt = jaccard_join._with_texts
+    monkeypatch.setattr(jaccard_join, "_with_texts", lambda texts, marked, members: moved.append((out := dealt(texts, marked, members)).count() - members.count()) or out)
+    same = [(shared if i % 3 else i + 10_000, t) for i, t in docs]
+    got = jaccard_join.judged(table(spark, same), 5, 80, 100, "doc_id", "text").where("key IS NOT NULL").select("key", "comp", "n").distinct()
+    want = jaccard_join.judged(table(spark, docs), 5, 80, 100, "doc_id", "text").where("key IS NOT NULL").select("key", "comp", "n").distinct()
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert moved and not any(moved)
+
+
 @pytest.mark.parametrize("rows,grams,many", [(3, 1 << 20, 1), (1 << 20, 300, 100), (2, 50, 2)])
 def test_jaccard_tiles(spark, monkeypatch, rows, grams, many):
     """Families of many small tiles, cut again by other blocks, give the same links."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+from pathlib import Path
 
 import pytest
 
@@ -100,3 +101,21 @@ def test_markov_models_without_samples_in_the_table(spark):
     rows = [(1, "bearer q8Zt0LxV3nB7yKd2WmR5cHf9 end", "", ""), (2, "the internationalization_of_documents end", "", ""), (3, "short", "", "")]
     got = {r["doc_id"]: [s["kind"] for s in r["added"]] for r in secret_scan.secret_scan(spark.createDataFrame(rows, DOCS)).collect()}
     assert got == {1: ["random"], 2: [], 3: []}
+
+
+def test_held_out_secrets_and_words_of_the_table(spark, sf_dir):
+    """Every fifth secret that a fixed pattern finds stands bare, in capitals if it is hexadecimal, so
+    that only the models can find it; and every word of the table stands in capitals."""
+    docs = spark.read.parquet(f"{Path(sf_dir).parent}/sf0.01/documents.parquet").select("doc_id", "text").where("text is not null")
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    secrets = {m[m.lastindex or 0] for t in texts.values() for _, p, ok in SECRETS for m in re.finditer(p, t) if ok(m)}
+    bare = sorted(x for x in secrets if 16 <= len(x) and "." not in x and not x.isdigit())[::5]
+    bare = [x.upper() if re.fullmatch("[0-9a-f]+", x) else x for x in bare]
+    words = sorted({w.upper() for t in texts.values() for w in re.findall("[A-Za-z]{16,}", t)} - {x.upper() for x in secrets})
+    rows = [(i, t, "", "") for i, t in texts.items()]
+    rows += [(10**6 + i, f"the value {x} is", "", "") for i, x in enumerate(bare)] + [(10**7 + i, f"the value {x} is", "", "") for i, x in enumerate(words)]
+    got = {r["doc_id"]: bool(r["added"]) for r in secret_scan.secret_scan(spark.createDataFrame(rows, DOCS)).collect()}
+    caught = sum(got[10**6 + i] for i in range(len(bare)))
+    wrong = sum(got[10**7 + i] for i in range(len(words))) + sum(got[i] for i in texts)
+    assert bare and caught >= 0.9 * len(bare), (caught, len(bare), bare[:5])
+    assert words and not wrong, (wrong, len(words))
