@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators import attention, clustering, concepts, folds, pooling, stats, tables, tiles, vectors
+from tessera.operators import attention, clustering, concepts, density, folds, pooling, stats, tables, tiles, vectors
 from tessera.sources import analogues as A
 from tessera.sources import dictionary, storage
 from tessera.sources.analogues import with_views
@@ -50,10 +50,32 @@ def morphology_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attention.presence(weighted, "cos_weight").select("image_id", "cluster", r("weighted_count"), r("weighted_presence"), "hard_count", r("hard_frac"))
 
 
-@query()
+#: Core cells, what each reaches, and the cluster of each cell by its smallest core cell. Ids repeat, so rows are numbered.
+DENSE = (
+    with_views("cells").replace("with ", "with recursive ", 1)
+    + """, tumour as materialized (select row_number() over (order by image_id, cell_id, x, y) as k, image_id, cell_id, x, y, cell_type from cells where cell_type = 'Neoplastic'),
+ near as materialized (select a.k as a, b.k as b from tumour a join tumour b on a.image_id = b.image_id and (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 400),
+ core as (select a from near group by a having count(*) >= 5),
+ link as materialized (select n.a, n.b from near n join core c on c.a = n.a join core d on d.a = n.b),
+ reach as (select a as k, a as root from core union select l.b, r.root from reach r join link l on l.a = r.k),
+ part as (select r.k, min(t.cell_id) as cluster from reach r join tumour t on t.k = r.root group by r.k),
+ own as (select n.a as k, min(p.cluster) filter (where n.a = n.b) as as_core, min(p.cluster) as as_border from near n left join part p on p.k = n.b group by n.a),
+ found as (select t.*, coalesce(as_core, as_border) as cluster from tumour t left join own using (k))
+"""
+)
+
+
+@query(DENSE + "select image_id, cell_id, cluster from found")
+def density_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cluster of each tumour cell, null for noise."""
+    cells = A.cells(spark, sf_dir).where("cell_type = 'Neoplastic'")
+    return density.density_clusters(cells, eps=20.0, least=5).select("image_id", "cell_id", "cluster")
+
+
+@query(DENSE + ", sizes as (select image_id, cluster, count(*) as n from found where cluster is not null group by all), top as (select image_id, max(n) as most from sizes group by image_id) select image_id, cell_id, x, y, cell_type from found join sizes using (image_id, cluster) join top using (image_id) where n >= 0.1e0 * most")
 def dense_cell_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = A.cells(spark, sf_dir).select("image_id", "cell_id", "x", "y", "cell_type")
-    return clustering.dense_cells(cells.where("cell_type = 'Neoplastic'"), eps=20.0, least=5)
+    return density.dense_cells(cells.where("cell_type = 'Neoplastic'"), eps=20.0, least=5)
 
 
 @query()

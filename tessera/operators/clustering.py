@@ -1,4 +1,4 @@
-"""Clustering of tile embeddings and of detected cells."""
+"""Clustering of tile embeddings."""
 
 from __future__ import annotations
 
@@ -108,63 +108,3 @@ def morphology(tiles: DataFrame, k: int, neighbours: int, resolution: float, n_p
     names = tiles.sparkSession.createDataFrame(list(enumerate(label)), "micro_cluster int, cluster int")
     near = vectors.nearest_centroid(rows.drop("cluster"), micro).withColumnRenamed("cluster", "micro_cluster")
     return near.join(F.broadcast(names), "micro_cluster")
-
-
-def density_labels(x: np.ndarray, y: np.ndarray, eps: float, least: int) -> np.ndarray:
-    """DBSCAN labels, -1 for noise. Points meet only those of the neighbouring squares of side eps."""
-    n = len(x)
-    label = np.full(n, -1)
-    if not n:
-        return label
-    gx, gy = np.floor(x / eps).astype(np.int64), np.floor(y / eps).astype(np.int64)
-    squares: dict[tuple[int, int], np.ndarray] = {}
-    order = np.lexsort((gy, gx))
-    edge = np.flatnonzero(np.diff(gx[order], prepend=gx[order[0]] - 1) | np.diff(gy[order], prepend=gy[order[0]]))
-    for a, b in zip(edge, np.append(edge[1:], n), strict=True):
-        squares[int(gx[order[a]]), int(gy[order[a]])] = order[a:b]
-
-    def around(i: int) -> np.ndarray:
-        near = np.concatenate([squares[s] for dx in (-1, 0, 1) for dy in (-1, 0, 1) if (s := (int(gx[i]) + dx, int(gy[i]) + dy)) in squares])
-        return near[(x[near] - x[i]) ** 2 + (y[near] - y[i]) ** 2 <= eps * eps]
-
-    seen = np.zeros(n, bool)
-    cluster = 0
-    for start in range(n):
-        if seen[start]:
-            continue
-        seen[start] = True
-        front = around(start)
-        if front.size < least:
-            continue
-        label[start] = cluster
-        stack = [front]
-        while stack:
-            new = stack.pop()
-            new = new[(label[new] < 0)]
-            label[new] = cluster
-            for i in new[~seen[new]].tolist():
-                seen[i] = True
-                more = around(i)
-                if more.size >= least:
-                    stack.append(more)
-        cluster += 1
-    return label
-
-
-def dense_cells(cells: DataFrame, eps: float = 500.0, least: int = 10, share: float = 0.1) -> DataFrame:
-    """Cells of each image without noise and without clusters under a share of the largest.
-
-    An image's cells (up to a million rows of a few numbers) are one task's work.
-    """
-    if not 0 <= share <= 1:
-        raise ValueError("share must be between 0 and 1")
-
-    def keep(part: pd.DataFrame) -> pd.DataFrame:
-        label = density_labels(part["x"].to_numpy(float), part["y"].to_numpy(float), eps, least)
-        sizes = np.bincount(label[label >= 0]) if (label >= 0).any() else np.zeros(0, int)
-        good = np.flatnonzero(sizes >= share * sizes.max()) if sizes.size else np.zeros(0, int)
-        return part[np.isin(label, good)]
-
-    return cells.groupBy("image_id").applyInPandas(keep, cells.schema)
-
-

@@ -124,15 +124,6 @@ def test_kaplan_meier(spark):
     assert np.isclose(got["a", 1], 0.8) and np.isclose(got["a", 3], 0.8 / 3) and got["b", 4] == 0.0 and len(got) == 3
 
 
-def test_density_labels():
-    rng = np.random.default_rng(2)
-    x = np.concatenate([rng.normal(0, 1, 40), rng.normal(30, 1, 40), rng.uniform(100, 1000, 10)])
-    y = np.concatenate([rng.normal(0, 1, 40), rng.normal(0, 1, 40), rng.uniform(100, 1000, 10)])
-    label = clustering.density_labels(x, y, 3.0, 5)
-    assert len(set(label[:40])) == 1 and len(set(label[40:80])) == 1 and label[0] != label[40] and (label[80:] == -1).all()
-    assert clustering.density_labels(x[:0], y[:0], 1.0, 1).size == 0
-
-
 def test_communities():
     edges = [(a, b, 1.0) for base in (0, 5) for a in range(base, base + 5) for b in range(a + 1, base + 5)] + [(4, 5, 0.1)]
     label = clustering.communities(edges, 10)
