@@ -325,21 +325,55 @@ def concept_bottleneck(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("image_id", "fold", r("risk", 4), adds.alias("adds_up"), (error < 0.1).alias("is_near"))
 
 
-@query(
+#: Gated attention by the rule of ``Pooling.of_rule`` with two branches of three units: each tile's logit ``s``,
+#: share, and the logit's derivative ``q`` by a factor on the tile; ``c`` is the length of a branch's weights.
+POOLED = (
     with_views("tile_embeddings")
-    + """, t as (select image_id, cast(cluster as varchar) as cluster from tile_embeddings where not tile_background), n as (select image_id, count(*) as n_tiles from t group by image_id)
- select image_id, cluster, cast(floor(image_id % 4 / 2) as int) as fold, count(*) as n_removed, n_tiles, true as adds_up from t join n using (image_id) group by all having count(*) < n_tiles and count(*) >= 0.01 * n_tiles"""
+    + """, t as (select image_id, tile_id, cast(cluster as varchar) as cluster, features from tile_embeddings where not tile_background),
+ x as (select image_id, tile_id, unnest(range(len(features))) as i, cast(unnest(features) as double) as x, sqrt(len(features)) as d from t),
+ kh as (select k.k, h.h from (select unnest(range(2)) as k) k cross join (select unnest(range(3)) as h) h),
+ vu as (select image_id, tile_id, k, h, sum(x * sin(1 + 3 * k + 5 * h + 7 * i) / d) as v, sum(x * cos(2 + 5 * k + 3 * h + 11 * i) / d) as u from x cross join kh group by all),
+ s as (select image_id, tile_id, k, sum(sin(1 + k + 2 * h) * tanh(v) / (1 + exp(-u))) as s,
+   sum(sin(1 + k + 2 * h) * ((1 - tanh(v) * tanh(v)) * v / (1 + exp(-u)) + tanh(v) * u * exp(-u) / ((1 + exp(-u)) * (1 + exp(-u))))) as q from vu group by all),
+ c as (select image_id, tile_id, k, sum(x * cos(k + 2 * i) / d) as share, sqrt(sum(cos(k + 2 * i) * cos(k + 2 * i) / (d * d))) as c from x cross join (select unnest(range(2)) as k) k group by all),
+ a as (select *, exp(s) / sum(exp(s)) over (partition by image_id, k) as a from s join c using (image_id, tile_id, k) join t using (image_id, tile_id)),
+ m as (select *, sum(a * share) over (partition by image_id, k) as m, c / (sum(c) over (partition by image_id, tile_id) + 1e-8) as b from a),
+ z as (select image_id, 0.1e0 + sum(a * share) as z from a group by image_id)
+"""
 )
-def cluster_marginals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What each cluster adds to an image's score, by the model that held the image out."""
+
+
+def _pooled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     rows = tiles.foreground(A.tile_embeddings(spark, sf_dir)).select("image_id", "tile_id", "features", "cluster")
-    ids = rows.select("image_id").distinct()
-    labels = ids.select("image_id", (F.col("image_id") % 2).cast("int").alias("recurred"))
-    splits = folds.expand_flat(ids.select("image_id", F.floor(F.col("image_id") % 4 / 2).cast("int").alias("fold")), 2)
-    models = pooling.train(rows.drop("cluster"), labels, splits, "recurred", epochs=2)
-    held = splits.where("split = 'test'").select("image_id", "fold")
-    out = pooling.marginals(rows, models).join(held, ["image_id", "fold"])
-    return out.select("image_id", "cluster", "fold", "n_removed", "n_tiles", (F.abs(F.col("p_full") - F.col("p_without") - F.col("delta_p")) < 1e-12).alias("adds_up"))
+    width = len(rows.select("features").first()["features"])
+    model = pooling.Pooling.of_rule(width, 2, 3)
+    return rows, spark.createDataFrame([(0, bytearray(model.dump()))], "fold int, model binary")
+
+
+@query(POOLED + "select image_id, cast(0 as int) as fold, round(1 / (1 + exp(-z)), 8) as risk_score from z")
+def pooled_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of bags by a given model."""
+    return pooling.score(*_pooled(spark, sf_dir)).select("image_id", "fold", r("risk_score"))
+
+
+@query(POOLED + "select image_id, tile_id, cast(0 as int) as fold, round(sum(b * a), 8) as attention, round(sum(a * (share + (share - m) * q)), 8) as gradient from m group by image_id, tile_id")
+def tile_attributions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each tile weighs in its image's score, and the score's slope in it."""
+    return pooling.attributions(*_pooled(spark, sf_dir)).select("image_id", "tile_id", "fold", r("attention"), r("gradient"))
+
+
+@query(
+    POOLED
+    + """, pairs as (select distinct image_id, cluster from t),
+ rest as (select p.image_id, p.cluster, a.k, sum(exp(a.s) * a.share) / sum(exp(a.s)) as m, count(*) as n from pairs p join a on a.image_id = p.image_id and a.cluster <> p.cluster group by all),
+ sizes as (select image_id, count(*) as n_tiles from t group by image_id)
+ select image_id, cluster, cast(0 as int) as fold, n_tiles - any_value(n) as n_removed, n_tiles, round(1 / (1 + exp(-any_value(z))), 8) as p_full, round(1 / (1 + exp(-0.1e0 - sum(m))), 8) as p_without,
+ round(1 / (1 + exp(-any_value(z))) - 1 / (1 + exp(-0.1e0 - sum(m))), 8) as delta_p from rest join sizes using (image_id) join z using (image_id) group by image_id, cluster, n_tiles having n_tiles - any_value(n) >= 0.01 * n_tiles"""
+)
+def cluster_marginals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each cluster adds to an image's score by a given model."""
+    out = pooling.marginals(*_pooled(spark, sf_dir))
+    return out.select("image_id", "cluster", "fold", "n_removed", "n_tiles", r("p_full"), r("p_without"), r("delta_p"))
 
 
 @query(OUTCOMES + """, m as (select i.image_id, case when image_id % 3 < 2 then 'own' else 'external' end as cohort, c.recurred from ids i join (select cast(c_custkey as bigint) as image_id, c_acctbal < 0 as recurred from customer) c using (image_id))
