@@ -96,7 +96,7 @@ def concept_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     pooled = pooled.groupBy("image_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "x"))), lambda s: s["x"]).alias("embedding"))
     labels = A.image_metadata(spark, sf_dir).select("image_id", F.col("stage").alias("path_stage"), F.col("image_width").cast("double").alias("path_thickness"), (F.col("image_id") % 2).alias("path_ulceration"))
     columns = [c for c in labels.columns if c.startswith("path_")]
-    models = concepts.fit(pooled, labels.join(pooled.select("image_id"), "image_id", "left_semi"), columns, replicas=5)
+    models = concepts.fit(pooled, labels.join(pooled.select("image_id"), "image_id", "left_semi"), columns)
     return concepts.shared_out(concepts.predict(pooled, models)).select("image_id", "concept", r("value", 4), r("std", 4))
 
 
