@@ -281,8 +281,9 @@ def presence_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     with_views("tile_attention")
-    + """, p as (select image_id, 'cluster_' || cluster || '_presence' as name, round(sum(attention) / sum(sum(attention)) over (partition by image_id), 6) as v from tile_attention group by image_id, cluster)
- select image_id, coalesce(columns('(cluster_.*)'), 0) as "\\1" from (pivot p on name using sum(v) group by image_id)"""
+    + "select image_id, "
+    + ", ".join(f"round(coalesce(sum(attention) filter (where cluster = '{c}'), 0) / sum(attention), 6) as cluster_{c}_presence" for c in ("click", "error", "purchase", "signup", "view"))
+    + " from tile_attention group by image_id"
 )
 def presence_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Presence with a column for each cluster that occurs (a model's clusters, so few)."""

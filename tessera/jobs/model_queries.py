@@ -126,7 +126,7 @@ BOOTSTRAP = ", ".join(f"{e}e0" for e in stats.POISSON)
 @query(
     SCORED
     + f""", d as (select s.image_id, s.score, s.recurred, t.k, (cast('0x' || substr(md5(s.image_id || ':' || (t.k // 4) || ':0'), cast(t.k % 4 * 8 + 1 as int), 8) as bigint) / 4294967296.0e0) as u
-  from (select f.image_id, round(f.risk_score, 2) as score, m.recurred from fold_scores f join image_metadata m using (image_id)) s cross join (select unnest(range(200)) as k) t),
+  from (select f.image_id, round(f.risk_score, 2) as score, m.recurred from fold_scores f join image_metadata m using (image_id)) s cross join (select unnest(range(1000)) as k) t),
  w as (select k, score, recurred, len(list_filter([{BOOTSTRAP}], lambda e: e <= u)) as w from d),
  g as (select k, score, sum(case when recurred = 1 then w else 0 end) as pos, sum(case when recurred = 1 then 0 else w end) as neg from w where w > 0 group by k, score),
  b as (select *, sum(neg) over (partition by k order by score) - neg as below from g),
@@ -134,11 +134,59 @@ BOOTSTRAP = ", ".join(f"{e}e0" for e in stats.POISSON)
  select count(auc) as replicas, round(avg(auc), 6) as mean, round(quantile_cont(auc, 0.025), 6) as low, round(quantile_cont(auc, 0.975), 6) as high from a where auc is not null"""
 )
 def bootstrap_auroc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mean and interval of the AUROC over 200 resamples."""
-    out = stats.bootstrap_auroc(_scored(spark, sf_dir), "score", "recurred", "image_id", 200)
+    """Mean and interval of the AUROC over 1,000 resamples."""
+    out = stats.bootstrap_auroc(_scored(spark, sf_dir), "score", "recurred", "image_id", 1_000)
     return out.select("replicas", r("mean", 6), r("low", 6), r("high", 6))
 
 
+@query(
+    with_views("fold_scores", "image_metadata").replace("with ", "with recursive ", 1)
+    + """, s as (select f.image_id, m.dataset, m.recurred, f.risk_score + f.image_id * 1e-7 as v from (select image_id, avg(risk_score) as risk_score from fold_scores group by image_id) f join image_metadata m using (image_id)),
+ rk as (select *, row_number() over (partition by dataset order by v) as rk from s),
+ t as (select dataset, count(*) filter (where recurred = 1) as n1, count(*) filter (where recurred = 0) as n0, sum(rk) filter (where recurred = 1) as rs from rk group by dataset),
+ u as (select dataset, n1, n0, rs - n1 * (n1 + 1) // 2 as u1 from t where least(n1, n0) between 1 and 8),
+ deal as (select cast(0 as bigint) as i, cast(0 as bigint) as j, cast(0 as bigint) as total, 1.0e0 as ways
+   union all
+   select i, j, total, sum(ways) from (
+     select i + 1 as i, j + t.take as j, total + t.take * (i + 1) as total, ways from deal cross join (values (cast(0 as bigint)), (cast(1 as bigint))) t(take)
+     where i < (select max(n0 + n1) from u) and j + t.take <= 8) group by i, j, total),
+ few as (select *, least(n1, n0) as k, case when n1 <= n0 then least(u1, n0 * n1 - u1) else least(u1, n0 * n1 - u1) end as low from u)
+ select f.dataset, f.n1, f.n0, cast(any_value(f.u1) as double) as u1, round(least(1, 2 * sum(d.ways) filter (where d.total - f.k * (f.k + 1) // 2 <= f.low) / sum(d.ways)), 9) as p_value
+ from few f join deal d on d.i = f.n0 + f.n1 and d.j = f.k group by f.dataset, f.n1, f.n0"""
+)
+def exact_rank_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rank tests of risk scores between outcomes in each data set of few cases, with exact p."""
+    scores = A.fold_scores(spark, sf_dir).groupBy("image_id").agg(F.avg("risk_score").alias("risk_score"))
+    rows = scores.join(A.image_metadata(spark, sf_dir).select("image_id", "dataset", "recurred"), "image_id").withColumn("v", F.col("risk_score") + F.col("image_id") * 1e-7)
+    tests = stats.with_p_values(stats.mann_whitney(rows, "v", "recurred", ["dataset"]))
+    return tests.where(F.least("n0", "n1").between(1, stats.EXACT)).select("dataset", "n1", "n0", "u1", r("p_value", 9))
+
+
+RUNS = (
+    with_views("tile_embeddings")
+    + """, runs as (select image_id * 100000 + tile_id as tile_id, unnest([0, 1, 2]) as run, unnest([cluster, cluster // 2, (cluster + image_id) % 7]) as cluster from tile_embeddings),
+ cells as (select x.run as run_a, y.run as run_b, x.cluster as a, y.cluster as b, count(*) as n from runs x join runs y on x.tile_id = y.tile_id and x.run < y.run group by all),
+ sa as (select run_a, run_b, a, sum(n) as ra from cells group by all), sb as (select run_a, run_b, b, sum(n) as rb from cells group by all),
+ w as (select run_a, run_b, sum(n) as n, sum(n * (n - 1) / 2) as same from cells group by all),
+ ha as (select run_a, run_b, -sum(ra / n * ln(ra / n)) as h, sum(ra * (ra - 1) / 2) as s from sa join w using (run_a, run_b) group by all),
+ hb as (select run_a, run_b, -sum(rb / n * ln(rb / n)) as h, sum(rb * (rb - 1) / 2) as s from sb join w using (run_a, run_b) group by all),
+ mi as (select c.run_a, c.run_b, sum(c.n / w.n * ln(1.0e0 * c.n * w.n / (ra * rb))) as mi from cells c join sa using (run_a, run_b, a) join sb using (run_a, run_b, b) join w using (run_a, run_b) group by all),
+ e as (select run_a, run_b, n, ra, rb, unnest(range(cast(greatest(1, ra + rb - n) as bigint), cast(least(ra, rb) + 1 as bigint))) as k from sa join sb using (run_a, run_b) join w using (run_a, run_b)),
+ emi as (select run_a, run_b, sum(k / n * ln(n * k / (1.0e0 * ra * rb)) * exp(lgamma(ra + 1) + lgamma(rb + 1) + lgamma(n - ra + 1) + lgamma(n - rb + 1) - lgamma(n + 1) - lgamma(k + 1) - lgamma(ra - k + 1) - lgamma(rb - k + 1) - lgamma(n - ra - rb + k + 1))) as emi from e group by all)
+ select w.run_a, w.run_b, cast(w.n as bigint) as n_rows, round((same - ha.s * hb.s / (w.n * (w.n - 1) / 2)) / ((ha.s + hb.s) / 2 - ha.s * hb.s / (w.n * (w.n - 1) / 2)), 8) as ari, round((mi - emi) / ((ha.h + hb.h) / 2 - emi), 8) as ami
+ from w join ha using (run_a, run_b) join hb using (run_a, run_b) join mi using (run_a, run_b) join emi using (run_a, run_b)"""
+)
+
+
+@query(RUNS)
+def labeling_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Adjusted Rand index and adjusted mutual information of each two of three labelings of the tiles."""
+    rows = A.tile_embeddings(spark, sf_dir)
+    labels = F.array("cluster", F.floor(F.col("cluster") / 2.0).cast("int"), ((F.col("cluster") + F.col("image_id")) % 7).cast("int"))
+    runs = rows.select((F.col("image_id") * 100000 + F.col("tile_id")).alias("tile_id"), F.posexplode(labels).alias("run", "cluster"))
+    return stats.agreement(runs).select("run_a", "run_b", "n_rows", r("ari", 8), r("ami", 8))
+
+
 @query(
     with_views("tile_attention")
     + """, p as (select cluster, round(avg(attention) / 997.0e0, 8) as p_value from tile_attention group by cluster),

@@ -11,13 +11,24 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 RANGES = 64
+#: Keys of the sample for each range.
+SAMPLE = 32
 
 
 def in_ranges(df: DataFrame, key: str, ranges: int = RANGES, by: Sequence[str] = ()) -> DataFrame:
-    """Add ``_range``, which does not decrease with ``key``; equal keys share one."""
-    cuts = sorted(set(df.approxQuantile(key, [i / ranges for i in range(1, ranges)], 0.001)))
+    """Add ``_range``, which does not decrease with ``key``; equal keys share one.
+
+    Numbers are cut at approximate quantiles, other keys at those of a bounded sample by hash.
+    """
+    if isinstance(df.schema[key].dataType, NumericType):
+        cuts = sorted(set(df.approxQuantile(key, [i / ranges for i in range(1, ranges)], 0.001)))
+    else:
+        some = df.where(F.col(key).isNotNull()).select(key).orderBy(F.xxhash64(key)).limit(ranges * SAMPLE)
+        keys = [r[0] for r in some.orderBy(key).collect()]
+        cuts = sorted(set(keys[len(keys) // ranges :: max(1, len(keys) // ranges)]))
     place = F.lit(0)
     if cuts:
         place = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < F.col(key)))

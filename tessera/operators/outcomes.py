@@ -6,6 +6,7 @@ models alone. Loops over folds and kinds are loops over settings.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 import numpy as np
@@ -58,6 +59,8 @@ def fit(rows: DataFrame, label: str, kind: str, column: str = "features", c: flo
     """
     known = rows.where(F.col(label).isNotNull())
     per = {r[label]: (r["n"], r["weight"]) for r in folds.class_weights(known, label).collect()}
+    if wrong := sorted(set(per) - {0, 1}):
+        raise ValueError(f"{label} must be 0 or 1, not {wrong[0]}")
     if len(per) < 2:
         raise ValueError(f"{label} has one class")
     scale = moments(known, column) if kind in LINEAR else None
@@ -91,19 +94,23 @@ def fold_scores(vectors: DataFrame, labels: DataFrame, splits: DataFrame, n_fold
 
 
 def choose_strength(rows: DataFrame, label: str, grid: Sequence[float], fold: str = "fold", kind: str = "logreg_l2") -> float:
-    """The strength of the greatest mean AUROC over held-out folds; the smallest of equals."""
-    values = sorted(r[0] for r in rows.select(fold).distinct().collect())
+    """The strength of the greatest mean AUROC over held-out folds; the smallest of equals.
+
+    Folds that lack a class on either side are left out; without any other fold the smallest strength wins.
+    """
+    counts = {(r[fold], r[label]): r["count"] for r in rows.where(F.col(label).isNotNull()).groupBy(fold, label).count().collect()}
+    of = lambda keep: {y for (f, y) in counts if keep(f)}
+    values = [v for v in sorted({f for f, _ in counts}) if len(of(lambda f: f == v)) == 2 and len(of(lambda f: f != v)) == 2]  # noqa: B023
+    if not values:
+        return min(grid)
     best: list[tuple[float, float]] = []
     for c in sorted(grid):
         parts = []
         for f in values:
             model, scale = fit(rows.where(F.col(fold) != f), label, kind, c=c)
             parts.append(probability(rows.where(F.col(fold) == f), model, scale).select(label, "risk_score", F.lit(f).alias("f")))
-        every = parts[0]
-        for more in parts[1:]:
-            every = every.unionByName(more)
-        got = auroc(every, "risk_score", label, ["f"]).agg(F.avg("auroc")).first()[0]
-        best.append((-(got or 0.0), c))
+        every = functools.reduce(DataFrame.unionByName, parts)
+        best.append((-auroc(every, "risk_score", label, ["f"]).agg(F.avg("auroc")).first()[0], c))
     return min(best)[1]
 
 
