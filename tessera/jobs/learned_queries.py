@@ -50,6 +50,18 @@ def morphology_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attention.presence(weighted, "cos_weight").select("image_id", "cluster", r("weighted_count"), r("weighted_presence"), "hard_count", r("hard_frac"))
 
 
+@query("with c as (select cast(c_custkey as bigint) as node, cast(c_custkey // 8 as bigint) as part, (select count(*) from customer) / 8 / 4.0e0 as r from customer) select unnest([r, r / 2]) as resolution, node, min(node) over (partition by part) as community from c")
+def customer_communities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Communities of a graph of known parts: eight customers of neighbouring keys know each other well,
+    each part a little the next. Both resolutions lie where the parts are the best communities."""
+    nodes = A.read(spark, sf_dir, "customer").select(F.col("c_custkey").cast("long").alias("node"))
+    ahead = nodes.select(F.col("node").alias("src"), F.explode(F.sequence(F.col("node") + 1, F.floor(F.col("node") / 8) * 8 + 8)).alias("dst"))
+    weight = F.when(F.floor(F.col("src") / 8) == F.floor(F.col("dst") / 8), 1.0).otherwise(0.1)
+    edges = ahead.where((F.col("dst") % 8 != 0) | (F.col("src") % 8 == 7)).withColumn("weight", weight)
+    r0 = nodes.count() / 8 / 4
+    return clustering.communities_of(nodes, edges, [r0, r0 / 2])
+
+
 #: Core cells, what each reaches, and the cluster of each cell by its smallest core cell. Ids repeat, so rows are numbered.
 DENSE = (
     with_views("cells").replace("with ", "with recursive ", 1)
@@ -178,6 +190,20 @@ def risk_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.first_match(images, A.fold_scores(spark, sf_dir), "image_id", "fold", "risk_score")
 
 
+@query()
+def cluster_resolutions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of tiles at several resolutions: how many, and the tiles of the largest."""
+    rows = clustering.morphology_multi(tiles.foreground(A.tile_embeddings(spark, sf_dir)), 24, 4, [0.5, 1.0, 1.5, 2.0, 3.0])
+    per = rows.groupBy("resolution", "cluster").agg(F.count(F.lit(1)).alias("n"))
+    return per.groupBy("resolution").agg(F.count(F.lit(1)).alias("n_clusters"), F.max("n").alias("largest"), F.sum("n").alias("n_tiles"))
+
+
+@query()
+def cluster_stability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How alike the clusters of two seeds are."""
+    return clustering.stability(tiles.foreground(A.tile_embeddings(spark, sf_dir)), 24, 4, 1.0, seeds=(0, 1)).select("run_a", "run_b", "n_rows", r("ari"), r("ami"))
+
+
 @query()
 def cluster_effects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Association of learned clusters with an outcome, adjusted for their number."""

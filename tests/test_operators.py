@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import scalar
-from tessera.operators import attention, cellular, clustering, concepts, filters, folds, pooling, stats, tables, tiles, vectors
+from tessera.operators import attention, cellular, concepts, filters, folds, pooling, stats, tables, tiles, vectors
 from tessera.sources import dictionary, storage
 from tessera.streaming import cells as streams
 
@@ -124,13 +124,6 @@ def test_kaplan_meier(spark):
     assert np.isclose(got["a", 1], 0.8) and np.isclose(got["a", 3], 0.8 / 3) and got["b", 4] == 0.0 and len(got) == 3
 
 
-def test_communities():
-    edges = [(a, b, 1.0) for base in (0, 5) for a in range(base, base + 5) for b in range(a + 1, base + 5)] + [(4, 5, 0.1)]
-    label = clustering.communities(edges, 10)
-    assert len(set(label[:5])) == 1 and len(set(label[5:])) == 1 and label[0] != label[9]
-    assert clustering.communities([], 1) == [0]
-
-
 def test_pooling_gradients_and_scores(spark):
     rng = np.random.default_rng(3)
     model, x = pooling.Pooling.new(4, 2, 3, 0), rng.normal(size=(6, 4))
