@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import scalar
-from tessera.operators import attention, bags, bottleneck, cellular, clustering, folds, images, outcomes, pooling, tables, tiles, vectors
+from tessera.operators import attention, bags, bottleneck, cellular, clustering, folds, outcomes, pooling, rasters, tables, tiles, vectors
 from tessera.sources import analogues as A
 from tessera.sources import storage
 from tessera.sources.analogues import with_views
@@ -234,32 +236,81 @@ def pca_orthonormal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 RASTER = (
     with_views("cells")
-    + """, pixel as (select i.image_id, cast(a.k as int) as row, cast(b.k as int) as col from (select distinct image_id from cells) i cross join (select unnest(range(50)) as k) a cross join (select unnest(range(50)) as k) b),
- seen as (select image_id, cast(floor(y / 8) as int) as row, cast(floor(x / 8) as int) as col, bool_or(cell_type = 'Neoplastic') as tumour, bool_or(is_mitotic) as ink from cells group by all),
- flags as (select p.*, not coalesce(s.tumour, false) as background, coalesce(s.ink, false) as ink from pixel p left join seen s using (image_id, row, col)),
- mirrored as (select image_id, unnest([row, case when row < 1 then -1 - row end, case when row >= 49 then 99 - row end]) as row, col, background from flags),
- edged as (select image_id, row, unnest([col, case when col < 1 then -1 - col end, case when col >= 49 then 99 - col end]) as col, background from mirrored where row is not null),
- m1 as (select image_id, row, col, sum(cast(background as int)) over (partition by image_id, row order by col range between 1 preceding and 1 following) as n from edged where col is not null),
- m2 as (select image_id, row, col, sum(n) over (partition by image_id, col order by row range between 1 preceding and 1 following) as n from m1),
- m3 as (select image_id, row, col, n * 2 > 9 as background from m2 where row between 0 and 49 and col between 0 and 49),
- e1 as (select image_id, row, col, bool_and(background) over (partition by image_id, row order by col range between 2 preceding and 1 following) as background from m3),
- e2 as (select image_id, row, col, bool_and(background) over (partition by image_id, col order by row range between 2 preceding and 1 following) as background from e1),
- d1 as (select image_id, row, col, bool_or(ink) over (partition by image_id, row order by col range between 3 preceding and 2 following) as ink from flags),
- d2 as (select image_id, row, col, bool_or(ink) over (partition by image_id, col order by row range between 3 preceding and 2 following) as ink from d1)
+    + """, pixel as (select i.image_id, cast(a.k as int) as row, cast(b.k as int) as col from (select distinct image_id from cells) i cross join (select unnest(range(100)) as k) a cross join (select unnest(range(100)) as k) b),
+ seen as (select distinct image_id, cast(floor(y / 40) as int) as r, cast(floor(x / 40) as int) as c from cells where cell_type = 'Neoplastic' and is_mitotic),
+ flags as (select p.*, s.r is null as background, row + col < p.image_id % 40 as ink from pixel p left join seen s on s.image_id = p.image_id and s.r = p.row // 10 and s.c = p.col // 10),
+ mirrored as (select image_id, unnest([row, case when row < 2 then -1 - row end, case when row >= 98 then 199 - row end]) as row, col, background from flags),
+ edged as (select image_id, row, unnest([col, case when col < 2 then -1 - col end, case when col >= 98 then 199 - col end]) as col, background from mirrored where row is not null),
+ m1 as (select image_id, row, col, sum(cast(background as int)) over (partition by image_id, row order by col range between 2 preceding and 2 following) as n from edged where col is not null),
+ m2 as (select image_id, row, col, sum(n) over (partition by image_id, col order by row range between 2 preceding and 2 following) as n from m1),
+ m3 as (select image_id, row, col, n * 2 > 25 as background from m2 where row between 0 and 99 and col between 0 and 99),
+ e1 as (select image_id, row, col, bool_and(background) over (partition by image_id, row order by col range between 10 preceding and 9 following) as background from m3),
+ e2 as (select image_id, row, col, bool_and(background) over (partition by image_id, col order by row range between 10 preceding and 9 following) as background from e1),
+ i1 as (select image_id, row, col, bool_and(ink) over (partition by image_id, row order by col range between 5 preceding and 4 following) as ink from flags),
+ i2 as (select image_id, row, col, bool_and(ink) over (partition by image_id, col order by row range between 5 preceding and 4 following) as ink from i1),
+ d1 as (select image_id, row, col, bool_or(ink) over (partition by image_id, row order by col range between 50 preceding and 49 following) as ink from i2),
+ d2 as (select image_id, row, col, bool_or(ink) over (partition by image_id, col order by row range between 50 preceding and 49 following) as ink from d1)
 """
 )
 
 
 @query(RASTER + "select image_id, round(count(*) filter (where e2.background or d2.ink) / count(*), 8) as share from e2 join d2 using (image_id, row, col) group by image_id")
 def background_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Share of an image's raster that is background or near ink, after erosion and dilation."""
+    """Share of each image's raster that is background or near a piece of ink, at the usual sizes.
+
+    Mitotic tumour cells paint squares of 10 pixels as tissue, and a corner is ink."""
+    cells = A.cells(spark, sf_dir)
+    square = (F.floor(F.col("y") / 40) * 10 + F.floor(F.col("x") / 40)).cast("int")
+    tissue = F.collect_set(F.when((F.col("cell_type") == "Neoplastic") & F.col("is_mitotic"), square))
+    seen = cells.groupBy("image_id").agg(tissue.alias("tissue"))  # at most a number for each square
+    every = F.sequence(F.lit(0), F.lit(100 * 100 - 1))
+    of = lambda p: (F.floor(p / 1000) * 10 + F.floor(p % 100 / 10)).cast("int")
+    ink = F.filter(every, lambda p: F.floor(p / 100) + p % 100 < F.col("image_id") % 40)
+    masks = seen.select("image_id", F.filter(every, lambda p: ~F.array_contains("tissue", of(p))).alias("background"), ink.alias("ink"))
+    return rasters.rejected_shares(masks, 100).select("image_id", r("share"))
+
+
+#: Patches of 64 pixels on rasters of 400 x 400 whose red, green and blue follow a rule of place and image.
+PATCHES = (
+    with_views("cells")
+    + """, own as (select row_number() over (order by image_id, cell_id, x, y) as k, image_id, cell_id, x, y from cells where cell_type = 'Neoplastic' and is_mitotic),
+ w as (select own.*, a.i, b.j, cast(round_even(x, 0) as bigint) - 32 + b.j as px, cast(round_even(y, 0) as bigint) - 32 + a.i as py from own cross join (select unnest(range(64)) as i) a cross join (select unnest(range(64)) as j) b),
+ v as (select *, px between 0 and 399 and py between 0 and 399 as inside from w)
+"""
+)
+
+
+@query(
+    PATCHES
+    + """select image_id, cell_id, x, y, cast(sum(case when inside then (px * 7 + py * 3 + image_id) % 251 * (1 + (i * 64 + j) % 97) else 0 end) as bigint) as red,
+ cast(sum(case when inside then (px * 5 + py * 11) % 241 * (1 + (i * 64 + j) % 97) else 0 end) as bigint) as green, cast(sum(case when inside then (px + py * image_id) % 239 * (1 + (i * 64 + j) % 97) else 0 end) as bigint) as blue
+ from v group by k, image_id, cell_id, x, y"""
+)
+def mitosis_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Patches around cells, each told by sums of its pixels weighted by their place."""
     cells = A.cells(spark, sf_dir)
-    line = F.explode(F.sequence(F.lit(0), F.lit(49)))
-    pixels = cells.select("image_id").distinct().select("image_id", line.alias("row")).select("image_id", "row", line.alias("col"))
-    place = lambda c: F.floor(F.col(c) / 8).cast("int")
-    seen = cells.groupBy("image_id", place("y").alias("row"), place("x").alias("col")).agg(F.bool_or(F.col("cell_type") == "Neoplastic").alias("tumour"), F.bool_or("is_mitotic").alias("ink"))
-    flags = pixels.join(seen, ["image_id", "row", "col"], "left").select("image_id", "row", "col", (~F.coalesce("tumour", F.lit(False))).alias("background"), F.coalesce("ink", F.lit(False)).alias("ink"))
-    return images.background_share(flags, 50, median=3, erode=4, erode_ink=1, dilate_ink=6).select("image_id", r("share"))
+    side, full = 128, 400
+
+    def painted(batches):
+        for part in batches:
+            out = []
+            for t in part.itertuples():
+                y, x = np.mgrid[t.block_row * side : min((t.block_row + 1) * side, full), t.block_col * side : min((t.block_col + 1) * side, full)]
+                rgb = np.stack([(x * 7 + y * 3 + t.image_id) % 251, (x * 5 + y * 11) % 241, (x + y * t.image_id) % 239], -1).astype(np.uint8)
+                out.append((t.image_id, t.block_row, t.block_col, rgb.shape[0], rgb.shape[1], rgb.tobytes()))
+            yield pd.DataFrame(out, columns=["image_id", "block_row", "block_col", "height", "width", "rgb"])
+
+    def told(batches):
+        weight = 1 + np.arange(64 * 64) % 97
+        for part in batches:
+            sums = [weight @ np.frombuffer(b, np.uint8).reshape(-1, 3).astype(np.int64) for b in part["rgb"]]
+            yield part[["image_id", "cell_id", "x", "y"]].assign(**{c: [int(s[i]) for s in sums] for i, c in enumerate(("red", "green", "blue"))})
+
+    number = F.explode(F.sequence(F.lit(0), F.lit((full - 1) // side)))
+    blocks = cells.select("image_id").distinct().select("image_id", number.alias("block_row")).select("image_id", "block_row", number.alias("block_col"))
+    blocks = blocks.mapInPandas(painted, "image_id long, block_row int, block_col int, height int, width int, rgb binary")
+    found = rasters.patches(blocks, cells.where("cell_type = 'Neoplastic' and is_mitotic").select("image_id", "cell_id", "x", "y"), side)
+    return found.mapInPandas(told, "image_id long, cell_id long, x double, y double, red long, green long, blue long")
 
 
 # Models: what SQL can state of their results

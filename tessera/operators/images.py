@@ -9,12 +9,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators import rasters
+
 # Fixed values, on a hue, saturation and value scale of 0 to 255: ranges (low, high) of bright glass,
 # then of ink and dark artifacts.
 GLASS = (((0, 255), (0, 15), (215, 255)), ((0, 255), (0, 5), (245, 255)), ((25, 180), (0, 55), (229, 255)))
 ARTIFACT = (((25, 180), (0, 255), (0, 220)), ((0, 255), (0, 225), (0, 70)))
-#: Share of background pixels over which a tile is background.
-MOST = 0.5
+#: Share of background pixels over which a tile is background, and the pixels a side at which it is taken.
+MOST, ANALYSIS = 0.5, 100
 
 
 def hsv(rgb: np.ndarray) -> np.ndarray:
@@ -49,12 +51,18 @@ def background_mask(rgb: np.ndarray) -> np.ndarray:
     return smoothed(in_ranges(pixels, GLASS) | in_ranges(pixels, ARTIFACT))
 
 
+def background_fraction(rgb: np.ndarray) -> float:
+    """Share of a tile's region that is bright glass or near a piece of ink, at ``ANALYSIS`` pixels a side."""
+    pixels = hsv(rasters.resize(rgb, ANALYSIS, ANALYSIS, rasters.cubic, 2.0))
+    return rasters.rejected_share(in_ranges(pixels, GLASS), in_ranges(pixels, ARTIFACT))
+
+
 def tile_background(thumbnails: DataFrame, tiles: DataFrame) -> DataFrame:
     """(image_id, tile_id, tile_background) of tiles, from thumbnails (image_id, height, width, rgb).
 
-    Tiles are placed on the thumbnail by the extent of all tiles of the image; a tile without a
-    pixel, and one with more than half of its pixels background, is background. A task holds one
-    thumbnail at a time.
+    Tiles are placed on the thumbnail by the extent of all tiles of the image. A tile's region is
+    resampled to a fixed size, cleaned, and judged by ``background_fraction``; one without a pixel, and
+    one of which more than half is background, is background. A task holds one thumbnail at a time.
     """
     box = F.struct("tile_id", "tile_x", "tile_y", "tile_width", "tile_height")
     placed = tiles.groupBy("image_id").agg(F.array_sort(F.collect_list(box)).alias("tiles"), F.max(F.col("tile_x") + F.col("tile_width")).alias("right"), F.max(F.col("tile_y") + F.col("tile_height")).alias("bottom"))
@@ -62,13 +70,13 @@ def tile_background(thumbnails: DataFrame, tiles: DataFrame) -> DataFrame:
     def judge(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             for r in part.itertuples():
-                mask = background_mask(np.frombuffer(r.rgb, np.uint8).reshape(r.height, r.width, 3))
+                whole = np.frombuffer(r.rgb, np.uint8).reshape(r.height, r.width, 3)
                 sx, sy, out = r.width / r.right, r.height / r.bottom, []
                 for t in r.tiles:
                     x0, y0 = int(np.floor(t["tile_x"] * sx)), int(np.floor(t["tile_y"] * sy))
                     x1, y1 = min(r.width, int(np.ceil((t["tile_x"] + t["tile_width"]) * sx))), min(r.height, int(np.ceil((t["tile_y"] + t["tile_height"]) * sy)))
-                    region = mask[max(0, y0) : y1, max(0, x0) : x1]
-                    out.append((r.image_id, t["tile_id"], bool(not region.size or region.mean() > MOST)))
+                    region = whole[max(0, y0) : y1, max(0, x0) : x1]
+                    out.append((r.image_id, t["tile_id"], bool(not region.size or background_fraction(region) > MOST)))
                 yield pd.DataFrame(out, columns=["image_id", "tile_id", "tile_background"])
 
     kind = tiles.schema["image_id"].dataType.simpleString()
