@@ -7,11 +7,11 @@ document or another; matches never cross documents, overlaps count, and all is j
    same place. Each document is cut into segments, one for each such anchor, which hold all strings
    that the anchor stands for. Only segments whose anchor occurs twice can hold a repeat; their
    bytes are fetched, and equal segments become one, with a count.
-2. Segments are dealt by anchor into shards of bounded size. A shard's segments make one text, and
-   its suffixes, sorted as far as ``length``, its Burrows-Wheeler transform over steps of ``STEP``
-   bytes. From the interval of all suffixes, backward extension by one step after another, breadth
-   first, gives the intervals of strings of 1, 2, ... steps; intervals of a single suffix are
-   dropped, and at ``length`` bytes the expansion stops: what is left are the repeated strings.
+2. Segments are dealt by anchor into shards of bounded size. A shard's segments make one text; its
+   suffixes are sorted, as far as ``length``, to build its Burrows-Wheeler transform. Backward
+   extension of intervals by one byte after another, breadth first, derives the common prefixes of
+   neighbouring suffixes in increasing order and stops at ``length``: what has no value by then is a
+   repeated string.
 3. An anchor with more distinct segments than a shard may hold is too hot for one task. Its strings
    are counted by their hashes instead, summed before the shuffle; this gives the same answer.
 
@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 from tessera.llm.work import hash_runs, mix64, small_batches, staged, superseded
 
 _U = np.uint64
-#: Bytes of an anchor, and of a step of the transform (a divisor of the length).
-RUN, STEP = 128, 50
+#: Bytes of an anchor.
+RUN = 128
 #: Bytes of segments in a shard, about, and of one anchor at most.
 SHARD, HOT = 1 << 20, 2 << 20
 #: Bytes of a document taken at a time; positions in a piece fit in 24 bits.
@@ -85,59 +85,77 @@ def _ahead(values: np.ndarray, by: int) -> np.ndarray:
     return np.concatenate((values[by:], np.zeros(min(by, values.size), values.dtype)))
 
 
-def suffix_ranks(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ranks of all suffixes by their first ``STEP`` symbols and by ``length`` symbols.
+def suffix_order(text: np.ndarray, length: int) -> np.ndarray:
+    """Places of all suffixes in the order of their first ``length`` symbols, equal ones in any.
 
-    Symbols are under 512, so the first seven fit in one key; after that each sort doubles the
-    depth, by way of ``STEP``.
+    Symbols are under 512, so the first seven fit in one key; each sort doubles the depth.
     """
     keys = np.zeros(text.size, np.int64)
     for i in range(7):
         keys = keys * 512 + _ahead(text, i)
-    rank, size, step = _ranks(keys), 7, None
-    while size < length:
-        end = STEP if step is None else length
-        half = (end + 1) // 2
-        size_next = end if 2 * size >= end else min(2 * size, half) if half > size else 2 * size
-        rank = _ranks(rank * (text.size + 2) + _ahead(rank + 1, size_next - size))
-        size = size_next
-        if size == STEP:
-            step = rank
-    return step, rank
+    rank, size = _ranks(keys), 7
+    while size < length and int(rank.max(initial=0)) < text.size:
+        more = min(size, length - size)
+        rank = _ranks(rank * (text.size + 2) + _ahead(rank + 1, more))
+        size += more
+    return np.argsort(rank)
+
+
+def short_prefixes(text: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
+    """Of the longest common prefix of each two neighbouring suffixes (row and the one before): the
+    values under ``length``, from the Burrows-Wheeler transform alone; -1 where it is ``length`` or more.
+
+    Breadth first, strings of 1, 2, 3, ... symbols: the interval of a string is extended by every
+    symbol that stands before its suffixes. Where the new interval ends, a prefix of just the old
+    string's length ends too, unless a shorter one did, in which case nothing new can follow and the
+    interval is dropped. So each value is found once, in increasing order, and the intervals that are
+    looked at are no more than the suffixes. Borders (0) end strings and are not extended over, so
+    values between two suffixes that share a border stay -1.
+    """
+    n = order.size
+    before = np.where(order > 0, text[order - 1], 0)
+    by_symbol = np.argsort(before, kind="stable")
+    target = np.empty(n, np.int64)  # the row of the suffix that is one symbol longer
+    target[by_symbol] = np.arange(n)
+    first = text[order]
+    prefix = np.full(n + 1, -1, np.int32)
+    prefix[0] = 0
+    low = np.flatnonzero(np.diff(first, prepend=-1))
+    high = np.append(low[1:], n)
+    prefix[high] = 0
+    for size in range(1, length):
+        if not low.size:
+            break
+        width = high - low
+        slot = np.repeat(low - (np.cumsum(width) - width), width) + np.arange(int(width.sum()))
+        of = np.repeat(np.arange(low.size), width)
+        real = before[slot] > 0
+        slot, of = slot[real], of[real]
+        row = target[slot]
+        by_row = np.argsort(row)
+        row, of, symbol = row[by_row], of[by_row], before[slot[by_row]]
+        # rows of one interval and symbol are neighbours
+        new = np.append(True, (np.diff(of) != 0) | (np.diff(symbol) != 0)) if row.size else np.empty(0, bool)
+        low = row[new]
+        high = low + np.diff(np.append(np.flatnonzero(new), row.size))
+        fresh = prefix[high] < 0
+        low, high = low[fresh], high[fresh]
+        prefix[high] = size
+    return prefix
 
 
 def repeated_starts(parts: list[np.ndarray], length: int) -> np.ndarray:
     """Places in the parts laid end to end, each followed by a border, where a string of ``length``
     bytes starts that starts at another place too."""
     sizes = np.array([x.size + 1 for x in parts])
-    begin = np.repeat(np.cumsum(sizes) - sizes, sizes)
+    ends = np.repeat(np.cumsum(sizes) - 1, sizes)  # the border after each place
     text = np.zeros(int(sizes.sum()), np.int64)
     for x, at in zip(parts, np.cumsum(sizes) - sizes, strict=True):
         text[at : at + x.size] = x.astype(np.int64) + 1
-    step, rank = suffix_ranks(text, length)
-    order = np.argsort(rank)
-    place = np.empty_like(order)
-    place[order] = np.arange(order.size)
-    # the transform: the step before each sorted suffix, or none where its part begins
-    has = order - STEP >= begin[order]
-    bwt = np.where(has, step[np.maximum(order - STEP, 0)], -1)
-    low, high = np.array([0]), np.array([order.size])
-    for _ in range(length // STEP):
-        width = high - low
-        slot = np.repeat(low - (np.cumsum(width) - width), width) + np.arange(int(width.sum()))
-        of = np.repeat(np.arange(low.size), width)
-        real = bwt[slot] >= 0
-        slot, of = slot[real], of[real]
-        # where the extended suffixes stand; those of one interval and step are neighbours there
-        whose = np.full(order.size, -1)
-        whose[place[order[slot] - STEP]] = of * (order.size + 1) + bwt[slot]
-        there = np.flatnonzero(whose >= 0)
-        first = np.flatnonzero(np.diff(whose[there], prepend=-2) != 0)
-        count = np.diff(np.append(first, there.size))
-        low = there[first[count > 1]]
-        high = low + count[count > 1]
-    width = high - low
-    return order[np.repeat(low - (np.cumsum(width) - width), width) + np.arange(int(width.sum()))]
+    order = suffix_order(text, length)
+    long = short_prefixes(text, order, length) < 0
+    hit = order[long[:-1] | long[1:]]
+    return hit[hit + length <= ends[hit]]
 
 
 def _fetch(texts: DataFrame, reps: DataFrame, keys: DataFrame) -> DataFrame:
@@ -221,10 +239,10 @@ def _erase(parts: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFrame]
 def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (id, n_bytes, n_removed, n_spans, kept_sha256) for the rows of ``docs``.
 
-    ``length`` is a multiple of ``STEP`` and greater than ``RUN``.
+    ``length`` is greater than ``RUN``.
     """
-    if length % STEP or length <= RUN:
-        raise ValueError(f"length must be a multiple of {STEP} over {RUN}")
+    if length <= RUN:
+        raise ValueError(f"length must be over {RUN}")
     texts = small_batches(docs).select(docs[id_col].alias("id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
     rows = staged(texts.select("id", F.xxhash64("text").alias("key"), F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha")), "texts")
     long_rows = rows.where(F.col("n_bytes") >= length)
