@@ -319,12 +319,19 @@ def _cluster_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    RANKED
+    RANKED.replace("with ", "with recursive ", 1)
     + """, s as (select cluster, count(*) filter (where recurred = 1) as n1, count(*) filter (where recurred = 0) as n0, sum(case when recurred = 1 then rk else 0 end) as rs, sum(1.0e0 * same * same - 1) as ties, count(*) as n from x group by cluster),
  u as (select *, rs - n1 * (n1 + 1) / 2.0e0 as u1, n0 * n1 / 12.0e0 * ((n + 1) - ties / (n * (n - 1.0e0))) as var from s),
  z as (select *, greatest(abs(u1 - n0 * n1 / 2.0e0) - 0.5e0, 0) / sqrt(var) / sqrt(2.0e0) as z from u),
  t as (select *, 1 / (1 + 0.3275911e0 * z) as t from z),
- q as (select *, least(1, ((((1.061405429e0 * t - 1.453152027e0) * t + 1.421413741e0) * t - 0.284496736e0) * t + 0.254829592e0) * t * exp(-z * z)) as p_value from t),
+ deal as (select cast(0 as bigint) as i, cast(0 as bigint) as j, cast(0 as bigint) as total, 1.0e0 as ways
+   union all
+   select i, j, total, sum(ways) from (
+     select i + 1 as i, j + d.take as j, total + d.take * (i + 1) as total, ways from deal cross join (values (cast(0 as bigint)), (cast(1 as bigint))) d(take)
+     where i < (select max(n) from s where least(n1, n0) <= 8 and ties = 0) and j + d.take <= 8) group by i, j, total),
+ few as (select u.cluster, least(1, 2 * sum(ways) filter (where total - least(n1, n0) * (least(n1, n0) + 1) / 2 <= least(u1, n0 * n1 - u1)) / sum(ways)) as exact
+   from u join deal d on d.i = u.n and d.j = least(n1, n0) where least(n1, n0) <= 8 and ties = 0 group by u.cluster, n1, n0, u1),
+ q as (select t.* , coalesce(exact, p_normal) as p_value from (select *, least(1, ((((1.061405429e0 * t - 1.453152027e0) * t + 1.421413741e0) * t - 0.284496736e0) * t + 0.254829592e0) * t * exp(-z * z)) as p_normal from t) t left join few using (cluster)),
  b as (select *, p_value * count(*) over () / (rank() over (order by p_value) + count(*) over (partition by p_value) - 1) as v from q)
  select cluster, n1, n0, round(u1, 6) as u1, round(2 * u1 / (n0 * n1) - 1, 8) as effect_r, round(p_value, 6) as p_value,
  round(least(1, min(v) over (order by p_value rows between current row and unbounded following)), 6) as p_adjusted from b"""
