@@ -20,8 +20,10 @@ nothing.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +33,8 @@ from tessera.llm.work import SPACE, exists, new_folder, rows_that_stay, staged,
 #: A digest with more rows than one in so many is hot. At most as many digests can be hot, which
 #: bounds the broadcast of their rows at any size of the corpus.
 HOT_SHARE = 1_024
+#: Code points from which a text belongs to the first and to the second of three batches.
+LENGTHS = (4_096, 512)
 
 
 def normalised(text: Column) -> Column:
@@ -137,6 +141,28 @@ def exact_dedup(docs: DataFrame, index: DigestIndex | None = None, id_col: str =
     return found.select(F.col("id").alias(id_col), "keep_id", "group_size", "kept", "chars", F.lower(F.hex("digest")).alias("digest"))
 
 
+def exact_dedup_in_batches(docs: DataFrame, bounds: Sequence[int] = LENGTHS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """What ``exact_dedup`` gives for all rows at once, by batches against one index: texts of ``bounds[0]``
+    code points and more first, then those of ``bounds[1]`` and more, at last the rest.
+
+    Of equal texts the longest stay, and those come first, so what the index has already is what stays.
+    """
+    chars = F.length(F.coalesce(docs[text_col], F.lit("")))
+    edges = [None, *sorted(bounds, reverse=True), 0]
+    index, parts, staging = None, [], []
+    for high, low in zip(edges, edges[1:], strict=False):
+        batch = docs.where(chars >= low if high is None else (chars >= low) & (chars < high))
+        if index is None:
+            index = DigestIndex(docs.sparkSession, new_folder(docs.sparkSession, "digest-index"), index_buckets(docs.count()), docs.schema[id_col].dataType.simpleString())
+        rows, tables = _judged(batch, index, id_col, text_col, f"from-{low}")
+        parts.append(rows.drop("group_size"))
+        staging.append(tables)
+    sizes = functools.reduce(DataFrame.unionByName, [found.select("digest", "group_size") for _, found in staging]).groupBy("digest").agg(F.sum("group_size").alias("group_size"))
+    every = functools.reduce(DataFrame.unionByName, parts)
+    found = resolve(every, staged(sizes, "sizes"), sum(rows.count() for rows, _ in staging))
+    return found.select(F.col("id").alias(id_col), "keep_id", "group_size", "kept", "chars", F.lower(F.hex("digest")).alias("digest"))
+
+
 def keep_first(docs: DataFrame, index: DigestIndex | None = None, id_col: str = "doc_id", text_col: str = "text", batch: str | None = None) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     found, parts = _judged(docs, index, id_col, text_col, batch)

@@ -80,7 +80,7 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
+    rows = exact_dedup.exact_dedup_in_batches(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 

@@ -34,6 +34,23 @@ def test_exact_dedup(spark):
     assert sorted(r["doc_id"] for r in stay.collect()) == [3, 7, 8, 9]
 
 
+@pytest.mark.parametrize("hot", [1, 1 << 20])
+def test_exact_dedup_in_batches(spark, monkeypatch, hot):
+    """Batches by length give what one batch gives, and later ones meet an index with rows."""
+    monkeypatch.setattr(exact_dedup, "HOT_SHARE", hot)
+    rnd = random.Random(2)
+    rows = [(rnd.randint(0, 60), rnd.choice([None, "", " ", "a b", "ab", " a  b", "a" + " " * 30 + "b", "x y z" * 5, "xyz" * 5])) for _ in range(150)] + [(None, "ab")]
+    met = []
+    unseen = exact_dedup.DigestIndex.unseen
+    monkeypatch.setattr(exact_dedup.DigestIndex, "unseen", lambda self, found: met.append((self.read().count(), found.count())) or unseen(self, found))
+    key = lambda r: str(tuple(r))
+    whole = exact_dedup.exact_dedup(table(spark, rows)).collect()
+    del met[:]
+    assert sorted(exact_dedup.exact_dedup_in_batches(table(spark, rows), (20, 3)).collect(), key=key) == sorted(whole, key=key)
+    assert len(met) == 3 and met[0][0] == 0 and met[2][0] > 0
+    assert exact_dedup.exact_dedup_in_batches(table(spark, [])).count() == 0
+
+
 def test_index_persists(spark):
     path = new_folder(spark, "index")
     first = exact_dedup.DigestIndex(spark, path, 8)
