@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import attention, clustering, concepts, density, folds, pooling, stats, tables, tiles, vectors
 from tessera.sources import analogues as A
-from tessera.sources import dictionary, storage
+from tessera.sources import arrays, dictionary, storage
 from tessera.sources.analogues import with_views
 from tessera.streaming import cells as streams
 
@@ -124,6 +124,15 @@ def hive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return storage.scan_hive(spark, folder, defaults={"model": "a+b"})
 
 
+@query(with_views("tile_embeddings") + "select image_id, tile_id, round(list_sum(list_transform(features, lambda x: cast(x as double))), 4) as total, round(cast(features[1] as double), 6) as first from tile_embeddings")
+def array_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features written as arrays of an image's tiles, and read back by ranges of rows."""
+    folder = storage.shared_folder(spark, "arrays")
+    arrays.write_features(A.tile_embeddings(spark, sf_dir).select("image_id", "tile_id", "features"), folder)
+    found = arrays.read_features(spark, folder)
+    return found.select("image_id", "tile_id", F.round(F.aggregate("features", F.lit(0.0), lambda s, x: s + x), 4).alias("total"), F.round(F.get("features", F.lit(0)), 6).alias("first"))
+
+
 @query(with_views("cells") + "select image_id, cell_type, x, y, count(*) as n from cells group by all")
 def geojson_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells through detection documents and back."""
