@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators import attention, clustering, concepts, density, folds, pooling, stats, tables, tiles, vectors
+from tessera.operators import attention, clustering, concepts, density, folds, morphology, pooling, stats, tables, tiles, vectors
 from tessera.sources import analogues as A
 from tessera.sources import arrays, dictionary, storage
 from tessera.sources.analogues import with_views
@@ -199,6 +199,21 @@ def risk_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.first_match(images, A.fold_scores(spark, sf_dir), "image_id", "fold", "risk_score")
 
 
+@query()
+def morphology_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Risk of each image from the clusters of its tiles, by the fold that held it out, with the number of
+    its tiles and clusters there."""
+    seen = A.tile_attention(spark, sf_dir).select("image_id", "tile_id", "attention")
+    rows = tiles.foreground(A.tile_embeddings(spark, sf_dir)).select("image_id", "tile_id", "features").join(seen, ["image_id", "tile_id"], "left").withColumn("attention", F.coalesce(F.abs("attention"), F.lit(0.5)))
+    images = rows.select("image_id").distinct()
+    labels = images.select("image_id", (F.col("image_id") % 2).cast("int").alias("recurred"))
+    splits = folds.expand_flat(images.select("image_id", F.floor(F.col("image_id") % 4 / 2).cast("int").alias("fold")), 2)
+    clusters, presence, risks = morphology.infer(rows, labels, splits, 2, "recurred", k=24, neighbours=4)
+    sizes = clusters.groupBy("image_id").agg(F.count(F.lit(1)).alias("n_tiles"), F.count_distinct("cluster").alias("n_clusters"))
+    shares = presence.groupBy("image_id").agg(F.round(F.sum("weighted_presence"), 6).alias("total_presence"))
+    return risks.join(sizes, "image_id").join(shares, "image_id").select("image_id", "fold", r("risk_score"), "n_tiles", "n_clusters", "total_presence")
+
+
 @query()
 def cluster_resolutions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clusters of tiles at several resolutions: how many, and the tiles of the largest."""

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tessera.functions.scalar import draw
 
 EPS = 1e-12
+#: Centroids of a model at most; they travel to the tiles as one row.
+MOST_CENTRES = 50_000
 
 
 def dot(a: Column | str, b: Column | str) -> Column:
@@ -52,14 +54,20 @@ def cosine_weights(tiles: DataFrame, centres: DataFrame, by: str = "cluster", co
     return tiles.join(centres, by, "left").withColumn("cos_weight", F.coalesce(weight, F.lit(0.0))).drop("centroid")
 
 
+def model_row(centres: DataFrame, by: str) -> DataFrame:
+    """One row with all centroids of a model, whose number is checked."""
+    if centres.limit(MOST_CENTRES + 1).count() > MOST_CENTRES:
+        raise ValueError(f"more than {MOST_CENTRES} centroids")
+    return centres.agg(F.array_sort(F.collect_list(F.struct(F.col(by).alias("id"), "centroid"))).alias("model"))
+
+
 def nearest_centroid(tiles: DataFrame, centres: DataFrame, by: str = "cluster", column: str = "features") -> DataFrame:
     """The centroid of greatest inner product for each tile; ties go to the smaller id.
 
-    The centroids are a model: their number is a setting (thousands at most), so they travel to the
-    tiles as one broadcast row and no pair of tile and centroid leaves a task.
+    The centroids are a model: they travel to the tiles as one broadcast row and no pair of tile and
+    centroid leaves a task. More than ``MOST_CENTRES`` are an error.
     """
-    model = centres.agg(F.array_sort(F.collect_list(F.struct(F.col(by).alias("id"), "centroid"))).alias("model"))
-    rows = tiles.drop(by).join(F.broadcast(model))
+    rows = tiles.drop(by).join(F.broadcast(model_row(centres, by)))
     best = F.aggregate(
         "model",
         F.struct(F.lit(None).cast(centres.schema[by].dataType).alias("id"), F.lit(float("-inf")).alias("sim")),
@@ -71,12 +79,12 @@ def nearest_centroid(tiles: DataFrame, centres: DataFrame, by: str = "cluster",
 def knn_edges(centres: DataFrame, k: int, by: str = "cluster") -> DataFrame:
     """Undirected edges between each centroid and its k nearest, weighted by similarity.
 
-    For centroids (thousands at most): one side is broadcast.
+    All centroids travel to each as one broadcast row, of which the k nearest leave it.
     """
-    other = centres.select(F.col(by).alias("b"), F.col("centroid").alias("other"))
-    pairs = centres.select(F.col(by).alias("a"), "centroid").join(F.broadcast(other), F.col("a") != F.col("b"))
-    sims = pairs.select("a", "b", dot("centroid", "other").alias("sim"))
-    near = sims.withColumn("r", F.row_number().over(Window.partitionBy("a").orderBy(F.col("sim").desc(), "b"))).where(F.col("r") <= k)
+    rows = centres.select(F.col(by).alias("a"), "centroid").join(F.broadcast(model_row(centres, by)))
+    others = F.filter("model", lambda m: m["id"] != F.col("a"))
+    sims = F.array_sort(F.transform(others, lambda m: F.struct((-dot("centroid", m["centroid"])).alias("less"), m["id"].alias("b"))))
+    near = rows.select("a", F.explode(F.slice(sims, 1, k)).alias("near")).select("a", "near.b", (-F.col("near.less")).alias("sim"))
     ends = near.select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst"), F.greatest("sim", F.lit(1e-6)).alias("weight"))
     return ends.groupBy("src", "dst").agg(F.max("weight").alias("weight"))
 
