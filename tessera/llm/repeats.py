@@ -40,6 +40,8 @@ RUN = 128
 SHARD, HOT = 1 << 20, 2 << 20
 #: Bytes of a document taken at a time; positions in a piece fit in 24 bits.
 PIECE = 1 << 22
+#: A step of the expansion over more than one row in so many puts rows in order by their places, not by sorting.
+DENSE = 32
 #: Ids that are broadcast at most; beyond, a sort-merge join takes over.
 BROADCAST_IDS = 1_000_000
 
@@ -72,14 +74,6 @@ def joined_ranges(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np
     return starts[new], stops[np.append(new[1:], starts.size) - 1]
 
 
-def _ranks(keys: np.ndarray) -> np.ndarray:
-    """Dense ranks, equal for equal keys."""
-    order = np.argsort(keys)
-    rank = np.empty(keys.size, np.int64)
-    rank[order] = np.cumsum(np.diff(keys[order], prepend=keys[order[:1]]) != 0)
-    return rank
-
-
 def _ahead(values: np.ndarray, by: int) -> np.ndarray:
     """Values ``by`` places on; 0 past the end."""
     return np.concatenate((values[by:], np.zeros(min(by, values.size), values.dtype)))
@@ -88,17 +82,31 @@ def _ahead(values: np.ndarray, by: int) -> np.ndarray:
 def suffix_order(text: np.ndarray, length: int) -> np.ndarray:
     """Places of all suffixes in the order of their first ``length`` symbols, equal ones in any.
 
-    Symbols are under 512, so the first seven fit in one key; each sort doubles the depth.
+    Symbols are under 512, so the first seven fit in one key; each sort doubles the depth, over those
+    suffixes alone that still equal another.
     """
-    keys = np.zeros(text.size, np.int64)
+    n = text.size
+    keys = np.zeros(n, np.int64)
     for i in range(7):
         keys = keys * 512 + _ahead(text, i)
-    rank, size = _ranks(keys), 7
-    while size < length and int(rank.max(initial=0)) < text.size:
+    order = np.argsort(keys)
+    held, rows = keys[order], np.arange(n)
+    first, size = np.append(True, held[1:] != held[:-1]), 7
+    rank = np.zeros(n + 1, np.int64)  # the first row of a suffix's group, from 1; 0 past the end
+    while True:
+        begin = np.flatnonzero(first[rows])
+        rank[order[rows]] = np.repeat(rows[begin] + 1, np.diff(np.append(begin, rows.size)))
+        rows = rows[~(first[rows] & np.append(first[1:], True)[rows])]
+        if size >= length or not rows.size:
+            return order
         more = min(size, length - size)
-        rank = _ranks(rank * (text.size + 2) + _ahead(rank + 1, more))
+        some = order[rows]
+        keys = rank[some] * (n + 2) + rank[np.minimum(some + more, n)]
+        by_key = np.argsort(keys)
+        keys = keys[by_key]
+        order[rows] = some[by_key]
+        first[rows] = np.append(True, keys[1:] != keys[:-1])
         size += more
-    return np.argsort(rank)
 
 
 def short_prefixes(text: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
@@ -113,11 +121,12 @@ def short_prefixes(text: np.ndarray, order: np.ndarray, length: int) -> np.ndarr
     values between two suffixes that share a border stay -1.
     """
     n = order.size
-    before = np.where(order > 0, text[order - 1], 0)
-    by_symbol = np.argsort(before, kind="stable")
-    target = np.empty(n, np.int64)  # the row of the suffix that is one symbol longer
-    target[by_symbol] = np.arange(n)
-    first = text[order]
+    symbols = text.astype(np.uint16)
+    before = np.where(order > 0, symbols[order - 1], np.uint16(0))
+    target = np.empty(n, np.int32)  # the row of the suffix that is one symbol longer
+    target[np.argsort(before, kind="stable")] = np.arange(n, dtype=np.int32)
+    first = symbols[order].astype(np.int32)
+    held = np.zeros(n, np.int32)
     prefix = np.full(n + 1, -1, np.int32)
     prefix[0] = 0
     low = np.flatnonzero(np.diff(first, prepend=-1))
@@ -128,14 +137,20 @@ def short_prefixes(text: np.ndarray, order: np.ndarray, length: int) -> np.ndarr
             break
         width = high - low
         slot = np.repeat(low - (np.cumsum(width) - width), width) + np.arange(int(width.sum()))
-        of = np.repeat(np.arange(low.size), width)
-        real = before[slot] > 0
-        slot, of = slot[real], of[real]
-        row = target[slot]
-        by_row = np.argsort(row)
-        row, of, symbol = row[by_row], of[by_row], before[slot[by_row]]
+        of = np.repeat(np.arange(1, low.size + 1, dtype=np.int32), width)
+        symbol = before[slot]
+        real = symbol > 0
+        row, of, symbol = target[slot[real]], of[real], symbol[real]
+        if row.size * DENSE > n:  # as many rows as that are ordered by their places
+            held[row] = np.arange(1, row.size + 1, dtype=np.int32)
+            rows = np.flatnonzero(held)
+            by_row = held[rows] - 1
+            held[rows] = 0
+        else:
+            by_row = np.argsort(row)
+        row, of, symbol = row[by_row], of[by_row], symbol[by_row]
         # rows of one interval and symbol are neighbours
-        new = np.append(True, (np.diff(of) != 0) | (np.diff(symbol) != 0)) if row.size else np.empty(0, bool)
+        new = np.append(True, (of[1:] != of[:-1]) | (symbol[1:] != symbol[:-1])) if row.size else np.empty(0, bool)
         low = row[new]
         high = low + np.diff(np.append(np.flatnonzero(new), row.size))
         fresh = prefix[high] < 0
