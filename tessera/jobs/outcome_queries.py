@@ -222,13 +222,23 @@ def hybrid_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("image_id", "tile_id", attention.hybrid("attention", "gradient").alias("hybrid"))
 
 
-@query(with_views("tile_embeddings") + ", d as (select unnest(range(8)) as i) select cast(a.i as int) as i, cast(b.i as int) as j, case when a.i = b.i then 1.0e0 else 0.0e0 end as product from d a cross join d b where (select count(*) from tile_embeddings) > 8")
-def pca_orthonormal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Products of the fitted components: 1 with themselves, 0 with each other."""
-    _, parts, _ = clustering.pca_fit(tiles.foreground(A.tile_embeddings(spark, sf_dir)), 8)
-    products = parts @ parts.T
-    cells = [(i, j, abs(round(float(products[i, j]), 6))) for i in range(len(parts)) for j in range(len(parts))]
-    return spark.createDataFrame(cells, "i int, j int, product double")
+@query(
+    with_views("tile_embeddings")
+    + """, t as (select row_number() over () as n, features from tile_embeddings where not tile_background),
+ p as (select n, unnest(range(len(features))) as i, cast(unnest(features) as double) as x from t),
+ u as (select n, i, x / greatest(sqrt(sum(x * x) over (partition by n)), 1e-12) as x from p),
+ m as (select *, avg(x) over (partition by i) as mean from u),
+ c as (select a.i, b.i as j, sum((a.x - a.mean) * (b.x - b.mean)) as v from m a join m b using (n) group by a.i, b.i)
+ select cast(i as int) as dim, round(any_value(mean), 6) as mean, round((select sum(v * v) / pow(sum(v) filter (where i = j), 2) from c), 6) as concentration from m group by i"""
+)
+def pca_spectrum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mean that a projection takes off, and the sum of the squared shares of variance of all its
+    components, which the covariances alone tell too."""
+    rows = tiles.foreground(A.tile_embeddings(spark, sf_dir))
+    width = len(rows.select("features").first()["features"])
+    mean, _, share = clustering.pca_fit(rows, width)
+    whole = float((share * share).sum())
+    return spark.createDataFrame([(i, round(float(v), 6), round(whole, 6)) for i, v in enumerate(mean)], "dim int, mean double, concentration double")
 
 
 # Rasters
