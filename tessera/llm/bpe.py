@@ -26,7 +26,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tessera.llm.work import small_batches
+from tessera.llm.work import giving_back, small_batches
 
 #: Splits text before the merges. Fixed value: the pattern of the public vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -213,7 +213,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                 yield pa.RecordBatch.from_arrays([rows.column("id"), lists, *texts], names=["id", *schema.names])
 
     out = f"id {kind}, ids array<int>" + ", decoded string" * decode_too
-    return small_batches(docs).select(docs[id_col].alias("id"), docs[text_col].alias("text")).mapInArrow(batches, out).withColumnRenamed("id", id_col)
+    return small_batches(docs).select(docs[id_col].alias("id"), docs[text_col].alias("text")).mapInArrow(giving_back(batches), out).withColumnRenamed("id", id_col)
 
 
 def decode(coded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

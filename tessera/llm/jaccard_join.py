@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.components import components, roots, stars
-from tessera.llm.work import bounded, hash_shingles, hash_words, mix64, rows_that_stay, small_batches, staged, superseded
+from tessera.llm.work import bounded, giving_back, hash_shingles, hash_words, mix64, rows_that_stay, small_batches, staged, superseded
 
 _U = np.uint64
 #: An n-gram is common from so many documents on; at most COMMON_MOST of them can be.
@@ -171,7 +171,7 @@ def _surveyed(texts: DataFrame, k: int) -> DataFrame:
             yield noted()
 
     kind = texts.schema["id"].dataType.simpleString()
-    return texts.mapInPandas(survey, f"id {kind}, n long, key long, gram long, times long")
+    return texts.mapInPandas(giving_back(survey), f"id {kind}, n long, key long, gram long, times long")
 
 
 def _common(surveyed: DataFrame) -> np.ndarray:
@@ -250,8 +250,8 @@ def _families(texts: DataFrame, k: int, sizes: Sizes, common: np.ndarray, cut: i
         if keys:
             yield held()
 
-    dealt = texts.select("text", "family").mapInPandas(cells, "sig long, key long").repartition("sig").sortWithinPartitions("sig", "key")
-    return components(dealt.mapInPandas(lambda parts: stars(_neighbours(parts)), "a long, b long"), contracted=True)
+    dealt = texts.select("text", "family").mapInPandas(giving_back(cells), "sig long, key long").repartition("sig").sortWithinPartitions("sig", "key")
+    return components(dealt.mapInPandas(giving_back(lambda parts: stars(_neighbours(parts))), "a long, b long"), contracted=True)
 
 
 def _tiled(members: DataFrame) -> DataFrame:
@@ -424,7 +424,7 @@ def judged(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col: s
     pairs = F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda j: F.struct(F.least("tile", j).alias("i"), F.greatest("tile", j).alias("j")))
     blocks = members.withColumn("tile", tile).select("comp", "key", "rep", "tile", F.explode(pairs).alias("block")).select("*", "block.i", "block.j")
     dealt = _with_texts(texts, marked, blocks).select("comp", "i", "j", "tile", "key", "text").repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j", "key")
-    links = staged(dealt.mapInPandas(lambda parts: _product(parts, k, sizes), "a long, b long"), "links")
+    links = staged(dealt.mapInPandas(giving_back(lambda parts: _product(parts, k, sizes)), "a long, b long"), "links")
     labels = components(links)
     least = labels.join(reps, "key").groupBy("comp").agg(F.min("rep").alias("least"))
     named = reps.join(labels.join(staged(least, "least"), "comp"), "key", "left")

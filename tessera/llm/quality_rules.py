@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.work import SPACE, hash_shingles, hash_words, small_batches
+from tessera.llm.work import SPACE, giving_back, hash_shingles, hash_words, small_batches
 
 #: (bytes, least ratio, greatest ratio); in between by the logarithm of the bytes. Random base64 words
 #: reach 1.07, 1.13, 1.21, 1.29 and 1.36 at 200, 300, 500, 1,000 and 64,000 bytes; real prose, lists and
@@ -115,7 +115,7 @@ def survey(docs: DataFrame, text_col: str = "text") -> dict[int, tuple[float, fl
             raws = [x for x in raws if x.size >= LIMITS[0][0]]
             yield pa.RecordBatch.from_pydict({"n": pa.array([x.size for x in raws], pa.int64()), "packed": pa.array([len(packer.compress(x)) for x in raws], pa.int64())})
 
-    found = small_batches(docs).select(docs[text_col].alias("text")).mapInArrow(sizes, "n long, packed long").distinct()
+    found = small_batches(docs).select(docs[text_col].alias("text")).mapInArrow(giving_back(sizes), "n long, packed long").distinct()
     step = F.least(F.floor(F.col("n") / F.col("packed") * STEPS), F.lit(MOST_STEPS)).cast("int").alias("step")
     rows = found.select(F.floor(F.log2("n") * CLASSES).cast("int").alias("of"), step).groupBy("of", "step").count().collect()
     counts: dict[int, dict[int, int]] = {}
@@ -177,7 +177,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             yield pd.concat([part["id"].reset_index(drop=True), rows], axis=1)
 
     schema = ", ".join([f"id {kind}", *[f"{name} {of}" for name, of in COLUMNS.items()]])
-    return ids.mapInPandas(judged, schema).withColumnRenamed("id", id_col)
+    return ids.mapInPandas(giving_back(judged), schema).withColumnRenamed("id", id_col)
 
 
 def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -191,4 +191,4 @@ def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 rows = part.slice(at, 512)
                 yield rows.filter(pa.array([judge(t, packer, learned)[6] for t in rows.column(text_col).to_pylist()], pa.bool_()))
 
-    return docs.mapInArrow(good, docs.schema)
+    return docs.mapInArrow(giving_back(good), docs.schema)
