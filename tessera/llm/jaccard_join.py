@@ -14,7 +14,11 @@ transpose:
    two blockings (the bound holds for what is left), so that a passage everybody quotes joins nobody;
    the second has blocks of hardly more than one n-gram. Only rows with fewer other n-grams than may
    differ are blocked with all.
-2. Rows joined by equal blocks, directly or through others, are a family: A is block-diagonal but
+   Block hashes go to the shuffle packed, eight bytes each with their row. Pairs of rows with an equal
+   block are dropped where sketches of the rows (n-grams by bins, a byte for four to eight of them) differ
+   by more than links do; else what chance joins would grow with the square of the corpus. Of a block in
+   more than ``PAIRED`` rows not pairs but links from the first row are given, which stay.
+2. Rows joined by such pairs, directly or through others, are a family: A is block-diagonal but
    for n-grams that can't make a link. Each family is a row block. One too large for a task is dealt
    into tiles of bounded size, and each pair of tiles is a block of the product. Families of many
    tiles are cut again by other blocks first, which takes apart what only chance had joined.
@@ -44,14 +48,18 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.components import components, roots, stars
+from tessera.llm.components import components, roots
 from tessera.llm.work import bounded, giving_back, hash_shingles, hash_words, mix64, rows_that_stay, small_batches, staged, superseded
 
 _U = np.uint64
 #: An n-gram is common from so many documents on; at most COMMON_MOST of them can be.
 LEAST_COMMON, COMMON_MOST = 50, 1 << 20
-#: n-grams counted together, and occurrences among them below which none is noted; blocks combined.
-COUNTED, NOTED, BLOCKS = 1 << 20, 3, 1 << 18
+#: n-grams counted together, and occurrences among them below which none is noted.
+COUNTED, NOTED = 1 << 20, 3
+#: Block hashes that are packed together, and n-grams whose hashes make up a bucket, about.
+BLOCKS, BUCKET = 1 << 19, 1 << 19
+#: Rows of one block hash that give all their pairs, at most.
+PAIRED = 16
 #: Blockings before a row is blocked as a whole: of which n-grams, and how many times the blocks.
 VIEWS = (("rare", 1), ("rare", 16), ("all", 1), ("all", 1))
 #: Rows and n-grams in a tile of a family, about.
@@ -144,7 +152,7 @@ def _slices(parts: Iterator[pd.DataFrame], k: int) -> Iterator[tuple[pd.DataFram
 
 
 def _surveyed(texts: DataFrame, k: int) -> DataFrame:
-    """Two kinds of rows: (id, n, key) for each text, key null for empty sets; and (gram, times).
+    """Two kinds of rows: (id, n, key, sketch) for each text, key null for empty sets; and (gram, times).
 
     Every n-gram is counted; among each ``COUNTED`` those that occur fewer than ``NOTED`` times are
     dropped, so counts are lower bounds.
@@ -157,11 +165,11 @@ def _surveyed(texts: DataFrame, k: int) -> DataFrame:
         def noted() -> pd.DataFrame:
             grams, n = np.unique(np.concatenate(held), return_counts=True)
             often = n >= NOTED
-            return pd.DataFrame({"id": None, "n": None, "key": None, "gram": grams[often].view(np.int64), "times": n[often]})
+            return pd.DataFrame({"id": None, "n": None, "key": None, "sketch": None, "gram": grams[often].view(np.int64), "times": n[often]})
 
         for rows, sets in _slices(parts, k):
             keys = pd.array([set_key(x) if x.size else None for x in sets], dtype="Int64")
-            yield pd.DataFrame({"id": rows["id"], "n": [x.size for x in sets], "key": keys, "gram": None, "times": None})
+            yield pd.DataFrame({"id": rows["id"], "n": [x.size for x in sets], "key": keys, "sketch": [sketch(x) if x.size else None for x in sets], "gram": None, "times": None})
             held += sets
             size += sum(x.size for x in sets)
             if size >= COUNTED:
@@ -171,7 +179,7 @@ def _surveyed(texts: DataFrame, k: int) -> DataFrame:
             yield noted()
 
     kind = texts.schema["id"].dataType.simpleString()
-    return texts.mapInPandas(giving_back(survey), f"id {kind}, n long, key long, gram long, times long")
+    return texts.mapInPandas(giving_back(survey), f"id {kind}, n long, key long, sketch binary, gram long, times long")
 
 
 def _common(surveyed: DataFrame) -> np.ndarray:
@@ -187,56 +195,102 @@ def _common(surveyed: DataFrame) -> np.ndarray:
     return np.sort(found.to_numpy(np.int64).view(_U))
 
 
-def _neighbours(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Links (a, b) from the first key of each block hash to the others; rows come sorted by hash."""
-    last, low = None, 0
-    for part in parts:
-        sig, key = part["sig"].to_numpy(), part["key"].to_numpy()
-        if not sig.size:
-            continue
-        new = np.append(last is None or sig[0] != last, sig[1:] != sig[:-1])
-        first = key[np.maximum.accumulate(np.where(new, np.arange(sig.size), 0))]
-        if not new[0]:
-            first[: new.argmax() if new.any() else sig.size] = low
-        last, low = sig[-1], first[-1]
-        apart = first != key
-        yield pd.DataFrame({"a": first[apart], "b": key[apart]}).drop_duplicates()
-
-
-def _combined(sig: np.ndarray, key: np.ndarray) -> pd.DataFrame:
-    """Rows (sig, key) with each block hash once, that join the same keys.
-
-    Keys that share a block are joined here: one of them stands for all of them in every block, and
-    a block of their own has them all.
+def sketch(grams: np.ndarray) -> bytes:
+    """How many n-grams fall into each of some n / 8 to n / 4 bins, a byte each."""
+    bins = 1 << max(0, (grams.size // 4).bit_length() - 1)
+    return np.minimum(np.bincount((grams & _U(bins - 1)).astype(np.int64), minlength=bins), 255).astype(np.uint8).tobytes()
+
+
+def apart(x: bytes, y: bytes) -> int:
+    """n-grams in which two sets differ at least, by their sketches; the finer one is folded."""
+    a, b = (np.frombuffer(s, np.uint8).astype(np.int64) for s in (x, y))
+    bins = min(a.size, b.size)
+    a, b = (np.minimum(c.reshape(-1, bins).sum(0), 255) for c in (a, b))
+    return int(np.abs(a - b).sum())
+
+
+def _group_pairs(sig: np.ndarray, key: np.ndarray) -> pd.DataFrame:
+    """Pairs (a, b, open) of the keys of each block hash; rows are sorted and distinct.
+
+    Up to ``PAIRED`` keys give all their pairs, which are open: a pair may be dropped by itself. More
+    give pairs of the first and each other one, which hold the group together and so are not.
     """
-    order = np.argsort(sig, kind="stable")
-    sig = sig[order]
-    keys, at = np.unique(key[order], return_inverse=True)
     new = np.append(True, sig[1:] != sig[:-1])
-    first = at[np.maximum.accumulate(np.where(new, np.arange(sig.size), 0))]
-    root = roots(first[~new], at[~new], keys.size)
-    own = np.flatnonzero(root != np.arange(keys.size))
-    joined = np.unique(np.concatenate((own, root[own])))
-    block = mix64(keys[root[joined]].view(_U) + _U(23)).view(np.int64)
-    out = pd.DataFrame({"sig": np.concatenate((sig[new], block)), "key": np.concatenate((keys[root[at[new]]], keys[joined]))})
-    return out.sort_values("key", kind="stable")  # runs of equal keys take little room in the shuffle
+    group = np.cumsum(new) - 1
+    begin = np.flatnonzero(new)
+    size = np.diff(np.append(begin, sig.size))
+    few = size[group] <= PAIRED
+    a, b = [key[begin[group[~few]]]], [key[~few]]
+    n_closed = b[0].size
+    for step in range(1, min(PAIRED, int(size.max(initial=0)))):
+        low = np.flatnonzero(few[:-step] & (group[:-step] == group[step:]))
+        a.append(key[low])
+        b.append(key[low + step])
+    a, b = np.concatenate(a), np.concatenate(b)
+    out = pd.DataFrame({"a": a, "b": b, "open": np.arange(a.size) >= n_closed})
+    return out[a != b].drop_duplicates()
+
+
+def _packed(sigs: list[np.ndarray], keys: list[int], buckets: int) -> pd.DataFrame:
+    """Rows (bucket, cells): the block hashes that fall into each bucket and the keys they are of, cut to
+    four bytes each. What this confuses gives more pairs, never fewer, and their sketches tell them apart."""
+    sig, key = np.concatenate(sigs), np.repeat(np.array(keys, np.int64).view(_U).astype(np.uint32), [x.size for x in sigs])
+    bucket = ((sig >> _U(32)) % _U(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    cells = np.column_stack([sig.astype(np.uint32), key])[order]
+    found, first = np.unique(bucket[order], return_index=True)
+    return pd.DataFrame({"bucket": found, "cells": [x.tobytes() for x in np.split(cells, first[1:])]})
+
+
+def _neighbours(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The pairs of each bucket; rows come sorted by bucket, and a task holds one."""
+    last, held = None, []
 
+    def pairs() -> pd.DataFrame:
+        cells = np.frombuffer(b"".join(held), np.uint32).astype(_U).reshape(-1, 2)
+        both = np.unique(cells[:, 0] << _U(32) | cells[:, 1])
+        return _group_pairs((both >> _U(32)).astype(np.int64), (both & _U((1 << 32) - 1)).astype(np.int64))
 
-def _families(texts: DataFrame, k: int, sizes: Sizes, common: np.ndarray, cut: int) -> DataFrame:
+    for part in parts:
+        for bucket, cells in zip(part["bucket"], part["cells"], strict=True):
+            if bucket != last and held:
+                yield pairs()
+                held = []
+            last = bucket
+            held.append(cells)
+    if held:
+        yield pairs()
+
+
+def _may_link(pairs: DataFrame, sketches: DataFrame, sizes: Sizes) -> DataFrame:
+    """The links (a, b), staged, of ``pairs`` without open ones whose sketches differ by more than links do."""
+
+    def near(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            most = (sizes.den - sizes.num) * (part["n_a"] + part["n_b"])
+            least = np.array([open and apart(x, y) for open, x, y in zip(part["open"], part["x"], part["y"], strict=True)], np.int64)
+            yield part.loc[((sizes.num + sizes.den) * least <= most).to_numpy(), ["a", "b"]]
+
+    side = lambda x: sketches.select((F.col("key").bitwiseAND(F.lit((1 << 32) - 1))).alias(x), F.col("key").alias(f"key_{x}"), F.col("n").alias(f"n_{x}"), F.col("sketch").alias({"a": "x", "b": "y"}[x]))
+    found = pairs.groupBy("a", "b").agg(F.every("open").alias("open"))
+    both = found.join(side("a"), "a").join(side("b"), "b").drop("a", "b").withColumnsRenamed({"key_a": "a", "key_b": "b"})
+    return staged(both.mapInPandas(giving_back(near), "a long, b long"), "near")
+
+
+def _families(texts: DataFrame, sketches: DataFrame, k: int, sizes: Sizes, common: np.ndarray, cut: int) -> DataFrame:
     """Rows (key, comp): the families of sets in ``texts`` (text, family), within each family given.
 
-    Sets that can link with no other are left out. Blocks are combined before the shuffle: a task
-    gives those of equal sets once, and each block once from ``BLOCKS`` of them.
+    Sets that can link with no other are left out. A task gives the blocks of equal sets once, as far
+    as it sees them together.
     """
-    shared = texts.sparkSession.sparkContext.broadcast(common)
+    spark = texts.sparkSession
+    shared = spark.sparkContext.broadcast(common)
+    total = sketches.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    buckets = max(8 * int(spark.conf.get("spark.sql.shuffle.partitions")), total // BUCKET)
 
     def cells(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[tuple[int, int]] = set()
         keys, sigs, size = [], [], 0
-
-        def held() -> pd.DataFrame:
-            return _combined(np.concatenate(sigs).view(np.int64), np.repeat(np.array(keys, np.int64), [x.size for x in sigs]))
-
         for rows, sets in _slices(parts, k):
             for grams, family in zip(sets, rows["family"].to_numpy(np.int64).view(_U), strict=True):
                 if grams.size and ((key := set_key(grams)), int(family)) not in seen:
@@ -245,13 +299,17 @@ def _families(texts: DataFrame, k: int, sizes: Sizes, common: np.ndarray, cut: i
                     sigs.append(mix64(signatures(grams, shared.value, sizes, cut) ^ family))
                     size += sigs[-1].size
             if size >= BLOCKS:
-                yield held()
+                yield _packed(sigs, keys, buckets)
                 keys, sigs, size = [], [], 0
         if keys:
-            yield held()
+            yield _packed(sigs, keys, buckets)
 
-    dealt = texts.select("text", "family").mapInPandas(giving_back(cells), "sig long, key long").repartition("sig").sortWithinPartitions("sig", "key")
-    return components(dealt.mapInPandas(giving_back(lambda parts: stars(_neighbours(parts))), "a long, b long"), contracted=True)
+    dealt = texts.select("text", "family").mapInPandas(giving_back(cells), "bucket long, cells binary").repartition("bucket").sortWithinPartitions("bucket")
+    pairs = dealt.mapInPandas(giving_back(_neighbours), "a long, b long, open boolean")
+    links = _may_link(pairs, sketches, sizes)
+    out = components(links)
+    superseded(links)
+    return out
 
 
 def _tiled(members: DataFrame) -> DataFrame:
@@ -406,15 +464,16 @@ def judged(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col: s
     rows = surveyed.where("n IS NOT NULL").select("id", "n", "key")
     marked = _of_shared_ids(texts, rows, k)
     reps = staged(rows.where("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("rep"), F.min("n").alias("n")), "reps")
+    sketches = staged(surveyed.where("key IS NOT NULL").select("key", "n", "sketch").dropDuplicates(["key"]), "sketches")
 
-    found = _families(texts.withColumn("family", F.lit(0).cast("long")), k, sizes, common, 0)
+    found = _families(texts.withColumn("family", F.lit(0).cast("long")), sketches, k, sizes, common, 0)
     members = staged(_tiled(found.join(reps, "key")), "members")
     for cut in range(1, CUTS):
         large = members.where(F.col("tiles") > MANY_TILES)
         if large.isEmpty():
             break
         again = _with_texts(texts, marked, large.select("rep", "key", F.col("comp").alias("family")).distinct())
-        found = _families(again, k, sizes, common, cut)
+        found = _families(again, sketches, k, sizes, common, cut)
         parted = large.select("key", "rep", "n").join(found, "key")
         rest = members.where(F.col("tiles") <= MANY_TILES)
         before, members = members, staged(_tiled(parted.select("comp", "key", "rep", "n")).unionByName(rest), "members")
@@ -432,7 +491,7 @@ def judged(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col: s
     some = rows.where("key IS NOT NULL").join(named, "key").select("id", "n", "key", "comp", "component_id")
     none = rows.where("key IS NULL").select("id", "n", "key", F.lit(None).cast("long").alias("comp"), F.col("id").alias("component_id"))
     out = staged(some.unionByName(none), "judged")
-    superseded(surveyed, reps, members, links, named, *([] if marked is None else [marked]))
+    superseded(surveyed, reps, sketches, members, links, named, *([] if marked is None else [marked]))
     return out
 
 

@@ -171,6 +171,44 @@ def test_jaccard_tiles(spark, monkeypatch, rows, grams, many):
     assert got == brute_components(docs, 3, 90, 100)
 
 
+def test_jaccard_families_of_chance(spark, monkeypatch):
+    """Texts that share a passage, and with it whole blocks by chance, are no family."""
+    rnd = random.Random(8)
+    words = lambda n: " ".join(f"w{rnd.randrange(1 << 30)}" for _ in range(n))
+    passages = [words(20) for _ in range(8)]
+    docs = [(i, f"{words(60)} {passages[i % 8]} {words(60)}") for i in range(320)]
+    docs += [(1000 + i, docs[i][1] + " end") for i in range(5)]
+    held = []
+    tiled = jaccard_join._tiled
+    monkeypatch.setattr(jaccard_join, "_tiled", lambda members: held.append(members.count()) or tiled(members))
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.jaccard_components(table(spark, docs)).collect()}
+    assert got == {i: i - 1000 * (i >= 1000) for i, _ in docs}
+    assert held == [10]
+
+
+@pytest.mark.parametrize("paired", [2, 16])
+def test_jaccard_large_groups(spark, monkeypatch, paired):
+    """Blocks that more rows have than give all their pairs lose no link."""
+    monkeypatch.setattr(jaccard_join, "PAIRED", paired)
+    monkeypatch.setattr(jaccard_join, "BLOCKS", 1 << 10)
+    docs = near_docs()
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.jaccard_components(table(spark, docs), 5, 80, 100).collect()}
+    assert got == brute_components(docs, 5, 80, 100)
+
+
+def test_sketches_never_differ_by_more_than_sets():
+    rng = np.random.default_rng(1)
+    some = lambda n: np.unique(rng.integers(0, 1 << 63, n, dtype=np.int64).view(np.uint64))
+    for n in [*range(1, 40), *range(50, 900, 17)]:
+        x = some(n)
+        y = np.unique(np.concatenate([x[rng.random(x.size) > 0.3 * rng.random()], some(n // 4 + 1)]))
+        assert jaccard_join.apart(jaccard_join.sketch(x), jaccard_join.sketch(y)) <= np.setxor1d(x, y).size
+        if n > 100:
+            assert 180 * jaccard_join.apart(jaccard_join.sketch(x), jaccard_join.sketch(some(n))) > 20 * 2 * n
+    many = np.arange(1, 2000, dtype=np.uint64) << np.uint64(32)  # all in one bin, which holds at most 255
+    assert jaccard_join.apart(jaccard_join.sketch(many), jaccard_join.sketch(many[:1500])) <= 499
+
+
 @pytest.mark.parametrize("sparse,cells", [(256, 1 << 22), (1, 1 << 22), (1 << 30, 1 << 22), (4, 200)])
 def test_overlaps(monkeypatch, sparse, cells):
     """Sparse and dense column blocks, of any width, count the same."""
