@@ -18,6 +18,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tessera.llm import bpe, chat_format, mixing, quality_rules, queries, site_quality
+from tessera.llm.work import staged
 
 DOCS = "doc_id long, text string, lang string, source string, n_words long, taken long, x double"
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -307,6 +308,30 @@ def test_threshold_follows_the_costs(monkeypatch):
     assert 1 < site_quality.threshold(odds, y) <= 2
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_threshold_of_a_table(spark, monkeypatch, seed):
+    """The order taken by Spark gives the cut that the plain computation gives, ties included."""
+    rnd = random.Random(seed)
+    monkeypatch.setattr(site_quality, "COSTS", rnd.choice([(1.0, 1.0), (1.0, 0.5), (0.3, 1.0)]))
+    shift = rnd.choice([-9, -3, 0, 3, 9])
+    odds = [float(rnd.randint(-4, 4) + shift) for _ in range(rnd.choice([2, 5, 40]))]
+    y = [1, 0] + [int(rnd.random() < 0.5) for _ in odds[2:]]
+    rows = spark.createDataFrame(list(zip(odds, y, strict=True)), "odds double, y int")
+    assert site_quality.threshold_of(rows) == site_quality.threshold(np.array(odds), np.array(y))
+
+
+def test_all_labelled_documents_are_fitted(spark):
+    """More labelled rows than any sample would hold: weights and threshold are those of all of them."""
+    made = spark.range(30_000).select(F.col("id").alias("doc_id"), F.expr("concat_ws(' ', transform(sequence(1, cast(3 + pmod(hash(id), 9) as int)), i -> if(pmod(hash(id, i), 7) = 0, concat('Aa', i, '!'), 'b')))").alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"))
+    labels = made.select("doc_id", F.expr("cast(pmod(hash(doc_id, 'y'), 10) + 4 * cast(text like '%!%' as int) > 6 as int)").alias("quality"))
+    docs = staged(made, "docs")
+    known = docs.join(labels, "doc_id").select("doc_id", F.array(*site_quality.features(F.col("text"))).alias("x"), "quality").toPandas()
+    mean, scale, w = site_quality.fit(np.stack(known["x"].to_numpy()), known["quality"].to_numpy(float))
+    want = dict(zip(known["doc_id"], np.clip(w[0] + ((np.stack(known["x"].to_numpy()) - mean) / scale) @ w[1:], -12, 12), strict=True))
+    got = site_quality.site_quality(docs, labels).select("doc_id", "evidence").toPandas()
+    assert len(got) == 30_000 and max(abs(e - want[i]) for i, e in zip(got["doc_id"], got["evidence"], strict=True)) < 1e-7
+
+
 INNER = "id key n rep comp component_id row digest mark their_mark stays gone unclear taken_id times lap size target taken offset kept best sig gram tile tiles family y _id _own _stay _times _time _mixed _key Mark".split()
 
 
