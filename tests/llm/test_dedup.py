@@ -287,3 +287,43 @@ def test_repeats_edges(spark):
     assert repeats.remove_repeats(table(spark, [])).count() == 0
     with pytest.raises(ValueError):
         repeats.remove_repeats(table(spark, []), 101)
+
+
+def test_repeats_cost(monkeypatch):
+    """Near copies of one text: an interval over many rows costs no more than the runs of symbols that it meets."""
+    rnd = np.random.default_rng(2)
+    base, parts = rnd.integers(97, 123, 1000, np.uint8), []
+    for _ in range(60):
+        parts.append(base.copy())
+        parts[-1][rnd.integers(1000)] = 33
+    seen = Counter(p[i : i + 400].tobytes() for p in parts for i in range(601))
+    assert np.sort(repeats.repeated_starts(parts, 400)).tolist() == [k * 1001 + i for k, p in enumerate(parts) for i in range(601) if seen[p[i : i + 400].tobytes()] > 1]
+    text = np.concatenate([np.append(p.astype(np.int64) + 1, 0) for p in parts])
+    order, spread = repeats.suffix_order(text, 400), []
+
+    class Counted:
+        def __getattr__(self, name):
+            if name == "repeat":
+                return lambda *given: spread.append(np.repeat(*given)) or spread[-1]
+            return getattr(np, name)
+
+    monkeypatch.setattr(repeats, "np", Counted())
+    repeats.short_prefixes(text, order, 400)
+    assert sum(x.size for x in spread) < text.size / 4
+
+
+def test_segments_of_many_texts(monkeypatch):
+    monkeypatch.setattr(repeats, "PIECE", 700)
+    rnd = np.random.default_rng(4)
+    base = rnd.integers(97, 101, 900, np.uint8)
+    texts = [base[a : a + n] for a, n in zip(rnd.integers(0, 600, 30).tolist(), rnd.integers(0, 400, 30).tolist(), strict=True)] + [np.tile(base, 3), base[:149], base[:150]]
+    bounds = np.append(0, np.cumsum([t.size for t in texts]))
+    of, hashes, places, first, last = repeats.segments(np.concatenate(texts), bounds, 150)
+    starts = [(k, s) for k, a, z in zip(of.tolist(), first.tolist(), last.tolist(), strict=True) for s in range(a, z + 1)]
+    assert starts == [(k, s) for k, t in enumerate(texts) for s in range(t.size - 149)]
+    anchors = {}  # equal strings have one anchor, at one place
+    for k, h, p, a, z in zip(of.tolist(), hashes.tolist(), places.tolist(), first.tolist(), last.tolist(), strict=True):
+        for s in range(a, z + 1):
+            anchors.setdefault(texts[k][s : s + 150].tobytes(), set()).add((h, p - s))
+    assert all(len(x) == 1 for x in anchors.values())
+    assert repeats.segments(np.empty(0, np.uint8), np.zeros(3, np.int64), 150)[0].size == 0
