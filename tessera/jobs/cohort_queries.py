@@ -249,7 +249,7 @@ def canonical_fold_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
  qualify coalesce(sum(attention) over (partition by image_id order by attention desc, tile_id desc rows between unbounded preceding and 1 preceding), 0) / sum(attention) over (partition by image_id) < 0.8"""
 )
 def attention_mass_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return attention.mass_filter(A.tile_attention(spark, sf_dir), 0.8)
+    return attention.mass_filter(A.tile_attention(spark, sf_dir), 0.8, massless=False)
 
 
 @query(with_views("tile_attention") + "select *, row_number() over (partition by image_id order by attention desc, tile_id desc) as rank from tile_attention qualify rank <= 3")

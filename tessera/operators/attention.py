@@ -2,22 +2,34 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 EPS = 1e-12
 
 
-def mass_filter(tiles: DataFrame, cutoff: float) -> DataFrame:
+def mass_filter(tiles: DataFrame, cutoff: float, massless: bool = True) -> DataFrame:
     """The fewest tiles of each image, by falling attention, whose mass reaches ``cutoff``.
 
-    Ties go by falling tile id. An image without mass keeps all its tiles.
+    Ties go by falling tile id. An image without mass keeps all its tiles, or none if not ``massless``.
+    Where all of an image's attention has at most 12 decimals (8 of the cutoff), sums are exact: the set
+    ends where it has the cutoff itself, which sums in floating point may miss either way.
     """
-    order = Window.partitionBy("image_id").orderBy(F.col("attention").desc(), F.col("tile_id").desc())
-    before = F.coalesce(F.sum("attention").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    total = F.sum("attention").over(Window.partitionBy("image_id"))
-    kept = tiles.withColumn("_before", before).withColumn("_total", total)
-    return kept.where((F.col("_total") <= 0) | (F.col("_before") / F.col("_total") < cutoff)).drop("_before", "_total")
+    order, whole = Window.partitionBy("image_id").orderBy(F.col("attention").desc(), F.col("tile_id").desc()), Window.partitionBy("image_id")
+    prior = order.rowsBetween(Window.unboundedPreceding, -1)
+    given = F.col("attention").try_cast("decimal(20,12)")
+    share = Decimal(str(cutoff))
+    fits = F.lit(share == share.quantize(Decimal("1e-8")) and abs(share) < 10) & (F.col("attention").isNull() | F.coalesce(given.cast("double") == F.col("attention").cast("double"), F.lit(False)))
+    kept = tiles.withColumns({
+        "_before": F.coalesce(F.sum("attention").over(prior), F.lit(0.0)), "_total": F.sum("attention").over(whole), "_exact": F.bool_and(fits).over(whole),
+        "_sum": F.coalesce(F.sum(given.cast("decimal(28,20)")).over(prior), F.lit(0)), "_enough": F.sum(given * F.lit(f"{share:f}").try_cast("decimal(9,8)")).over(whole),
+    })
+    exact = F.when(F.col("_total") > 0, F.col("_sum") < F.col("_enough")).otherwise(F.col("_sum") > F.col("_enough"))
+    below = F.when(F.col("_total") != 0, F.when(F.col("_exact"), exact).otherwise(F.col("_before") / F.col("_total") < cutoff))
+    keep = (F.col("_total") <= 0) | below if massless else below
+    return kept.where(keep).drop("_before", "_total", "_exact", "_sum", "_enough")
 
 
 def top_tiles(tiles: DataFrame, n: int) -> DataFrame:

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import math
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import scalar
+from tessera.jobs import catalog
 from tessera.operators import attention, cellular, concepts, filters, folds, pooling, stats, tables, tiles, vectors
 from tessera.sources import dictionary, storage
 from tessera.streaming import cells as streams
@@ -27,6 +29,19 @@ def test_mass_filter(spark, values, cutoff, kept):
     assert sorted(r["tile_id"] for r in attention.mass_filter(attended(spark, values), cutoff).collect()) == kept
 
 
+@pytest.mark.parametrize("values,kept", [([0.93, 0.81, 0.38, 0.24, 0.16, 0.13], 3), ([0.84, 0.69, 0.6, 0.55, 0.53, 0.14], 4), ([1e30, 1e30], 2), ([1 / 3, 1 / 7, None], 2)])
+def test_mass_that_is_the_cutoff_itself_is_enough(spark, values, kept):
+    assert attention.mass_filter(attended(spark, values), 0.8).count() == kept
+
+
+def test_massless_images_as_sql_has_them(spark, tmp_path):
+    rows_ = [(1, 7, "view", 0.0), (2, 7, "view", 0.0), (3, 8, "view", 0.0), (4, 8, "click", 2.5)]
+    spark.createDataFrame(rows_, "event_id long, user_id long, event_type string, value double").write.parquet(str(tmp_path / "events.parquet"))
+    duckdb.sql(f"create or replace view events as select * from '{tmp_path}/events.parquet/*.parquet'")
+    want = duckdb.sql(catalog.oracle_sql()["attention_mass_filter"]).fetchall()
+    assert rows(catalog.queries()["attention_mass_filter"](spark, str(tmp_path)), "image_id", "tile_id", "attention", "cluster") == sorted(want, key=str) == [(8, 1, 2.5, "click")]
+
+
 def test_out_of_fold_and_ensemble(spark):
     scores = spark.createDataFrame([("A", 0, 0.1), ("A", 1, 0.9), ("B", 0, 0.2), ("B", 1, 0.8)], "image_id string, fold int, risk_score double")
     splits = folds.expand_flat(spark.createDataFrame([("A", 1), ("B", 0), ("C", 0), ("D", None)], "image_id string, fold int"), 2)
