@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators import attention, clustering, concepts, density, folds, morphology, pooling, stats, tables, tiles, vectors
+from tessera.operators import attention, clustering, communities, concepts, density, folds, morphology, pooling, stats, tables, tiles, vectors
 from tessera.sources import analogues as A
 from tessera.sources import arrays, dictionary, storage
 from tessera.sources.analogues import with_views
@@ -59,7 +59,7 @@ def customer_communities(spark: SparkSession, sf_dir: str) -> DataFrame:
     weight = F.when(F.floor(F.col("src") / 8) == F.floor(F.col("dst") / 8), 1.0).otherwise(0.1)
     edges = ahead.where((F.col("dst") % 8 != 0) | (F.col("src") % 8 == 7)).withColumn("weight", weight)
     r0 = nodes.count() / 8 / 4
-    return clustering.communities_of(nodes, edges, [r0, r0 / 2])
+    return communities.communities(nodes, edges, [r0, r0 / 2])
 
 
 #: Core cells, what each reaches, and the cluster of each cell by its smallest core cell. Ids repeat, so rows are numbered.

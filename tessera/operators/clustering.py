@@ -120,15 +120,16 @@ def _refined(near: list[dict[int, float]], degree: list[float], total: float, ho
     return part
 
 
-def leiden(edges: list[tuple[int, int, float]], n: int, resolution: float = 1.0, seed: int = 0) -> list[int]:
+def leiden(edges: list[tuple[int, int, float]], n: int, resolution: float = 1.0, seed: int = 0, home: list[int] | None = None) -> list[int]:
     """Communities of a weighted graph: moves, refinement of what they give, and the graph of the
-    refined parts again, until nothing is left to merge. Numbered by first member."""
+    refined parts again, until nothing is left to merge. Numbered by first member. Nodes start
+    alone, or in the communities ``home``, numbered from 0."""
     rng = np.random.default_rng(seed)
     near: list[dict[int, float]] = [{} for _ in range(n)]
     for a, b, w in edges:
         near[a][b] = near[a].get(b, 0.0) + w
         near[b][a] = near[b].get(a, 0.0) + w
-    where, home = list(range(n)), list(range(n))
+    where, home = list(range(n)), list(range(n)) if home is None else home
     while True:
         degree = [sum(x.values()) for x in near]
         total = sum(degree) or 1.0

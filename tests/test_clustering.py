@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from tessera.operators import clustering, vectors
+from tessera.operators import clustering, communities, vectors
 
 
 def louvain(edges: list[tuple[int, int, float]], n: int, resolution: float = 1.0, seed: int = 0) -> list[int]:
@@ -118,6 +118,35 @@ def test_resolutions_in_one_run(spark):
     assert {r["community"] for r in clustering.communities_of(nodes.limit(2), df.limit(0), [1.0]).collect()} == {"n00", "n01"}
 
 
+def test_communities_of_more_nodes_than_fit_a_task(spark, monkeypatch):
+    monkeypatch.setattr(clustering, "MOST_NODES", 20)
+    better = []
+    for seed in (0,):
+        edges = graph(seed)
+        names = [f"n{i:02d}" for i in range(61)]
+        df = spark.createDataFrame([(names[a], names[b], w) for a, b, w in edges] + [("n01", "n01", 5.0), ("n02", "zz", 1.0), ("n03", "n04", None)], "src string, dst string, weight double")
+        resolutions = [1.0, 3.0]
+        rows = communities.communities(spark.createDataFrame([(x,) for x in names], "node string"), df, resolutions).collect()
+        got = {(r["resolution"], r["node"]): r["community"] for r in rows}
+        assert len(rows) == len(got) == 122 and got[1.0, "n60"] == "n60"
+        for resolution in resolutions:
+            label = [names.index(got[resolution, x]) for x in names]
+            assert all(min(i for i in range(61) if label[i] == c) == c for c in label)
+            better.append(value(edges, label, resolution) - value(edges, louvain(edges, 60, resolution, seed), resolution))
+            root = list(range(60))
+
+            def top(x):
+                while root[x] != x:  # noqa: B023
+                    x = root[x]  # noqa: B023
+                return x
+
+            for a, b, _ in edges:
+                if label[a] == label[b]:
+                    root[top(a)] = top(b)
+            assert len({top(i) for i in range(60)}) == len(set(label[:60]))
+    assert min(better) > -0.02, better
+
+
 def test_too_many_nodes(spark, monkeypatch):
     monkeypatch.setattr(clustering, "MOST_NODES", 3)
     with pytest.raises(ValueError, match="more than 3"):
