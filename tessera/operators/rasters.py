@@ -12,8 +12,10 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from tessera.sources.storage import staged
 
@@ -21,6 +23,8 @@ from tessera.sources.storage import staged
 BITS = 22
 #: Output columns or rows that meet in a row of the result of a pass.
 STRIP = 64
+#: Cells whose patches are cut together.
+CELLS = 256
 
 
 def pixels(rgb: bytes, height: int, width: int) -> np.ndarray:
@@ -144,42 +148,40 @@ def patches(blocks: DataFrame, cells: DataFrame, side: int, size: int = 64) -> D
     """``cells`` (image_id, x, y, ...) with ``rgb``: the ``size`` x ``size`` pixels around each cell's rounded
     place, black beyond the slide.
 
-    A cell's window is joined with the blocks it touches, at most (size / side + 2) squared; each
-    gives the pixels it has, and those meet again by cell. Cells without a place have a black patch.
+    Cells meet the blocks that a window may touch by the block of its upper left corner, about
+    ``CELLS`` at a time, so pixels are moved once for each block and corner, at most (size / side + 2)
+    squared times, and never for each cell. Cells without a place have a black patch.
     """
-    numbered = cells.withColumn("_row", F.monotonically_increasing_id())
-    numbered = staged(numbered)
     left, top = F.rint("x").cast("long") - size // 2, F.rint("y").cast("long") - size // 2
-    span = lambda c: F.sequence(F.floor(F.col(c) / side), F.floor((F.col(c) + size - 1) / side))
-    windows = numbered.where("x is not null and y is not null").select("_row", "image_id", left.alias("left"), top.alias("top"))
-    touched = windows.withColumn("block_row", F.explode(span("top"))).withColumn("block_col", F.explode(span("left")))
-    own = blocks.select("image_id", F.col("block_row").cast("long").alias("block_row"), F.col("block_col").cast("long").alias("block_col"), "height", "width", "rgb")
-
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in batches:
-            out = []
-            for r in part.itertuples():
-                y, x = r.top - r.block_row * side, r.left - r.block_col * side
-                y0, x0, y1, x1 = max(y, 0), max(x, 0), min(y + size, r.height), min(x + size, r.width)
-                if y0 < y1 and x0 < x1:
-                    out.append((r._1, y0 - y, x0 - x, y1 - y0, x1 - x0, pixels(r.rgb, r.height, r.width)[y0:y1, x0:x1].tobytes()))
-            yield pd.DataFrame(out, columns=["_row", "y", "x", "h", "w", "part"])
-
-    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in batches:
-            out = []
-            for row, pieces in zip(part["_row"], part["pieces"], strict=True):
-                patch = np.zeros((size, size, 3), np.uint8)
-                for p in pieces:
-                    patch[p["y"] : p["y"] + p["h"], p["x"] : p["x"] + p["w"]] = pixels(p["part"], p["h"], p["w"])
-                out.append((row, patch.tobytes()))
-            yield pd.DataFrame(out, columns=["_of", "rgb"])
-
-    joined = touched.join(own, ["image_id", "block_row", "block_col"]).select("_row", "left", "top", "block_row", "block_col", "height", "width", "rgb")
-    pieces = joined.mapInPandas(cut, "_row long, y long, x long, h long, w long, part binary")
-    made = pieces.groupBy("_row").agg(F.collect_list(F.struct("y", "x", "h", "w", "part")).alias("pieces")).mapInPandas(whole, "_of long, rgb binary")
-    black = F.lit(bytearray(size * size * 3))
-    return numbered.join(made, F.col("_row") == F.col("_of"), "left").drop("_row", "_of").withColumn("rgb", F.coalesce("rgb", black))
+    rows = staged(cells.select(*cells.columns, left.alias("_left"), top.alias("_top"), F.monotonically_increasing_id().alias("_row")))
+    placed = rows.where("_left is not null and _top is not null").withColumns({"_block_row": F.floor(F.col("_top") / side), "_block_col": F.floor(F.col("_left") / side)})
+    corner = ["image_id", "_block_row", "_block_col"]
+    sizes = staged(placed.groupBy(corner).agg(F.ceil(F.count(F.lit(1)) / CELLS).alias("_parts")))
+    part = F.pmod(F.xxhash64("_row"), F.col("_parts")).alias("_part")
+    groups = placed.join(sizes, corner).groupBy(*corner, part).agg(F.collect_list(F.struct("_left", "_top", *cells.columns)).alias("_cells"))
+
+    more = (size + side - 2) // side  # blocks that a window reaches beyond its first
+    back = lambda c: F.explode(F.sequence(F.col(c).cast("long") - more, F.col(c).cast("long")))
+    copies = blocks.withColumn("_block_row", back("block_row")).withColumn("_block_col", back("block_col")).join(sizes.select(corner), corner, "left_semi")
+    around = copies.groupBy(corner).agg(F.collect_list(F.struct("block_row", "block_col", "height", "width", "rgb")).alias("_blocks"))
+    names = [*cells.columns, "rgb"]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row, col = batch.column("_block_row")[i].as_py(), batch.column("_block_col")[i].as_py()
+                field = np.zeros(((more + 1) * side, (more + 1) * side, 3), np.uint8)
+                for b in batch.column("_blocks")[i].as_py() or []:
+                    y, x = (b["block_row"] - row) * side, (b["block_col"] - col) * side
+                    field[y : y + b["height"], x : x + b["width"]] = pixels(b["rgb"], b["height"], b["width"])
+                lefts, tops, *columns = batch.column("_cells").slice(i, 1).flatten().flatten()
+                found = [field[y : y + size, x : x + size].tobytes() for y, x in zip((tops.to_numpy() - row * side).tolist(), (lefts.to_numpy() - col * side).tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.binary())], names=names)
+
+    kind = StructType([*cells.schema.fields, StructField("rgb", BinaryType())])
+    joined = groups.join(around, corner, "left").select("_block_row", "_block_col", "_blocks", "_cells")
+    black = rows.where("_left is null or _top is null").select(*cells.columns, F.lit(bytearray(size * size * 3)).alias("rgb"))
+    return joined.mapInArrow(cut, kind).unionByName(black)
 
 
 def _window(flags: np.ndarray, size: int) -> np.ndarray:

@@ -80,6 +80,23 @@ def test_patches(spark):
         assert (rasters.pixels(r["rgb"], 24, 24) == want).all(), (r["x"], r["y"])
 
 
+def test_patches_move_no_pixels_for_each_cell(spark):
+    rng = np.random.default_rng(5)
+    whole = {"a": rng.integers(1, 256, (75, 110, 3)).astype(np.uint8)}
+    places = [("a", i, float(x), float(y)) for i, (x, y) in enumerate(rng.uniform(0, 75, (2000, 2)).tolist())]
+    df = spark.createDataFrame(places, "image_id string, cell_id long, x double, y double")
+    sc = spark.sparkContext._jsc.sc()
+
+    def moved():
+        sc.listenerBus().waitUntilEmpty(30_000)
+        return sc.statusStore().executorList(True).head().totalShuffleWrite()
+
+    before = moved()
+    got = rasters.patches(cut(spark, whole, 16), df, 16, 24).collect()
+    assert len(got) == 2000 and sum(len(r["rgb"]) for r in got) == 2000 * 24 * 24 * 3
+    assert 0 < moved() - before < 1_000_000  # the patches have 3.5 MB, the blocks 25 KB
+
+
 def test_filters_by_running_sums():
     rng = np.random.default_rng(4)
     for p in (0.2, 0.7, 0.97):
