@@ -179,7 +179,7 @@ def patches(blocks: DataFrame, cells: DataFrame, side: int, size: int = 64) -> D
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.binary())], names=names)
 
     kind = StructType([*cells.schema.fields, StructField("rgb", BinaryType())])
-    joined = groups.join(around, corner, "left").select("_block_row", "_block_col", "_blocks", "_cells")
+    joined = groups.join(around.hint("merge"), corner, "left").select("_block_row", "_block_col", "_blocks", "_cells")
     black = rows.where("_left is null or _top is null").select(*cells.columns, F.lit(bytearray(size * size * 3)).alias("rgb"))
     return joined.mapInArrow(cut, kind).unionByName(black)
 
