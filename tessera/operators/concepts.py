@@ -111,11 +111,14 @@ def _passed(rows: DataFrame, models: list[tuple[int, int, bool, bool]], weights:
                     e, curve = y[some] - p, n * p * (1 - p)
                 total[m] += np.concatenate([((x * curve[:, None]).T @ x)[upper], x.T @ (n * e)])
         hit = np.flatnonzero(np.abs(total).sum(1))
-        yield pd.DataFrame({"model": hit, "values": list(total[hit])})
+        if hit.size:  # Arrow takes no column of arrays without rows
+            yield pd.DataFrame({"model": hit, "values": list(total[hit])})
 
     def steps(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own, w = shared.value
         for part in batches:
+            if not len(part):
+                continue
             out = []
             for m, values in zip(part["model"], part["values"], strict=True):
                 products, slope = np.zeros((d, d)), np.asarray(values[-d:])

@@ -49,3 +49,23 @@ def test_probes_of_nothing(spark):
     labels = spark.createDataFrame([(1, 0), (2, 1)], "image_id long, path_a int")
     assert concepts.fit(vectors, labels, ["path_a"]).count() == 0 and concepts.fit(vectors, labels.limit(1), ["path_a"]).count() == 0
     assert concepts.predict(vectors, concepts.fit(vectors, labels, ["path_a"])).count() == 0
+
+
+def test_tasks_without_rows(spark, monkeypatch):
+    """As on large tables, where few images leave most tasks of a pass empty."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(5, 2))
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "image_id long, embedding array<double>")
+    labels = spark.createDataFrame([(i, float(i), i % 2) for i in range(5)], "image_id long, path_a double, path_b int")
+    want = {(r["concept"], r["replica"]): r["weights"] for r in concepts.fit(vectors, labels, ["path_a", "path_b"], replicas=2).collect()}
+    staged = concepts.staged
+    monkeypatch.setattr(concepts, "staged", lambda df: staged(df).repartition(16))
+    was = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        got = {(r["concept"], r["replica"]): r["weights"] for r in concepts.fit(vectors, labels, ["path_a", "path_b"], replicas=2).collect()}
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert got.keys() == want.keys() and all(np.allclose(got[k], want[k]) for k in want)
